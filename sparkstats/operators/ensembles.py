@@ -1,13 +1,12 @@
 """Estimators of `pyspark.ml`, set up with this library's feature stages."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizer, RegexTokenizer, SQLTransformer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from . import features as ft
 
@@ -60,22 +59,24 @@ def boosted_trees(max_depth: int = 6, trees: int = 500, step: float = 0.1, featu
                      featuresCol=features, labelCol=label)
 
 
-def text_mlp(vocabulary: int, text: str = "text", label: str = "label", hidden: tuple = (11, 2), max_iter: int = 1000,
-             tol: float = 2e-7, high: int = 3, seed: int = 42) -> Pipeline:
-    """Word 1..`high`-gram counts of the most frequent n-grams into a two-class network.
+def fit_text_mlp(df: DataFrame, vocabulary: int, text: str = "text", label: str = "label", hidden: tuple = (11, 2),
+                 max_iter: int = 1000, tol: float = 2e-7, high: int = 3, seed: int = 42) -> PipelineModel:
+    """Counts of word 1..`high`-grams into a two-class network.
 
-    The first layer has a fixed width; the feature table is padded by the
-    vectoriser's vocabulary, which must hold `vocabulary` n-grams.
+    The network reads the `vocabulary` most frequent n-grams of the training
+    texts; its weights and the vocabulary are the model held by the driver.
     """
     grams = ", ".join(
         f"transform(if(size(_toks) >= {n}, sequence(1, size(_toks) - {n - 1}), cast(array() as array<int>)), "
         f"i -> array_join(slice(_toks, i, {n}), ' '))" for n in range(1, high + 1))
-    return Pipeline(stages=[
+    counts = Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol="_toks", pattern=WORDS, gaps=False, toLowercase=True),
         SQLTransformer(statement=f"SELECT *, concat({grams}) AS _grams FROM __THIS__"),
-        CountVectorizer(inputCol="_grams", outputCol="vector", vocabSize=vocabulary, minDF=1.0),
-        MultilayerPerceptronClassifier(featuresCol="vector", labelCol=label, layers=[vocabulary, *hidden, 2],
-                                       maxIter=max_iter, tol=tol, seed=seed)])
+        CountVectorizer(inputCol="_grams", outputCol="vector", vocabSize=vocabulary, minDF=1.0)]).fit(df)
+    width = len(counts.stages[-1].vocabulary)
+    network = MultilayerPerceptronClassifier(featuresCol="vector", labelCol=label, layers=[width, *hidden, 2],
+                                             maxIter=max_iter, tol=tol, seed=seed)
+    return PipelineModel(stages=[*counts.stages, network.fit(counts.transform(df))])
 
 
 def grid_search(df: DataFrame, pipeline: Pipeline, grid: list, folds: str, k: int, label: str = "label",
@@ -91,5 +92,5 @@ def grid_search(df: DataFrame, pipeline: Pipeline, grid: list, folds: str, k: in
     return model, list(enumerate(model.avgMetrics))
 
 
-__all__ = ["logistic", "linear_svm", "svm", "svm_multiclass", "scaled_logistic", "boosted_trees", "text_mlp",
-           "grid_search", "ParamGridBuilder", "F"]
+__all__ = ["logistic", "linear_svm", "svm", "svm_multiclass", "scaled_logistic", "boosted_trees", "fit_text_mlp",
+           "grid_search", "ParamGridBuilder"]
