@@ -30,25 +30,22 @@ def uniform(seed: int, tag: str, *keys) -> Column:
     return hash32(seed, tag, *keys).cast("double") / F.lit(float(TWO32))
 
 
-def uniform_from(hex_digits: Column, lane) -> Column:
-    """One of the four uniforms (lane 0..3) held in a 32-digit digest."""
-    lane = lane if isinstance(lane, Column) else F.lit(lane)
-    piece = hex_digits.substr(lane.cast("int") * 8 + 1, F.lit(8))
-    return F.conv(piece, 16, 10).cast("bigint").cast("double") / F.lit(float(TWO32))
+def lanes(hex_digits: Column) -> Column:
+    """The four uniform integers in [0, 2**32) held in a 32-digit digest."""
+    return F.array(*[F.conv(F.substring(hex_digits, 8 * i + 1, 8), 16, 10).cast("bigint") for i in range(4)])
 
 
-def poisson1(u: Column) -> Column:
-    """Poisson(1) multiplicity by inverting its distribution function at u."""
-    cdf, term, out = 0.0, 0.36787944117144233, F.lit(0)
-    for k in range(1, 13):
-        cdf += term
-        out = F.when(u >= F.lit(cdf), F.lit(k)).otherwise(out)
-        term /= k
-    return out.cast("int")
+def poisson1(h: Column) -> Column:
+    """Poisson(1) multiplicity: the distribution function inverted at h / 2**32."""
+    u = h.cast("double") / F.lit(float(TWO32))
+    out = None
+    for k, t in enumerate(poisson1_thresholds()):
+        out = F.when(u < t, k) if out is None else out.when(u < t, k)
+    return out.otherwise(k + 1).cast("int")
 
 
 def poisson1_thresholds() -> list[float]:
-    """The same steps as plain numbers."""
+    """P(X <= k) for k = 0, 1, 2, ..."""
     cdf, term, out = 0.0, 0.36787944117144233, []
     for k in range(1, 13):
         cdf += term

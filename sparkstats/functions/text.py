@@ -36,11 +36,17 @@ def words(text) -> Column:
     return F.filter(F.split(_col(text), WHITESPACE), lambda w: w != "")
 
 
+def _starts(size: Column, n: int) -> Column:
+    """0 .. size - n, or nothing when size < n."""
+    return F.when(size >= n, F.sequence(F.lit(0), size - n)).otherwise(F.array().cast("array<int>"))
+
+
 def word_ngrams(toks, n: int) -> Column:
     """Space-joined runs of n neighbouring tokens."""
     toks = _col(toks)
-    starts = F.when(F.size(toks) >= n, F.sequence(F.lit(1), F.size(toks) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(toks, i, n), " "))
+    if n == 1:
+        return toks
+    return F.transform(_starts(F.size(toks), n), lambda i: F.concat_ws(" ", *[F.get(toks, i + j) for j in range(n)]))
 
 
 def char_ngrams(word, n: int) -> Column:
@@ -49,5 +55,4 @@ def char_ngrams(word, n: int) -> Column:
     A padded word shorter than n has none.
     """
     padded = F.concat(F.lit(" "), _col(word), F.lit(" "))
-    starts = F.when(F.length(padded) >= n, F.sequence(F.lit(1), F.length(padded) - (n - 1))).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(padded, i, F.lit(n)))
+    return F.transform(_starts(F.length(padded), n), lambda i: F.substring(padded, i + 1, F.lit(n)))

@@ -26,11 +26,16 @@ def lp_norm(arr, p: int = 2) -> Column:
     return F.pow(fold_sum(F.transform(_col(arr), lambda v: F.pow(F.abs(v), F.lit(float(p))))), F.lit(1.0 / p))
 
 
+def let(value, fn) -> Column:
+    """fn(value) with `value` evaluated once per row, also when fn uses it inside a lambda."""
+    return F.get(F.transform(F.array(_col(value)), fn), F.lit(0))
+
+
 def softmax(arr) -> Column:
     """exp(z - max z), scaled to sum one."""
     arr = _col(arr)
-    shifted = F.transform(arr, lambda v: F.exp(v - F.array_max(arr)))
-    return F.transform(shifted, lambda v: v / fold_sum(shifted))
+    shifted = let(F.array_max(arr), lambda top: F.transform(arr, lambda v: F.exp(v - top)))
+    return let(shifted, lambda e: let(fold_sum(e), lambda total: F.transform(e, lambda v: v / total)))
 
 
 def one_hot(label, k: int) -> Column:

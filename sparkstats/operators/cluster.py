@@ -1,11 +1,11 @@
 """k-means with random or k-means++ initialisation."""
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import rng, vectors
 from . import sampling
+from .cache import held
 
 
 def lp_distances(x: np.ndarray, points: np.ndarray, p: int = 2) -> np.ndarray:
@@ -39,14 +39,14 @@ def random_init(df: DataFrame, k: int, seed: int = 42, id_col: str = "id", featu
     return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=float)
 
 
-def plus_plus_init(df: DataFrame, k: int, seed: int = 42, id_col: str = "id", features: str = "features"):
+def plus_plus_init(df: DataFrame, k: int, seed: int = 42, id_col: str = "id", features: str = "features",
+                   cache: bool = True):
     """k-means++: each next centre drawn with probability ∝ squared distance.
 
     Weighted sampling is a race: the row with the least -ln(u) / d² wins. That
     is one min aggregate per centre; chosen rows have d = 0 and cannot win.
     """
-    src = df.select(id_col, features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df.select(id_col, features), cache) as src:
         ids, centers = random_init(src, 1, seed, id_col, features)
         while len(ids) < k:
             scored = vectors.map_vectors(
@@ -58,8 +58,6 @@ def plus_plus_init(df: DataFrame, k: int, seed: int = 42, id_col: str = "id", fe
                 raise ValueError("fewer distinct points than clusters")
             ids.append(row[1])
             centers = np.vstack([centers, np.array(row[2], dtype=float)])
-    finally:
-        src.unpersist()
     return ids, centers
 
 
@@ -77,7 +75,7 @@ def center_sums(centers: np.ndarray):
     return block
 
 
-def kmeans(df: DataFrame, centers: np.ndarray, iterations: int, features: str = "features"):
+def kmeans(df: DataFrame, centers: np.ndarray, iterations: int, features: str = "features", cache: bool = True):
     """A fixed number of iterations; returns (assigned, centers, inertias).
 
     `assigned` holds the assignment made before the last centre update. An
@@ -87,16 +85,13 @@ def kmeans(df: DataFrame, centers: np.ndarray, iterations: int, features: str =
     centers = np.array(centers, dtype=float)
     k, dim = centers.shape
     before, inertias = centers, []
-    src = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df.select(features), cache) as src:
         for _ in range(iterations):
             s = vectors.collect_sums(vectors.block_sums(src, center_sums(centers), features=features), k * (dim + 1) + 1)
             table, before = s[:-1].reshape(k, dim + 1), centers
             inertias.append(float(s[-1]))
             counts = table[:, :1]
             centers = np.where(counts > 0, table[:, 1:] / np.maximum(counts, 1), centers)
-    finally:
-        src.unpersist()
     return nearest_center(df, before, features), centers, inertias
 
 

@@ -30,7 +30,7 @@ def vocabulary(df: DataFrame, text: str, min_count: int = 2, min_len: int = 2) -
 
 def vocabulary_index(vocab: DataFrame) -> DataFrame:
     """(term, idx): place of each term in sorted order, by a distributed rank."""
-    return sampling.sorted_runs(vocab, "term").select(F.col("value").alias("term"), F.col("run_no").alias("idx"))
+    return sampling.sorted_runs(vocab.select("term"), "term").select(F.col("value").alias("term"), F.col("run_no").alias("idx"))
 
 
 def in_vocabulary(counts: DataFrame, vocab: DataFrame, rows: int | None = None) -> DataFrame:
@@ -129,8 +129,11 @@ def corpus_char_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 5) ->
     Words are counted first, so n-grams are cut once per distinct word.
     """
     words = df.select(F.explode(tx.words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
-    grams = F.concat(*[F.transform(tx.char_ngrams("word", n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("ngram")))
-                       for n in range(low, high + 1)])
+
+    def tagged(n: int) -> Column:
+        return F.transform(tx.char_ngrams("word", n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("ngram")))
+
+    grams = F.concat(*[tagged(n) for n in range(low, high + 1)])
     return words.select(F.explode(grams).alias("g"), "c").groupBy("g.n", "g.ngram").agg(F.sum("c").alias("cnt"))
 
 

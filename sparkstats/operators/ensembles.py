@@ -6,7 +6,8 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, SQLTransformer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, functions as F
 
 from . import features as ft
 
@@ -25,10 +26,22 @@ def linear_svm(c: float, rows: int, features: str = "vector", label: str = "labe
                      maxIter=max_iter, tol=1e-6)
 
 
-def svm(df: DataFrame, c: float = 1.0, degree: int = 1, kind: str = "standard", max_iter: int = 100) -> Pipeline:
-    """Two-class SVM with a polynomial kernel, as a linear SVM on its monomials."""
-    return Pipeline(stages=[ft.ScaleArray("features", "scaled", kind), ft.PolyExpand("scaled", "poly", degree),
-                            ft.ToVector("poly", "vector"), linear_svm(c, df.count(), max_iter=max_iter)])
+def svm(df: DataFrame, c: float = 1.0, kernel: str = "poly", degree: int = 1, gamma: float = 1.0, width: int = 256,
+        kind: str = "standard", max_iter: int = 100) -> Pipeline:
+    """Two-class SVM as a linear SVM on explicit features: monomials for the
+    polynomial kernel, `width` random Fourier features for the RBF kernel."""
+    if kernel not in ("poly", "rbf"):
+        raise ValueError("kernel must be poly or rbf")
+    expand = ft.PolyExpand("scaled", "wide", degree) if kernel == "poly" else ft.FourierFeatures("scaled", "wide", width, gamma)
+    return Pipeline(stages=[ft.ScaleArray("features", "scaled", kind), expand, ft.ToVector("wide", "vector"),
+                            linear_svm(c, df.count(), max_iter=max_iter)])
+
+
+def support_vectors(scored: DataFrame, label: str = "label", tolerance: float = 1e-3) -> DataFrame:
+    """Rows on or inside the margin of a fitted two-class SVM: those that determine it."""
+    score = vector_to_array("rawPrediction")[1]
+    sign = F.when(F.col(label) > 0, 1.0).otherwise(-1.0)
+    return scored.where(sign * score <= 1.0 + tolerance)
 
 
 def svm_multiclass(df: DataFrame, components: int, c: float = 10.0, degree: int = 3, max_iter: int = 50) -> Pipeline:
@@ -80,17 +93,23 @@ def fit_text_mlp(df: DataFrame, vocabulary: int, text: str = "text", label: str
 
 
 def grid_search(df: DataFrame, pipeline: Pipeline, grid: list, folds: str, k: int, label: str = "label",
-                metric: str = "accuracy", parallelism: int = 4):
+                metric: str = "accuracy", parallelism: int = 4, train_scores: bool = False):
     """Every combination on every fold; the best mean score is refitted on all rows.
 
     Folds come from a column (see `stratified_folds`). Returns the fitted
-    cross-validator and rows (combination, mean score).
+    cross-validator and rows (combination, mean score), with the mean score on
+    the training folds added if asked for.
     """
+    evaluator = MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, numFolds=k, foldCol=folds, parallelism=parallelism,
-                        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName=metric))
+                        evaluator=evaluator, collectSubModels=train_scores)
     model = cv.fit(df)
-    return model, list(enumerate(model.avgMetrics))
+    if not train_scores:
+        return model, list(enumerate(model.avgMetrics))
+    seen = [sum(evaluator.evaluate(model.subModels[f][i].transform(df.where(F.col(folds) != f))) for f in range(k)) / k
+            for i in range(len(grid))]
+    return model, [(i, held_out, seen[i]) for i, held_out in enumerate(model.avgMetrics)]
 
 
-__all__ = ["logistic", "linear_svm", "svm", "svm_multiclass", "scaled_logistic", "boosted_trees", "fit_text_mlp",
+__all__ = ["logistic", "linear_svm", "svm", "support_vectors", "svm_multiclass", "scaled_logistic", "boosted_trees", "fit_text_mlp",
            "grid_search", "ParamGridBuilder"]

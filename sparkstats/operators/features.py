@@ -197,6 +197,29 @@ class PolyExpand(_ArrayStage):
         return df.withColumn(self.getOrDefault(self.outputCol), run(F.col(self.getOrDefault(self.inputCol))))
 
 
+class FourierFeatures(_ArrayStage):
+    """√(2/k)·cos(w·x + b) with w ~ N(0, 2γ): inner products approximate exp(-γ|x - y|²)."""
+
+    k = Param(Params._dummy(), "k", "number of features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    seed = Param(Params._dummy(), "seed", "random seed", TypeConverters.toInt)
+
+    def __init__(self, inputCol="features", outputCol="fourier", k=256, gamma=1.0, seed=42):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol, k=k, gamma=gamma, seed=seed)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        k, gamma, seed = (self.getOrDefault(p) for p in (self.k, self.gamma, self.seed))
+
+        def values(x):
+            draw = np.random.Generator(np.random.PCG64(seed))
+            w = draw.normal(scale=np.sqrt(2 * gamma), size=(x.shape[1], k))
+            b = draw.uniform(0, 2 * np.pi, size=k)
+            return np.sqrt(2.0 / k) * np.cos(x @ w + b)
+
+        return df.withColumn(self.getOrDefault(self.outputCol), _vector_udf(values)(F.col(self.getOrDefault(self.inputCol))))
+
+
 class ToVector(_ArrayStage):
     """array<double> to the vector type of `pyspark.ml` estimators."""
 

@@ -8,11 +8,11 @@ of linear mini-batches is a single grouped aggregate.
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import rng, vectors
 from . import sampling
+from .cache import held
 from .gram import vector_moments
 from .linear import LinearModel
 
@@ -78,7 +78,8 @@ def gradient_table(spark, g: np.ndarray, value: str = "gradient") -> DataFrame:
 
 def fit(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: float, batches: int = 1,
         l2: float = 0.0, classes: int = 1, weights: np.ndarray | None = None, seed: int = 42,
-        id_col: str = "id", features: str = "features", target: str = "label", is_test: str = "is_test"):
+        id_col: str = "id", features: str = "features", target: str = "label", is_test: str = "is_test",
+        cache: bool = True):
     """Mini-batch gradient descent; returns (weights, curve).
 
     Rows fall into `batches` seeded batches, drawn anew each epoch. The curve
@@ -91,10 +92,9 @@ def fit(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: float, b
     w = initial_weights(dim, classes, seed=seed) if weights is None else np.array(weights, dtype=float)
     if kind == "linear":
         return _fit_linear(df, dim, epochs, learning_rate, batches, l2, w, seed, id_col, features, target, is_test)
-    src = df.select(id_col, features, target, is_test).persist(StorageLevel.MEMORY_AND_DISK)
     size = 3 + w.size
     curve = []
-    try:
+    with held(df.select(id_col, features, target, is_test), cache) as src:
         for epoch in range(epochs + 1):
             # Negative batch numbers mark test rows, so one key carries both.
             batch = sampling.batch_of(id_col, batches, epoch, seed) if batches > 1 else F.lit(0)
@@ -113,8 +113,6 @@ def fit(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: float, b
                     s = table.get(0, np.zeros(size))
                 if s[0]:
                     w = w - learning_rate * ((s[3:] / s[0]).reshape(w.shape) + l2 * w)
-    finally:
-        src.unpersist()
     return w, curve
 
 
@@ -154,7 +152,7 @@ def _fit_linear(df, dim, epochs, learning_rate, batches, l2, w, seed, id_col, fe
 
 def fit_local(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: float, batch_size: int,
               shards: int, l2: float = 0.0, classes: int = 1, weights: np.ndarray | None = None, seed: int = 42,
-              id_col: str = "id", features: str = "features", target: str = "label") -> np.ndarray:
+              id_col: str = "id", features: str = "features", target: str = "label", cache: bool = True) -> np.ndarray:
     """Tiny batches: each hash shard runs its own epoch, then weights are averaged.
 
     One job per epoch. With one shard this is plain mini-batch descent in the
@@ -163,7 +161,7 @@ def fit_local(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: fl
     w = initial_weights(dim, classes, seed=seed) if weights is None else np.array(weights, dtype=float)
     src = (df.select(id_col, features, target)
            .withColumn("_s", F.floor(rng.uniform(seed, "shard", id_col) * shards).cast("int"))
-           .repartition(shards, "_s").persist(StorageLevel.MEMORY_AND_DISK))
+           .repartition(shards, "_s"))
 
     def epoch_of(start):
         def run(batches_in):
@@ -195,7 +193,7 @@ def fit_local(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: fl
                     [pa.array([n], pa.int64()), vectors.as_list_column(state.reshape(1, -1))], names=["n", "w"])
         return run
 
-    try:
+    with held(src, cache) as src:
         for epoch in range(epochs):
             ordered = src.sortWithinPartitions("_s", rng.hash32(seed, f"epoch{epoch}", id_col), id_col)
             parts = ordered.mapInArrow(epoch_of(w), "n long, w array<double>")
@@ -205,8 +203,6 @@ def fit_local(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: fl
             for r in sums:
                 flat[r["i"]] = r["v"]
             w = flat.reshape(w.shape)
-    finally:
-        src.unpersist()
     return w
 
 
@@ -241,7 +237,7 @@ def misclassified(df: DataFrame, columns: list[str], target: str, w: np.ndarray)
 
 
 def perceptron(df: DataFrame, columns: list[str], target: str, max_rounds: int, seed: int = 42,
-               id_col: str = "id", mode: str = "first"):
+               id_col: str = "id", mode: str = "first", cache: bool = True):
     """Perceptron rounds until every row is on its side; returns (weights, rounds, done).
 
     `first`: each round adds the first misclassified row of that round's seeded
@@ -250,8 +246,7 @@ def perceptron(df: DataFrame, columns: list[str], target: str, max_rounds: int,
     """
     w = np.zeros(len(columns) + 1)
     x = [F.col(c).cast("double") for c in columns]
-    src = df.select(id_col, F.col(target).cast("double").alias("_t"), *columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with held(df.select(id_col, F.col(target).cast("double").alias("_t"), *columns), cache) as src:
         for rounds in range(max_rounds):
             wrong = misclassified(src, columns, "_t", w)
             if mode == "first":
@@ -267,5 +262,3 @@ def perceptron(df: DataFrame, columns: list[str], target: str, max_rounds: int,
                     return w, rounds, True
                 w = w + np.array(row[1:], dtype=float)
         return w, max_rounds, misclassified(src, columns, "_t", w).limit(1).count() == 0
-    finally:
-        src.unpersist()

@@ -100,11 +100,10 @@ def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, p
     schema = T.StructType([T.StructField("query_id", queries.schema["id"].dataType),
                            T.StructField("train_id", cells.schema["id"].dataType),
                            T.StructField("distance", T.DoubleType())] + [cells.schema[c] for c in carry])
-    names = schema.fieldNames()
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({n: [] for n in names})
+            return pd.DataFrame()
         right = right.sort_values("id", kind="stable").reset_index(drop=True)
         dist = np.round(metric.distances(metric.stack(left), metric.stack(right)), DECIMALS)
         pick = _top_k(dist, k)
@@ -121,7 +120,7 @@ def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, p
 
 
 def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: list[str] | None = None,
-             id_col: str = "id", pivots: int | None = None, block_rows: int = 1024, seed: int = 42) -> DataFrame:
+             id_col: str = "id", pivots: int | None = None, block_rows: int = 512, seed: int = 42) -> DataFrame:
     """(query_id, rank, train_id, distance, carry...): the k nearest rows, lowest id on ties.
 
     Distances are compared at nine decimals.
@@ -135,7 +134,8 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
     copies = Window.partitionBy(*metric.columns).orderBy("id")
     t = t.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c")
     if pivots is None:
-        pivots = min(MAX_PIVOTS, max(1, math.isqrt(train.count()) // 4))
+        rows = train.count()
+        pivots = min(MAX_PIVOTS, math.isqrt(rows) // 4) if rows > 8 * block_rows else 1
     chosen = t.orderBy(rng.hash32(seed, "pivot", "id"), "id").limit(pivots).toPandas()
     pivots = len(chosen)
     if pivots == 0:
@@ -161,7 +161,7 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
         rows, cell = np.nonzero(wanted)
         return pdf.iloc[rows].reset_index(drop=True).assign(cell=cell.astype(np.int32))
 
-    def homes(pdf, d):
+    def homes(d):
         order = np.argsort(np.where(n > 0, d, np.inf), axis=1, kind="stable")
         held = np.cumsum(n[order], axis=1) - n[order]
         wanted = np.zeros(d.shape, dtype=bool)
@@ -170,14 +170,18 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
 
     def near(frames):
         for pdf in frames:
-            yield repeat(pdf, homes(pdf, metric.distances(metric.stack(pdf), points)))
+            out = repeat(pdf, homes(metric.distances(metric.stack(pdf), points)))
+            if len(out):
+                yield out
 
     def rest(frames):
         for pdf in frames:
             d = metric.distances(metric.stack(pdf), points)
             reach = pdf["reach"].fillna(np.inf).to_numpy()[:, None] + 1e-6
             bound = np.maximum(np.maximum(d - hi, lo - d), 0)
-            yield repeat(pdf.drop(columns="reach"), (bound <= reach) & (n > 0) & ~homes(pdf, d))
+            out = repeat(pdf.drop(columns="reach"), (bound <= reach) & (n > 0) & ~homes(d))
+            if len(out):
+                yield out
 
     search = lambda visits: _search(visits, cells, count, metric, k, pivots, block_rows, seed, carry)
     found = materialize(_keep(search(q.mapInPandas(near, visit)), k), "neighbors")

@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import rng
+from ..sources.models import materialize
 
 BUCKETS = 1024
 MAX_OFFSET_ROWS = 1 << 17
@@ -119,68 +120,80 @@ def batch_of(id_col, batches: int, epoch: int | Column = 0, seed: int = 42) -> C
     return F.floor(u * batches).cast("int")
 
 
-def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
-    """Distinct values with their weight and start rank in sorted order.
+def _bucketed_runs(df: DataFrame, value: str, seed: int, buckets: int):
+    """Distinct values with weight and bucket, stored, and (bucket, weight, values) counts.
 
-    Result: (value, weight, first_rank, run_no). Copies collapse before the
-    sort, and bucket edges come from a hash sample of the distinct values, so
-    no value and no group of copies can overload a bucket.
+    Copies collapse before anything is sorted, and bucket edges come from a
+    hash sample of the distinct values, so no value and no group of copies can
+    overload a bucket.
     """
-    spark = df.sparkSession
     kind = df.schema[value].dataType
-    runs = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count("*").alias("weight"))
+    runs = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value"))
+            .agg(F.count("*").alias("weight")))
+    runs = materialize(runs, "runs")
     sample = [r[0] for r in runs.orderBy(rng.digest(seed, "edges", "value")).select("value").limit(buckets * 4).collect()]
-    edges = sorted(sample)[3::4]
-    found = np.array(edges, dtype=object if isinstance(kind, T.StringType) else None)
+    edges = np.array(sorted(sample)[3::4], dtype=object if isinstance(kind, T.StringType) else None)
 
     @F.pandas_udf("int")
     def bucket(v: pd.Series) -> pd.Series:
-        data = v.to_numpy(dtype=object) if found.dtype == object else v.to_numpy()
-        return pd.Series(np.searchsorted(found, data, side="right").astype(np.int32))
+        data = v.to_numpy(dtype=object) if edges.dtype == object else v.to_numpy()
+        return pd.Series(np.searchsorted(edges, data, side="right").astype(np.int32))
 
     runs = runs.withColumn("_b", bucket("value"))
     totals = sorted(tuple(r) for r in runs.groupBy("_b").agg(F.sum("weight"), F.count("*")).collect())
+    return runs, totals
+
+
+def _ranked_runs(runs: DataFrame, totals: list[tuple], only: set | None = None) -> DataFrame:
     rows, weight_before, runs_before = [], 0, 0
     for b, w, c in totals:
-        rows.append((b, weight_before, runs_before))
+        if only is None or b in only:
+            rows.append((b, weight_before, runs_before))
         weight_before += w
         runs_before += c
-    offsets = _offset_table(spark, rows, "_b int, _w long, _c long")
+    offsets = _offset_table(runs.sparkSession, rows, "_b int, _w long, _c long")
     by_value = Window.partitionBy("_b").orderBy("value")
-    return (runs.withColumn("_s", F.sum("weight").over(by_value.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight"))
-            .withColumn("_n", F.row_number().over(by_value) - 1)
-            .join(offsets, "_b")
-            .select("value", "weight", (F.col("_w") + F.col("_s")).alias("first_rank"),
-                    (F.col("_c") + F.col("_n")).alias("run_no")))
+    before = F.sum("weight").over(by_value.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
+    return (runs.join(offsets, "_b")
+            .withColumn("first_rank", F.col("_w") + before)
+            .withColumn("run_no", F.col("_c") + F.row_number().over(by_value) - 1)
+            .select("value", "weight", "first_rank", "run_no"))
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> list[float]:
-    """Exact quantiles with linear interpolation, without a single-task buffer."""
-    cast = df.select(F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull())
-    n = cast.count()
+def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
+    """Distinct values in sorted order: (value, weight, first_rank, run_no)."""
+    return _ranked_runs(*_bucketed_runs(df, value, seed, buckets))
+
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], seed: int = 42,
+                    buckets: int = BUCKETS) -> list[float]:
+    """Exact quantiles with linear interpolation, without a single-task buffer.
+
+    Bucket counts tell which buckets hold the wanted ranks; only those are sorted.
+    """
+    runs, totals = _bucketed_runs(df.select(F.col(value).cast("double").alias("value")), "value", seed, buckets)
+    n = sum(w for _, w, _ in totals)
     if n == 0:
         return [None] * len(probabilities)
     places = [p * (n - 1) for p in probabilities]
-    wanted = sorted({r for x in places for r in (math.floor(x), math.ceil(x))})
-    runs = sorted_runs(cast, "value")
-    spans = (runs.withColumn("last", F.col("first_rank") + F.col("weight") - 1))
-    # A run is kept when the least wanted rank at or after its start lies inside it.
-    ranks = np.array(wanted)
+    wanted = np.array(sorted({r for x in places for r in (math.floor(x), math.ceil(x))}))
+    ends = np.cumsum([w for _, w, _ in totals])
+    hit = {totals[i][0] for i in np.searchsorted(ends, wanted, side="right")}
 
     @F.pandas_udf("boolean")
-    def holds(first: pd.Series, last: pd.Series) -> pd.Series:
-        at = np.searchsorted(ranks, first.to_numpy(), side="left")
-        nearest = ranks[np.minimum(at, len(ranks) - 1)]
-        return pd.Series((at < len(ranks)) & (nearest <= last.to_numpy()))
-
-    kept = sorted(tuple(r) for r in spans.where(holds("first_rank", "last")).select("first_rank", "value").collect())
-    starts = np.array([s for s, _ in kept])
-    values = np.array([v for _, v in kept])
-    at_rank = {r: float(values[np.searchsorted(starts, r, side="right") - 1]) for r in wanted}
+    def holds(first: pd.Series, weight: pd.Series) -> pd.Series:
+        at = np.searchsorted(wanted, first.to_numpy(), side="left")
+        nearest = wanted[np.minimum(at, len(wanted) - 1)]
+        return pd.Series((at < len(wanted)) & (nearest < (first + weight).to_numpy()))
+
+    kept = sorted(tuple(r) for r in _ranked_runs(runs, totals, hit).where(holds("first_rank", "weight"))
+                  .select("first_rank", "value").collect())
+    starts, values = np.array([s for s, _ in kept]), [v for _, v in kept]
+    at_rank = lambda r: float(values[np.searchsorted(starts, r, side="right") - 1])
     out = []
     for x in places:
-        lo, hi = at_rank[math.floor(x)], at_rank[math.ceil(x)]
-        out.append(lo + (hi - lo) * (x - math.floor(x)))
+        low, high = at_rank(math.floor(x)), at_rank(math.ceil(x))
+        out.append(low + (high - low) * (x - math.floor(x)))
     return out
 
 
@@ -190,13 +203,13 @@ def bootstrap_weights(df: DataFrame, id_col: str, samples: int, seed: int = 42)
     Meant to be aggregated by sample at once: the partial aggregate then
     shuffles one row per sample and task. Sample sizes vary around N.
     """
-    lanes = (samples + 3) // 4
-    drawn = (df.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    groups = (samples + 3) // 4
+    drawn = (df.withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
              .withColumn("_d", rng.digest(seed, "bootstrap", "_g", id_col))
-             .withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(3))))
+             .select("*", F.posexplode(rng.lanes(F.col("_d"))).alias("_l", "_h"))
              .withColumn("sample", F.col("_g") * 4 + F.col("_l"))
-             .withColumn("times", rng.poisson1(rng.uniform_from(F.col("_d"), F.col("_l")))))
-    return drawn.where((F.col("times") > 0) & (F.col("sample") < samples)).drop("_g", "_d", "_l")
+             .withColumn("times", rng.poisson1(F.col("_h"))))
+    return drawn.where((F.col("times") > 0) & (F.col("sample") < samples)).drop("_g", "_d", "_l", "_h")
 
 
 def bootstrap_exact(df: DataFrame, id_col: str, samples: int, seed: int = 42) -> DataFrame:

@@ -142,9 +142,9 @@ def binarize(spark, sf):
 
 
 @query("misclassified", f"""WITH {b.SEPARABLE} SELECT id, t FROM sep
-  WHERE t * (-0.6 + 1.0 * a + 0.1 * b - 0.2 * c) <= 0""")
+  WHERE t * (-0.8 + 1.0 * a + 0.1 * b - 0.2 * c) <= 0""")
 def misclassified(spark, sf):
-    return gradient.misclassified(b.separable(spark, sf), ["a", "b", "c"], "t", [1.0, 0.1, -0.2, -0.6]).select("id", "t")
+    return gradient.misclassified(b.separable(spark, sf), ["a", "b", "c"], "t", [1.0, 0.1, -0.2, -0.8]).select("id", "t")
 
 
 @query("feature_prefix", f"WITH {VEC} SELECT id, d, x FROM vec WHERE d < 4")

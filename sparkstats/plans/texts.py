@@ -6,7 +6,7 @@ from ..functions import text as tx
 from ..operators import documents as dc, metrics
 from ..sources import tables
 from . import base as b
-from .base import DOCS, SPACE, WORD, query, r, rs, table
+from .base import DOCS, SPACE, WORD, query, r, rs
 
 FROM, TO = b.ACCENTED + b.ACCENTED.upper(), b.PLAIN + b.PLAIN.upper()
 
@@ -32,13 +32,13 @@ N_TRAIN = "(SELECT count(*) FROM docs WHERE NOT is_test)"
 
 @query("strip_diacritics", f"SELECT doc_id, {strip_sql('text')} AS text FROM documents")
 def strip_diacritics(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", strip(F.col("text")).alias("text"))
+    return b.texts(spark, sf).select("doc_id", strip(F.col("text")).alias("text"))
 
 
 @query("tokenize", f"""SELECT doc_id, CAST(len(t) AS INTEGER) AS n, md5(array_to_string(t, ' ')) AS digest
   FROM (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS t FROM documents)""")
 def tokenize(spark, sf):
-    t = table(spark, sf, "documents").select("doc_id", tx.tokens("text").alias("t"))
+    t = b.texts(spark, sf).select("doc_id", tx.tokens("text").alias("t"))
     return t.select("doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
@@ -48,7 +48,7 @@ def tokenize(spark, sf):
   SELECT ngram, count(*) AS cnt FROM (SELECT a AS ngram FROM x UNION ALL SELECT a || ' ' || b FROM x WHERE b IS NOT NULL
     UNION ALL SELECT a || ' ' || b || ' ' || c FROM x WHERE c IS NOT NULL) GROUP BY ngram""")
 def word_ngrams(spark, sf):
-    return dc.corpus_word_ngrams(table(spark, sf, "documents"), "text")
+    return dc.corpus_word_ngrams(b.texts(spark, sf), "text")
 
 
 @query("ngram_counts", f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM documents),
@@ -58,7 +58,7 @@ def word_ngrams(spark, sf):
   SELECT doc_id, count(*) AS ngrams, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS most, CAST(sum(cnt * length(ngram)) AS BIGINT) AS letters FROM g GROUP BY doc_id""")
 def ngram_counts(spark, sf):
     """Per document: totals over its (n-gram, count) table."""
-    g = dc.word_ngram_counts(table(spark, sf, "documents"), "doc_id", "text", 1, 2)
+    g = dc.word_ngram_counts(b.texts(spark, sf), "doc_id", "text", 1, 2)
     return g.groupBy("doc_id").agg(F.count("*").alias("ngrams"), F.sum("cnt").alias("total"), F.max("cnt").alias("most"),
                                    F.sum(F.col("cnt") * F.length("ngram")).alias("letters"))
 
@@ -68,7 +68,7 @@ def ngram_counts(spark, sf):
     SELECT n, substr(w, i, n) AS ngram, c FROM (SELECT w, c, n, unnest(range(1, length(w) - n + 2)) AS i FROM w, range(1, 6) AS g(n) WHERE length(w) >= n))
   GROUP BY n, ngram""")
 def char_ngrams(spark, sf):
-    return dc.corpus_char_ngrams(table(spark, sf, "documents"), "text")
+    return dc.corpus_char_ngrams(b.texts(spark, sf), "text")
 
 
 @query("vocabulary", f"WITH {COUNTS} SELECT term, total AS cnt, idx FROM vocab JOIN idx USING (term)")

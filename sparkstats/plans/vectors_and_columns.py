@@ -264,10 +264,10 @@ def softmax(spark, sf):
 CHANCE = "1 / (1 + exp(-(a + b - c)))"
 
 
-@query("log_loss_binary", f"""WITH {PARTS}, s AS (SELECT id, CASE WHEN id % 97 = 0 THEN 0.0::DOUBLE ELSE {CHANCE} END AS p, CAST(id % 2 AS DOUBLE) AS t FROM parts)
+@query("log_loss_binary", f"""WITH {PARTS}, s AS (SELECT id, CASE WHEN {b.u(3, 'sure', 'id')} < 0.01 THEN 0.0::DOUBLE ELSE {CHANCE} END AS p, CAST(id % 2 AS DOUBLE) AS t FROM parts)
   SELECT id, {rs('-t * ln(greatest(1e-15::DOUBLE, least(1 - 1e-15::DOUBLE, p))) - (1 - t) * ln(1 - greatest(1e-15::DOUBLE, least(1 - 1e-15::DOUBLE, p)))')} AS loss FROM s""")
 def log_loss_binary(spark, sf):
-    p = F.when(F.col("id") % 97 == 0, F.lit(0.0)).otherwise(scalars.sigmoid(F.col("a") + F.col("b") - F.col("c")))
+    p = F.when(rng.uniform(3, "sure", "id") < 0.01, F.lit(0.0)).otherwise(scalars.sigmoid(F.col("a") + F.col("b") - F.col("c")))
     rows = b.parts(spark, sf).select("id", p.alias("p"), (F.col("id") % 2).cast("double").alias("t"))
     return rows.select("id", r(scalars.log_loss_binary("p", "t")).alias("loss"))
 
@@ -298,9 +298,9 @@ def accuracy(spark, sf):
     return v.agg(r(metrics.accuracy("prediction", "label")).alias("accuracy"))
 
 
-@query("accuracy_prob", f"""WITH {PARTS} SELECT {rs('avg(CAST(abs(CASE WHEN id % 10 = 0 THEN 0.5 ELSE a END - id % 2) <= 0.5 AS INTEGER))')} AS accuracy FROM parts""")
+@query("accuracy_prob", f"""WITH {PARTS} SELECT {rs('avg(CAST(abs(CASE WHEN ' + b.u(3, 'half', 'id') + ' < 0.1 THEN 0.5 ELSE a END - id % 2) <= 0.5 AS INTEGER))')} AS accuracy FROM parts""")
 def accuracy_prob(spark, sf):
-    p = F.when(F.col("id") % 10 == 0, F.lit(0.5)).otherwise(F.col("a"))
+    p = F.when(rng.uniform(3, "half", "id") < 0.1, F.lit(0.5)).otherwise(F.col("a"))
     rows = b.parts(spark, sf).select(p.alias("p"), (F.col("id") % 2).cast("double").alias("t"))
     return rows.agg(r(metrics.accuracy_prob("p", "t")).alias("accuracy"))
 
