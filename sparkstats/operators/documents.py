@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import text as tx
+from ..functions import text as tx, vectors
 from ..sources.models import materialize
 from . import neighbors, sampling
 
@@ -60,23 +60,31 @@ def weights(counts: DataFrame, id_col: str, tf: bool, idf_column: str | None = N
     return raw.withColumn("weight", F.coalesce(F.try_divide(F.col("_w"), size), F.lit(0.0))).drop("_w")
 
 
-def fit_transform(train: DataFrame, test: DataFrame | None, id_col: str, text: str, tf: bool, use_idf: bool,
-                  min_count: int = 2, min_len: int = 2, indexed: bool = False):
-    """Vocabulary and IDF from `train`; unit-length term weights of both tables.
-
-    Every non-empty training term count is computed once and stored, since the
-    vocabulary, the document frequencies and the weights all read it.
-    """
-    counts = materialize(token_counts(train, id_col, text, min_len), "term-counts")
+def fit_vocabulary(train: DataFrame, counts: DataFrame, use_idf: bool, min_count: int = 2, numbered: bool = False):
+    """(vocabulary table, its size) from stored training counts; with IDF and term numbers if asked for."""
     vocab = (counts.groupBy("term").agg(F.sum("cnt").alias("total"), F.count("*").alias("df"))
              .where(F.col("total") >= min_count))
     if use_idf:
         vocab = vocab.withColumn("idf", F.ln(F.lit(float(train.count())) / (F.col("df") + 1)))
-    vocab = vocab.drop("total", "df")
-    if indexed:
-        vocab = materialize(vocab, "vocabulary")
-        vocab = materialize(vocab.join(vocabulary_index(vocab), "term"), "vocabulary")
+    vocab = materialize(vocab.drop("total", "df"), "vocabulary")
     rows = vocab.count()
+    if numbered:
+        # A 64-bit hash numbers the terms; should two terms ever share one, ranks do.
+        hashed = vocab.withColumn("idx", F.xxhash64("term"))
+        clash = hashed.select("idx").distinct().count() < rows
+        vocab = materialize(vocab.join(vocabulary_index(vocab), "term"), "vocabulary") if clash else hashed
+    return vocab, rows
+
+
+def fit_transform(train: DataFrame, test: DataFrame | None, id_col: str, text: str, tf: bool, use_idf: bool,
+                  min_count: int = 2, min_len: int = 2):
+    """Vocabulary and IDF from `train`; unit-length term weights of both tables.
+
+    Training term counts are computed once and stored, since the vocabulary,
+    the document frequencies and the weights all read them.
+    """
+    counts = materialize(token_counts(train, id_col, text, min_len), "term-counts")
+    vocab, rows = fit_vocabulary(train, counts, use_idf, min_count)
 
     def transform(c):
         return weights(in_vocabulary(c, vocab, rows), id_col, tf, "idf" if use_idf else None)
@@ -84,27 +92,39 @@ def fit_transform(train: DataFrame, test: DataFrame | None, id_col: str, text: s
     return transform(counts), (transform(token_counts(test, id_col, text, min_len)) if test is not None else None)
 
 
-def sparse_rows(long: DataFrame, base: DataFrame, id_col: str) -> DataFrame:
-    """(id, terms, weights, base columns...): one row per document, also for empty ones."""
-    pairs = F.sort_array(F.collect_list(F.struct("idx", "weight")))
-    packed = long.groupBy(id_col).agg(pairs.alias("p"))
+def sparse_rows(counts: DataFrame, base: DataFrame, id_col: str, tf: bool, idf_column: str | None = None) -> DataFrame:
+    """(id, terms, weights, base columns...): unit-length rows, one per document, also for empty ones.
+
+    A document's count of terms scales all its weights alike, so it drops out here.
+    """
+    w = F.col("cnt").cast("double") if tf else F.lit(1.0)
+    w = w * F.col(idf_column) if idf_column else w
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("idx"), w.alias("w"))))
+    packed = counts.groupBy(id_col).agg(pairs.alias("p"))
+    size = F.sqrt(F.aggregate("p", F.lit(0.0), lambda acc, s: acc + s["w"] * s["w"]))
+    unit = vectors.let(size, lambda n: F.transform("p", lambda s: F.coalesce(F.try_divide(s["w"], n), F.lit(0.0))))
     empty = lambda kind: F.array().cast(f"array<{kind}>")
     return (base.join(packed, id_col, "left")
-            .withColumn("terms", F.coalesce(F.col("p.idx"), empty("bigint")))
-            .withColumn("weights", F.coalesce(F.col("p.weight"), empty("double"))).drop("p"))
+            .withColumn("terms", F.coalesce(F.col("p")["idx"], empty("bigint")))
+            .withColumn("weights", F.coalesce(unit, empty("double"))).drop("p"))
 
 
 def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k: int = 1, tf: bool = True,
-        use_idf: bool = True, **options) -> DataFrame:
+        use_idf: bool = True, min_count: int = 2, min_len: int = 2, **options) -> DataFrame:
     """Nearest training documents by Euclidean distance of unit rows (the order of cosine similarity).
 
     A document without vocabulary terms is a zero row: equally far from all
     non-zero rows, so the lowest id wins.
     """
-    a, b = fit_transform(train, test, id_col, text, tf, use_idf, indexed=True)
-    rows = materialize(sparse_rows(a, train.select(id_col, label), id_col), "train-rows")
-    asked = materialize(sparse_rows(b, test.select(id_col), id_col), "test-rows")
-    return neighbors.knn_join(asked, rows, k, neighbors.Sparse(), [label], id_col, **options)
+    counts = materialize(token_counts(train, id_col, text, min_len), "term-counts")
+    vocab, rows = fit_vocabulary(train, counts, use_idf, min_count, numbered=True)
+
+    def pack(c, base, name):
+        return materialize(sparse_rows(in_vocabulary(c, vocab, rows), base, id_col, tf, "idf" if use_idf else None), name)
+
+    known = pack(counts, train.select(id_col, label), "train-rows")
+    asked = pack(token_counts(test, id_col, text, min_len), test.select(id_col), "test-rows")
+    return neighbors.knn_join(asked, known, k, neighbors.Sparse(), [label], id_col, **options)
 
 
 def word_ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 3, lower: bool = True) -> DataFrame:

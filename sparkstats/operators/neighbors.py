@@ -20,6 +20,8 @@ from .cluster import lp_distances
 
 DECIMALS = 9
 MAX_PIVOTS = 256
+SMALL = 200_000
+QUERY_CHUNK = 1024
 
 
 class Dense:
@@ -47,12 +49,13 @@ class Dense:
 class Sparse:
     """Euclidean distance between unit-length sparse rows: sorted term numbers and weights."""
 
-    CHUNK = 4096
+    BYTES = 128 << 20
 
     def __init__(self, terms: str = "terms", weights: str = "weights"):
         self.columns = [terms, weights]
 
     def stack(self, pdf: pd.DataFrame):
+        """(rows, row number, term, weight) with one entry per non-zero, in row order."""
         idx = [np.asarray(v, dtype=np.int64) for v in pdf[self.columns[0]]]
         val = [np.asarray(v, dtype=float) for v in pdf[self.columns[1]]]
         rows = np.repeat(np.arange(len(idx)), [len(v) for v in idx])
@@ -63,24 +66,33 @@ class Sparse:
         (n, ra, ia, va), (m, rb, ib, vb) = a, b
         shared = np.intersect1d(ia, ib)
         dots = np.zeros((n, m))
-        for s in range(0, len(shared), self.CHUNK):
-            part = shared[s:s + self.CHUNK]
-            dots += self._dense(n, ra, ia, va, part) @ self._dense(m, rb, ib, vb, part).T
+        if len(shared):
+            row, term, value = self._within(shared, ra, ia, va)
+            col, place, weight = self._within(shared, rb, ib, vb)
+            start = np.searchsorted(row, np.arange(n + 1))
+            width = max(16, self.BYTES // (8 * len(shared)))
+            for s in range(0, m, width):
+                lo, hi = np.searchsorted(col, [s, s + width])
+                block = np.zeros((len(shared), min(width, m - s)))
+                block[place[lo:hi], col[lo:hi] - s] = weight[lo:hi]
+                for q in range(n):
+                    at = slice(start[q], start[q + 1])
+                    dots[q, s:s + width] = value[at] @ block[term[at]]
         qa = np.bincount(ra, va * va, n) if len(ra) else np.zeros(n)
         qb = np.bincount(rb, vb * vb, m) if len(rb) else np.zeros(m)
         return np.sqrt(np.maximum(np.round(qa[:, None] + qb[None, :] - 2 * dots, 12), 0))
 
     @staticmethod
-    def _dense(n, rows, idx, val, part):
-        out = np.zeros((n, len(part)))
-        at = np.searchsorted(part, idx)
-        ok = (at < len(part)) & (part[np.minimum(at, len(part) - 1)] == idx)
-        out[rows[ok], at[ok]] = val[ok]
-        return out
+    def _within(shared, rows, terms, values):
+        at = np.searchsorted(shared, terms)
+        ok = (at < len(shared)) & (shared[np.minimum(at, len(shared) - 1)] == terms)
+        return rows[ok], at[ok], values[ok]
 
 
 def _top_k(dist: np.ndarray, k: int) -> np.ndarray:
     """Columns of the k least values per row; equal values keep column order."""
+    if k == 1:
+        return dist.argmin(1)[:, None]
     return np.argsort(dist, axis=1, kind="stable")[:, :k]
 
 
@@ -105,14 +117,17 @@ def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, p
         if left.empty or right.empty:
             return pd.DataFrame()
         right = right.sort_values("id", kind="stable").reset_index(drop=True)
-        dist = np.round(metric.distances(metric.stack(left), metric.stack(right)), DECIMALS)
-        pick = _top_k(dist, k)
-        flat = pick.ravel()
+        points, picks, dists = metric.stack(right), [], []
+        for s in range(0, len(left), QUERY_CHUNK):
+            dist = np.round(metric.distances(metric.stack(left[s:s + QUERY_CHUNK]), points), DECIMALS)
+            pick = _top_k(dist, k)
+            picks.append(pick)
+            dists.append(np.take_along_axis(dist, pick, 1))
+        pick, dist = np.concatenate(picks), np.concatenate(dists)
         out = {"query_id": np.repeat(left["id"].to_numpy(), pick.shape[1]),
-               "train_id": right["id"].to_numpy()[flat],
-               "distance": np.take_along_axis(dist, pick, 1).ravel()}
+               "train_id": right["id"].to_numpy()[pick.ravel()], "distance": dist.ravel()}
         for c in carry:
-            out[c] = right[c].to_numpy()[flat]
+            out[c] = right[c].to_numpy()[pick.ravel()]
         return pd.DataFrame(out)
 
     keys = ["cell", "qb", "tb"]
@@ -120,7 +135,7 @@ def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, p
 
 
 def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: list[str] | None = None,
-             id_col: str = "id", pivots: int | None = None, block_rows: int = 512, seed: int = 42) -> DataFrame:
+             id_col: str = "id", pivots: int | None = None, block_rows: int | None = None, seed: int = 42) -> DataFrame:
     """(query_id, rank, train_id, distance, carry...): the k nearest rows, lowest id on ties.
 
     Distances are compared at nine decimals.
@@ -133,13 +148,19 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
     t = train.select(F.col(id_col).alias("id"), *metric.columns, *carry)
     copies = Window.partitionBy(*metric.columns).orderBy("id")
     t = t.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c")
+    rows = train.count()
+    if rows == 0:
+        raise ValueError("the training table is empty")
+    block_rows = block_rows or (512 if rows <= SMALL else 4096)
     if pivots is None:
-        rows = train.count()
-        pivots = min(MAX_PIVOTS, math.isqrt(rows) // 4) if rows > 8 * block_rows else 1
+        pivots = min(MAX_PIVOTS, math.isqrt(rows) // 4) if rows > SMALL else 1
+    if pivots == 1:
+        # One cell: nothing to prune, so no pivot is needed.
+        cells = materialize(t.withColumn("cell", F.lit(0)), "cells")
+        found = _search(q.withColumn("cell", F.lit(0)), cells, {0: rows}, metric, k, 1, block_rows, seed, carry)
+        return _keep(found, k).select("query_id", "rank", "train_id", "distance", *carry)
     chosen = t.orderBy(rng.hash32(seed, "pivot", "id"), "id").limit(pivots).toPandas()
     pivots = len(chosen)
-    if pivots == 0:
-        raise ValueError("the training table is empty")
     points = metric.stack(chosen)
 
     def assign(frames):
@@ -183,9 +204,9 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
             if len(out):
                 yield out
 
-    search = lambda visits: _search(visits, cells, count, metric, k, pivots, block_rows, seed, carry)
+    search = lambda visits: _search(visits, cells.drop("pd"), count, metric, k, pivots, block_rows, seed, carry)
     found = materialize(_keep(search(q.mapInPandas(near, visit)), k), "neighbors")
-    if pivots > 1:
+    if len(count) > 1:
         reach = (found.groupBy("query_id").agg(F.max("distance").alias("reach"), F.count("*").alias("held"))
                  .select(F.col("query_id").alias("id"), F.when(F.col("held") >= k, F.col("reach")).alias("reach")))
         found = found.drop("rank").unionByName(search(q.join(reach, "id", "left").mapInPandas(rest, visit)))
