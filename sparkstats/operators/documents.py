@@ -28,15 +28,23 @@ def vocabulary(df: DataFrame, text: str, min_count: int = 2, min_len: int = 2) -
             .agg(F.count("*").alias("cnt")).where(F.col("cnt") >= min_count))
 
 
+def vocabulary_of(counts: DataFrame, min_count: int = 2) -> DataFrame:
+    """The same (term, cnt) from per-document counts that are already at hand."""
+    return counts.groupBy("term").agg(F.sum("cnt").alias("cnt")).where(F.col("cnt") >= min_count)
+
+
 def vocabulary_index(vocab: DataFrame) -> DataFrame:
     """(term, idx): place of each term in sorted order, by a distributed rank."""
     return sampling.sorted_runs(vocab.select("term"), "term").select(F.col("value").alias("term"), F.col("run_no").alias("idx"))
 
 
 def in_vocabulary(counts: DataFrame, vocab: DataFrame, rows: int | None = None) -> DataFrame:
-    """Keep the terms of the vocabulary, with its other columns."""
-    rows = vocab.count() if rows is None else rows
-    return counts.join(_small(vocab, rows), "term")
+    """Keep the terms of the vocabulary, with its other columns.
+
+    With a counted vocabulary the choice of a broadcast is made here; without,
+    adaptive execution makes it from the size it has measured.
+    """
+    return counts.join(vocab if rows is None else _small(vocab, rows), "term")
 
 
 def idf(counts: DataFrame, documents: int) -> DataFrame:
@@ -149,12 +157,11 @@ def corpus_char_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 5) ->
     Words are counted first, so n-grams are cut once per distinct word.
     """
     words = df.select(F.explode(tx.words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
-
-    def tagged(n: int) -> Column:
-        return F.transform(tx.char_ngrams("word", n), lambda g: F.struct(F.lit(n).alias("n"), g.alias("ngram")))
-
-    grams = F.concat(*[tagged(n) for n in range(low, high + 1)])
-    return words.select(F.explode(grams).alias("g"), "c").groupBy("g.n", "g.ngram").agg(F.sum("c").alias("cnt"))
+    padded = words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("w"), "c")
+    sized = padded.select("w", "c", F.explode(F.sequence(F.lit(low), F.least(F.length("w"), F.lit(high)))).alias("n"))
+    placed = sized.select("w", "c", "n", F.explode(F.sequence(F.lit(1), F.length("w") - F.col("n") + 1)).alias("i"))
+    return (placed.select("n", F.substring("w", F.col("i"), F.col("n")).alias("ngram"), "c")
+            .groupBy("n", "ngram").agg(F.sum("c").alias("cnt")))
 
 
 def variants(train: DataFrame, text: str, strip) -> DataFrame:

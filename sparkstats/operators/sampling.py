@@ -9,6 +9,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import rng
@@ -17,6 +18,7 @@ from ..sources.models import materialize
 BUCKETS = 1024
 MAX_OFFSET_ROWS = 1 << 17
 SELECT_ROWS = 4096
+NATIVE_RANGES = 64
 
 
 def _offset_table(spark, rows: list[tuple], schema: str) -> DataFrame:
@@ -120,8 +122,8 @@ def batch_of(id_col, batches: int, epoch: int | Column = 0, seed: int = 42) -> C
     return F.floor(u * batches).cast("int")
 
 
-def _bucketed_runs(df: DataFrame, value: str, seed: int, buckets: int):
-    """Distinct values with weight and bucket, stored, and (bucket, weight, values) counts.
+def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
+    """Distinct values in sorted order: (value, weight, first_rank, run_no).
 
     Copies collapse before anything is sorted, and bucket edges come from a
     hash sample of the distinct values, so no value and no group of copies can
@@ -140,18 +142,12 @@ def _bucketed_runs(df: DataFrame, value: str, seed: int, buckets: int):
         return pd.Series(np.searchsorted(edges, data, side="right").astype(np.int32))
 
     runs = runs.withColumn("_b", bucket("value"))
-    totals = sorted(tuple(r) for r in runs.groupBy("_b").agg(F.sum("weight"), F.count("*")).collect())
-    return runs, totals
-
-
-def _ranked_runs(runs: DataFrame, totals: list[tuple], only: set | None = None) -> DataFrame:
     rows, weight_before, runs_before = [], 0, 0
-    for b, w, c in totals:
-        if only is None or b in only:
-            rows.append((b, weight_before, runs_before))
+    for b, w, c in sorted(tuple(r) for r in runs.groupBy("_b").agg(F.sum("weight"), F.count("*")).collect()):
+        rows.append((b, weight_before, runs_before))
         weight_before += w
         runs_before += c
-    offsets = _offset_table(runs.sparkSession, rows, "_b int, _w long, _c long")
+    offsets = _offset_table(df.sparkSession, rows, "_b int, _w long, _c long")
     by_value = Window.partitionBy("_b").orderBy("value")
     before = F.sum("weight").over(by_value.rowsBetween(Window.unboundedPreceding, 0)) - F.col("weight")
     return (runs.join(offsets, "_b")
@@ -160,25 +156,64 @@ def _ranked_runs(runs: DataFrame, totals: list[tuple], only: set | None = None)
             .select("value", "weight", "first_rank", "run_no"))
 
 
-def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
-    """Distinct values in sorted order: (value, weight, first_rank, run_no)."""
-    return _ranked_runs(*_bucketed_runs(df, value, seed, buckets))
+def _bucket_counts(df: DataFrame, edges: np.ndarray) -> np.ndarray:
+    """Rows per bucket; each task counts its own rows and returns one array."""
+
+    def run(batches):
+        total = np.zeros(len(edges) + 1, dtype=np.int64)
+        for batch in batches:
+            v = batch.column(0).to_numpy(zero_copy_only=False)
+            total += np.bincount(np.searchsorted(edges, v, side="right"), minlength=len(edges) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.int64()))], names=["n"])
+
+    parts = df.mapInArrow(run, "n array<bigint>").select(F.posexplode("n").alias("b", "n"))
+    out = np.zeros(len(edges) + 1, dtype=np.int64)
+    for r in parts.groupBy("b").agg(F.sum("n").alias("n")).collect():
+        out[r["b"]] = r["n"]
+    return out
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], seed: int = 42,
-                    buckets: int = BUCKETS) -> list[float]:
+def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], buckets: int = BUCKETS) -> list[float]:
     """Exact quantiles with linear interpolation, without a single-task buffer.
 
-    Bucket counts tell which buckets hold the wanted ranks; only those are sorted.
+    An approximate sketch gives bucket edges, one pass counts the rows of each
+    bucket, and only the buckets that hold a wanted rank are sorted, after
+    their copies have collapsed. The sketch decides balance, never the result.
     """
-    runs, totals = _bucketed_runs(df.select(F.col(value).cast("double").alias("value")), "value", seed, buckets)
-    n = sum(w for _, w, _ in totals)
+    data = df.select(F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull())
+    marks = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(value, array({marks}), {10 * buckets})")
+    edges = np.unique(np.array(data.agg(sketch).first()[0] or [], dtype=float))
+    counts = _bucket_counts(data, edges)
+    n = int(counts.sum())
     if n == 0:
         return [None] * len(probabilities)
     places = [p * (n - 1) for p in probabilities]
     wanted = np.array(sorted({r for x in places for r in (math.floor(x), math.ceil(x))}))
-    ends = np.cumsum([w for _, w, _ in totals])
-    hit = {totals[i][0] for i in np.searchsorted(ends, wanted, side="right")}
+    before = np.cumsum(counts) - counts
+    hit = sorted({int(i) for i in np.searchsorted(np.cumsum(counts), wanted, side="right")})
+
+    def inside(b: int) -> str:
+        low = f"value >= {float(edges[b - 1])!r}D" if b > 0 else "true"
+        return f"({low} AND value < {float(edges[b])!r}D)" if b < len(edges) else f"({low})"
+
+    if len(hit) <= NATIVE_RANGES:
+        # Few ranges: plain predicates, which also reach the scan.
+        rows = data.where(" OR ".join(inside(b) for b in hit))
+        bucket = F.expr("CASE " + " ".join(f"WHEN {inside(b)} THEN {b}" for b in hit) + " END")
+    else:
+        @F.pandas_udf("int")
+        def find(v: pd.Series) -> pd.Series:
+            return pd.Series(np.searchsorted(edges, v.to_numpy(), side="right").astype(np.int32))
+
+        rows, bucket = data, find("value")
+    runs = rows.groupBy("value").agg(F.count("*").alias("weight")).withColumn("_b", bucket)
+    if len(hit) > NATIVE_RANGES:
+        runs = runs.where(F.col("_b").isin(hit))
+    offsets = _offset_table(df.sparkSession, [(b, int(before[b])) for b in hit], "_b int, _w long")
+    by_value = Window.partitionBy("_b").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (runs.join(offsets, "_b")
+              .withColumn("first_rank", F.col("_w") + F.sum("weight").over(by_value) - F.col("weight")))
 
     @F.pandas_udf("boolean")
     def holds(first: pd.Series, weight: pd.Series) -> pd.Series:
@@ -186,8 +221,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], seed:
         nearest = wanted[np.minimum(at, len(wanted) - 1)]
         return pd.Series((at < len(wanted)) & (nearest < (first + weight).to_numpy()))
 
-    kept = sorted(tuple(r) for r in _ranked_runs(runs, totals, hit).where(holds("first_rank", "weight"))
-                  .select("first_rank", "value").collect())
+    kept = sorted(tuple(r) for r in ranked.where(holds("first_rank", "weight")).select("first_rank", "value").collect())
     starts, values = np.array([s for s, _ in kept]), [v for _, v in kept]
     at_rank = lambda r: float(values[np.searchsorted(starts, r, side="right") - 1])
     out = []

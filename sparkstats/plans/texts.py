@@ -4,7 +4,7 @@ from pyspark.sql import Column, functions as F
 
 from ..functions import text as tx
 from ..operators import documents as dc, metrics
-from ..sources import tables
+from ..sources import models, tables
 from . import base as b
 from .base import DOCS, SPACE, WORD, query, r, rs
 
@@ -73,30 +73,34 @@ def char_ngrams(spark, sf):
 
 @query("vocabulary", f"WITH {COUNTS} SELECT term, total AS cnt, idx FROM vocab JOIN idx USING (term)")
 def vocabulary(spark, sf):
-    v = dc.vocabulary(b.docs(spark, sf).where("not is_test"), "text")
+    v = models.materialize(dc.vocabulary(b.docs(spark, sf).where("not is_test"), "text"), "vocabulary")
     return v.join(dc.vocabulary_index(v), "term")
 
 
+def split_counts(spark, sf):
+    """Stored (doc_id, term, cnt) of all documents, and its training part."""
+    counts = models.materialize(dc.token_counts(b.docs(spark, sf), "doc_id", "text"), "term-counts")
+    return counts, counts.where(~b.is_test("doc_id"))
+
+
 @query("term_counts", f"WITH {COUNTS} SELECT doc_id, term, cnt FROM counts JOIN vocab USING (term)")
 def term_counts(spark, sf):
-    d = b.docs(spark, sf)
-    counts = dc.token_counts(d, "doc_id", "text")
-    return dc.in_vocabulary(counts, dc.vocabulary(d.where("not is_test"), "text").select("term")).select("doc_id", "term", "cnt")
+    counts, train = split_counts(spark, sf)
+    return dc.in_vocabulary(counts, dc.vocabulary_of(train).select("term")).select("doc_id", "term", "cnt")
 
 
 @query("vocab_join", f"WITH {COUNTS} SELECT doc_id, idx, cnt FROM counts JOIN idx USING (term) WHERE is_test")
 def vocab_join(spark, sf):
-    d = b.docs(spark, sf)
-    v = dc.vocabulary_index(dc.vocabulary(d.where("not is_test"), "text"))
-    return dc.in_vocabulary(dc.token_counts(d.where("is_test"), "doc_id", "text"), v).select("doc_id", "idx", "cnt")
+    counts, train = split_counts(spark, sf)
+    index = dc.vocabulary_index(dc.vocabulary_of(train))
+    return dc.in_vocabulary(counts.where(b.is_test("doc_id")), index).select("doc_id", "idx", "cnt")
 
 
 @query("idf", f"WITH {COUNTS} SELECT term, df, {rs(f'ln({N_TRAIN} / (df + 1.0::DOUBLE))')} AS idf FROM vocab")
 def idf(spark, sf):
-    train = b.docs(spark, sf).where("not is_test")
-    counts = dc.token_counts(train, "doc_id", "text")
-    kept = dc.in_vocabulary(counts, dc.vocabulary(train, "text").select("term"))
-    return dc.idf(kept, train.count()).withColumn("idf", r("idf"))
+    _, train = split_counts(spark, sf)
+    kept = dc.in_vocabulary(train, dc.vocabulary_of(train).select("term"))
+    return dc.idf(kept, b.docs(spark, sf).where("not is_test").count()).withColumn("idf", r("idf"))
 
 
 def weight_sql(tf: bool, use_idf: bool) -> str:
