@@ -126,46 +126,44 @@ def map_vectors(df: DataFrame, fn, fields: list[tuple[str, T.DataType]], feature
     return src.mapInArrow(run, schema)
 
 
-def block_sums(df: DataFrame, fn, group: list[str] | None = None, features: str = "features",
+def block_sums(df: DataFrame, fn, group: str | None = None, features: str = "features",
                extra: list[str] | None = None) -> DataFrame:
     """Sum, over all rows, a fixed-length array that `fn` computes per block.
 
     `fn(X, cols)` gets the N x D block and a dict of the extra columns and
     returns a flat array. Each task adds up its own blocks and emits one row
-    per group value; the shuffle then carries sums only. Result: (group..., i, v).
+    per group value; the shuffle then carries sums only. Result: (group, i, v).
     """
-    group = group or []
+    keys = [group] if group else []
     extra = extra or []
-    src = df.select(*dict.fromkeys([*group, *extra, features]))
-    schema = T.StructType([src.schema[g] for g in group] + [T.StructField("s", VECTOR)])
+    src = df.select(*dict.fromkeys([*keys, *extra, features]))
+    schema = T.StructType([src.schema[g] for g in keys] + [T.StructField("s", VECTOR)])
 
     def run(batches):
-        total: dict[tuple, np.ndarray] = {}
+        total: dict = {}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             x = as_matrix(batch.column(batch.schema.get_field_index(features)))
             cols = {c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in extra}
-            keys = [batch.column(batch.schema.get_field_index(g)).to_pylist() for g in group]
-            if not group:
-                parts = {(): slice(None)}
+            if group:
+                code = batch.column(batch.schema.get_field_index(group)).dictionary_encode()
+                at = code.indices.to_numpy(zero_copy_only=False)
+                parts = [(v, np.flatnonzero(at == n)) for n, v in enumerate(code.dictionary.to_pylist())]
             else:
-                rows: dict[tuple, list[int]] = {}
-                for r, key in enumerate(zip(*keys)):
-                    rows.setdefault(key, []).append(r)
-                parts = {key: np.array(ix) for key, ix in rows.items()}
-            for key, ix in parts.items():
+                parts = [(None, slice(None))]
+            for key, ix in parts:
                 v = fn(x[ix], {c: a[ix] for c, a in cols.items()})
                 total[key] = total[key] + v if key in total else v
         if total:
-            arrays = [pa.array([k[n] for k in total], type=ARROW_KEYS[kind]) for n, kind in enumerate(kinds)]
+            arrays = [pa.array(list(total), type=ARROW_KEYS[kind])] if group else []
             arrays.append(as_list_column(np.stack(list(total.values()))))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*group, "s"])
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "s"])
 
-    kinds = [src.schema[g].dataType.typeName() for g in group]
+    kind = src.schema[group].dataType.typeName() if group else None
     parts = src.mapInArrow(run, schema)
-    return (parts.select(*group, F.posexplode("s").alias("i", "v"))
-            .groupBy(*group, "i").agg(F.sum("v").alias("v")))
+    return (parts.select(*keys, F.posexplode("s").alias("i", "v"))
+            .groupBy(*keys, "i").agg(F.sum("v").alias("v")))
 
 
 def collect_sums(sums: DataFrame, size: int, group: str | None = None):

@@ -53,7 +53,7 @@ def class_sums(df: DataFrame, dim: int, features: str = "features", label: str =
         d = x - shift
         return np.concatenate([[len(x)], x.sum(0), d.sum(0), (d * d).sum(0), (x >= threshold).sum(0)])
 
-    table = vectors.collect_sums(vectors.block_sums(df, block, group=[label], features=features), 1 + 4 * dim, label)
+    table = vectors.collect_sums(vectors.block_sums(df, block, group=label, features=features), 1 + 4 * dim, label)
     classes = sorted(table)
     rows = np.stack([table[c] for c in classes])
     n = rows[:, 0]

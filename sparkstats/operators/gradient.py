@@ -100,7 +100,7 @@ def fit(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: float, b
             batch = sampling.batch_of(id_col, batches, epoch, seed) if batches > 1 else F.lit(0)
             keyed = src.withColumn("_b", F.when(F.col(is_test), F.lit(-1)).otherwise(batch).cast("int"))
             table = vectors.collect_sums(vectors.block_sums(
-                keyed, step_sums(kind, w, target), group=["_b"], features=features, extra=[target]), size, "_b")
+                keyed, step_sums(kind, w, target), group="_b", features=features, extra=[target]), size, "_b")
             if epoch:
                 curve += _curve_rows(epoch, table)
             if epoch == epochs:

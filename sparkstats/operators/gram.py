@@ -101,7 +101,7 @@ def vector_moments(df: DataFrame, dim: int, features: str = "features", target:
             x = x - shift
         return np.concatenate([[len(x)], x.sum(0), (x.T @ x)[upper]])
 
-    sums = vectors.block_sums(df, block, group=[by] if by else [], features=features, extra=[target] if target else [])
+    sums = vectors.block_sums(df, block, group=by, features=features, extra=[target] if target else [])
     size = 1 + d + len(upper[0])
     if by:
         return {k: _unpack(names, v, shift) for k, v in vectors.collect_sums(sums, size, by).items()}

@@ -163,7 +163,7 @@ def fit_regression(df: DataFrame, fmap: FeatureMap, iterations: int, learning_ra
         return np.concatenate([[len(x), (r * r).sum()], f.T @ r, (f.T @ f)[upper]])
 
     keyed = df.withColumn("_b", F.when(F.col(is_test), F.lit(-1)).otherwise(F.col(batch)).cast("int"))
-    sums = vectors.collect_sums(vectors.block_sums(keyed, block, group=["_b"], features=features, extra=[target]),
+    sums = vectors.collect_sums(vectors.block_sums(keyed, block, group="_b", features=features, extra=[target]),
                                 2 + d + len(upper[0]), "_b")
 
     def unpack(v):

@@ -16,7 +16,9 @@ from ..functions import rng
 from ..sources.models import materialize
 
 BUCKETS = 1024
-MAX_OFFSET_ROWS = 1 << 17
+MAX_BUCKETS = 1 << 16
+ROWS_PER_BUCKET = 1 << 16
+MAX_OFFSET_ROWS = 1 << 20
 SELECT_ROWS = 4096
 NATIVE_RANGES = 64
 
@@ -27,10 +29,15 @@ def _offset_table(spark, rows: list[tuple], schema: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
+def _bucket_number(rows: int) -> int:
+    return min(MAX_BUCKETS, max(8, math.ceil(rows / ROWS_PER_BUCKET)))
+
+
 def hash_rank(df: DataFrame, id_col: str, seed: int, tag: str, group: str | None = None,
-              name: str = "rank", buckets: int = BUCKETS) -> DataFrame:
+              name: str = "rank", buckets: int | None = None) -> DataFrame:
     """Number rows 0, 1, 2, ... in the order of a seeded hash, per group if given."""
     spark = df.sparkSession
+    buckets = buckets or _bucket_number(df.count())
     keyed = (df.withColumn("_h", rng.hash32(seed, tag, id_col))
              .withColumn("_b", F.floor(F.col("_h") * buckets / rng.TWO32).cast("int")))
     by = ([group] if group else []) + ["_b"]
@@ -122,7 +129,7 @@ def batch_of(id_col, batches: int, epoch: int | Column = 0, seed: int = 42) -> C
     return F.floor(u * batches).cast("int")
 
 
-def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int = BUCKETS) -> DataFrame:
+def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int | None = None) -> DataFrame:
     """Distinct values in sorted order: (value, weight, first_rank, run_no).
 
     Copies collapse before anything is sorted, and bucket edges come from a
@@ -133,6 +140,7 @@ def sorted_runs(df: DataFrame, value: str, seed: int = 42, buckets: int = BUCKET
     runs = (df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value"))
             .agg(F.count("*").alias("weight")))
     runs = materialize(runs, "runs")
+    buckets = buckets or _bucket_number(runs.count())
     sample = [r[0] for r in runs.orderBy(rng.digest(seed, "edges", "value")).select("value").limit(buckets * 4).collect()]
     edges = np.array(sorted(sample)[3::4], dtype=object if isinstance(kind, T.StringType) else None)
 
@@ -178,7 +186,8 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float], bucke
 
     An approximate sketch gives bucket edges, one pass counts the rows of each
     bucket, and only the buckets that hold a wanted rank are sorted, after
-    their copies have collapsed. The sketch decides balance, never the result.
+    their copies have collapsed. The sketch decides balance, never the result;
+    raise `buckets` for columns of many billion distinct values.
     """
     data = df.select(F.col(value).cast("double").alias("value")).where(F.col("value").isNotNull())
     marks = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))

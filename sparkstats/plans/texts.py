@@ -165,7 +165,7 @@ FORMS = f"""{LINES}, forms AS MATERIALIZED (SELECT plain, word FROM (
 def restored_lines(spark, sf):
     """Test lines: original, and restored from the text without diacritics."""
     lines = tables.lines_of(b.docs(spark, sf), "doc_id", "text").withColumn("is_test", b.is_test("doc_id"))
-    forms = dc.variants(lines.where("not is_test"), "line", strip)
+    forms = models.materialize(dc.variants(lines.where("not is_test"), "line", strip), "forms")
     test = lines.where("is_test").withColumn("plain_line", strip(F.col("line")))
     out = dc.restore(test.select("doc_id", "line_no", "plain_line"), forms, ["doc_id", "line_no"], "plain_line")
     return out, test.select("doc_id", "line_no", "line")
