@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from ..functions import vectors
 

@@ -1,6 +1,6 @@
 """Vocabularies, term weights, n-gram counts and diacritics restoration."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx, vectors
 from ..sources.models import materialize

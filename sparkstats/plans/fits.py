@@ -1,14 +1,10 @@
 """Model fits, iterative fits, model selection and resampling."""
 
-import math
-
-import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..functions import rng, scalars, vectors
-from ..operators import (bayes, cluster, ensembles, features as ft, gradient, gram, kernels, linear, metrics, resampling,
-                         sampling)
+from ..functions import rng, scalars
+from ..operators import bayes, cluster, ensembles, gradient, kernels, linear, metrics, resampling, sampling
 from . import base as b
 from .base import CURVE, EDITS, PARTS, PIX, SEPARABLE, VEC, query, r, rs, table
 from .scans import PART_SOLVE, PART_WEIGHTS, part_columns

@@ -4,8 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import rng, scalars, vectors
-from ..operators import (bayes, cluster, features as ft, gram, gradient, kernels, metrics, neighbors, project, resampling,
-                         sampling)
+from ..operators import (bayes, cluster, features as ft, gram, gradient, kernels, metrics, neighbors, project, resampling)
 from . import base as b
 from .base import EDITS, PARTS, PIX, VEC, long_rows, query, r, rs, table
 

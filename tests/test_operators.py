@@ -8,7 +8,6 @@ import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from sparkstats.functions import rng, scalars, text as tx, vectors
