@@ -22,8 +22,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Parts whose paths a task keeps; beyond it the memory starts anew.
-MEMORY = 1 << 20
+#: Parts, ends of parts and pairs that a worker remembers, each; beyond it the memory starts anew.
+MEMORY = 1 << 18
+#: Ends of parts up to so many characters are remembered.
+END_LENGTH = 32
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
@@ -78,6 +80,7 @@ class Transducer:
         inner = "" if any("\n" in p for p in self.arcs) else "\n"
         self.cutter = re.compile("(?s).+") if crosses else re.compile(f"{MARK}*[^{MARK}{inner}]+|{MARK}+" + ("|\n" if inner else ""))
         self.beside = Memory(self._beside)
+        self.ends: dict[tuple[int, str], tuple | None] = {}
         self.paths = Memory(lambda part: array("i", self.least_path(part)).tobytes())
 
     def tables(self) -> tuple:
@@ -128,6 +131,8 @@ class Transducer:
 
     def least_path(self, text: str) -> list[int]:
         """The ids on the least path through the composition of the transducer with a text."""
+        if self.letters.issuperset(text):
+            return self._known(text)
         out: list[int] = []
         start = 0
         for i, c in enumerate(text):
@@ -158,13 +163,21 @@ class Transducer:
     def _least_by_pairs(self, text: str) -> list[int]:
         """States are (place, last piece); every arc weighs 0 or infinity, so the first path that arrives is the least.
 
-        The longest arcs are tried first; a state from which no path arrives is left for good.
+        The longest arcs are tried first; a state from which no path arrives is left for good. What follows from
+        a state near the end is the same for all inputs that end alike.
         """
+        if len(text) <= END_LENGTH:
+            path = self._end(-1, text)
+            if path is None:
+                raise ValueError(f"no path for {text!r}: a letter of the model is no piece")
+            return list(path)
         beside, end = self.beside, len(text)
         dead: set[tuple[int, int]] = set()
         path, places, open_ = [], [], []
         at, left, arcs = 0, -1, iter(reversed(self.from_place(text, 0)))
-        while at < end:
+        while end - at > END_LENGTH or (rest := self._end(left, text[at:])) is None:
+            if end - at <= END_LENGTH:
+                arcs = iter(())
             for length, id_ in arcs:
                 if (left < 0 or beside[left, id_]) and (not dead or (at + length, id_) not in dead):
                     path.append(id_)
@@ -179,7 +192,31 @@ class Transducer:
                 dead.add((at, path.pop()))
                 at, arcs = places.pop(), open_.pop()
                 left = path[-1] if path else -1
-        return path
+        return [*path, *rest]
+
+    def _end(self, left: int, rest: str) -> tuple | None:
+        """The path of the end of an input after the piece `left` (-1: none), or None."""
+        if not rest:
+            return ()
+        key = (left, rest)
+        found = self.ends.get(key, 0)
+        if found != 0:
+            return found
+        found, beside = None, self.beside
+        for length, id_ in reversed(self.from_place(rest, 0)):
+            if left < 0 or beside[left, id_]:
+                if length == len(rest):
+                    found = (id_,)
+                    break
+                after = self._end(id_, rest[length:])
+                if after is not None:
+                    found = (id_, *after)
+                    break
+        if len(self.ends) >= MEMORY:
+            self.ends.clear()
+        if left >= 0:
+            self.ends[key] = found
+        return found
 
     # ---- whole texts -----------------------------------------------------------
 
@@ -249,5 +286,7 @@ def decoded(ids: Column, model: str, spark) -> Column:
 
     def run(lists: pa.Array) -> pa.Array:
         t = _transducer(held)
-        return pa.array([None if x is None else t.decode(x) for x in lists.to_pylist()], pa.string())
+        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+        there = lists.is_valid().to_numpy(zero_copy_only=False)
+        return pa.array([t.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends, ends[1:], there)], pa.string())
     return F.arrow_udf(run, "string")(ids)

@@ -123,26 +123,37 @@ def repeated_words(t: Tokens, n: int = 3) -> np.ndarray:
     return out
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str, sample: int) -> DataFrame:
+    """(id, y, t): the texts of the `sample` labelled ids of each class with the lowest hashes.
+
+    Only ids are compared and sorted; 2 * sample of them at most then pick their texts out of the scan. Of rows
+    with one id, and of an id with both labels, all are taken.
+    """
+    known = labels.where(F.col("y").isin(0, 1)).distinct().join(docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id")), "id", "left_semi")
+    first, second = [known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample) for y in (0, 1)]
+    chosen = first.union(second).select(F.col("id").alias("_id"), "y")
+    return (docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).where(F.col("t").isNotNull())
+            .join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "y", "t"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model:
     """The model of the `sample` labelled rows of each class with the lowest hashes of their ids.
 
     Rows without a label or text are not used. A class without rows gives a model that keeps everything that
     the rules keep. Every fourth row of the sample is left to the calibration.
     """
-    known = docs.where(F.col(text).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
-    marked = known.join(labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1)).distinct(), "id")
-    chosen = [marked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id", F.xxhash64("t")).limit(sample) for y in (0, 1)]
+    chosen = labelled_sample(docs, labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")), id_col, text, sample)
 
     def train(batches):
-        rows, y = [], []
+        rows, y, names = [], [], []
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows += Batch(part.column("t")).sparse()
                 y += part.column("y").to_pylist()
-        y = np.array(y, dtype=float)
-        order = np.argsort([zlib.crc32(str((len(f), v.sum())).encode()) for f, v in rows], kind="stable")
-        rows, y = [rows[i] for i in order], y[order]
+                names += [(zlib.crc32(str(i).encode()), i, len(t)) for i, t in zip(part.column("id").to_pylist(), part.column("t").to_pylist())]
+        order = sorted(range(len(rows)), key=lambda i: (names[i], y[i]))  # whatever the order of arrival
+        rows, y = [rows[i] for i in order], np.array([y[i] for i in order], dtype=float)
         if y.min(initial=1) == y.max(initial=0):
             yield _packed(Model(np.zeros(WIDTH), 20.0, 1.0, 0.0))
             return
@@ -155,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         a, b = linear.platt(seen.times(w) + bias, y[check])
         yield _packed(Model(w, bias, a, b))
 
-    row = chosen[0].union(chosen[1]).coalesce(1).mapInArrow(train, "w binary, bias double, a double, b double").first()
+    row = chosen.repartition(1).mapInArrow(train, "w binary, bias double, a double, b double").first()
     return Model(np.frombuffer(row["w"], np.float32).astype(float), row["bias"], row["a"], row["b"])
 
 
