@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from ..functions import rng, scalars
 from ..operators import bayes, cluster, ensembles, gradient, kernels, linear, metrics, resampling, sampling
 from . import base as b
-from .base import CURVE, EDITS, PARTS, PIX, SEPARABLE, VEC, query, r, rs, table
+from .base import CURVE, PARTS, PIX, SEPARABLE, VEC, query, r, rs, table
+from .edits import COLUMNS as EDIT_COLUMNS, EDITS, edits
 from .scans import PART_SOLVE, PART_WEIGHTS, part_columns
 from .vectors_and_columns import DIM
 
@@ -463,7 +464,7 @@ def gbt_multiclass(spark, sf):
 SAMPLES = 100
 BETAS = scalars.linspace(0.0, 2.0, 201)
 _TIMES = " ".join(f"+ CAST(uu >= {t!r}::DOUBLE AS INTEGER)" for t in rng.poisson1_thresholds())
-BOOT = f"""{EDITS}, lanes AS MATERIALIZED (SELECT edits.*, CAST(g AS INTEGER) AS g, md5(concat_ws(':', '42', 'bootstrap', CAST(g AS VARCHAR), CAST(event_id AS VARCHAR))) AS h
+BOOT = f"""{EDITS}, lanes AS MATERIALIZED (SELECT edits.*, CAST(g AS INTEGER) AS g, md5(concat_ws(':', '42', 'bootstrap', CAST(g AS VARCHAR), CAST(doc_id AS VARCHAR))) AS h
     FROM edits, range({SAMPLES // 4}) AS r(g)),
   draws AS (SELECT *, CAST(g * 4 + l AS INTEGER) AS sample, CAST('0x' || substr(h, CAST(l * 8 + 1 AS INTEGER), 8) AS BIGINT) / 4294967296.0::DOUBLE AS uu FROM lanes, range(4) AS z(l)),
   boot AS MATERIALIZED (SELECT sample, CAST(sum(n * correct) AS BIGINT) AS tp, CAST(sum(n * (predicted - correct)) AS BIGINT) AS fp,
@@ -474,7 +475,7 @@ CORR = f"""{BOOT}, grid AS (SELECT CAST(i AS INTEGER) AS i, 2.0::DOUBLE * i / 20
 
 
 def _samples(spark, sf):
-    return resampling.bootstrap_counts(b.edits(spark, sf), "event_id", SAMPLES, b.EDIT_COLUMNS)
+    return resampling.bootstrap_counts(edits(spark, sf), "doc_id", SAMPLES, EDIT_COLUMNS)
 
 
 @query("bootstrap_counts", f"WITH {BOOT} SELECT sample, tp, fp, fn, {rs('rating')} AS rating FROM boot")
@@ -482,13 +483,13 @@ def bootstrap_counts(spark, sf):
     return _samples(spark, sf).withColumn("rating", r("rating"))
 
 
-@query("bootstrap_exact", f"""WITH {EDITS}, ranked AS (SELECT *, row_number() OVER (ORDER BY {b.h32(42, 'bootstrap-rank', 'event_id')}, event_id) - 1 AS k FROM edits),
+@query("bootstrap_exact", f"""WITH {EDITS}, ranked AS (SELECT *, row_number() OVER (ORDER BY {b.h32(42, 'bootstrap-rank', 'doc_id')}, doc_id) - 1 AS k FROM edits),
   n AS (SELECT count(*) AS n FROM edits),
   draws AS (SELECT CAST(i // n AS INTEGER) AS sample, CAST(floor({b.u(42, 'draw', 'i')} * n) AS BIGINT) AS k FROM n, (SELECT unnest(range(10 * (SELECT n FROM n))) AS i))
   SELECT sample, CAST(sum(correct) AS BIGINT) AS tp, CAST(sum(predicted - correct) AS BIGINT) AS fp, CAST(sum(gold - correct) AS BIGINT) AS fn,
     {rs('avg(rating)')} AS rating FROM draws JOIN ranked USING (k) GROUP BY sample""")
 def bootstrap_exact(spark, sf):
-    out = resampling.bootstrap_counts(b.edits(spark, sf), "event_id", 10, b.EDIT_COLUMNS, exact=True)
+    out = resampling.bootstrap_counts(edits(spark, sf), "doc_id", 10, EDIT_COLUMNS, exact=True)
     return out.withColumn("rating", r("rating"))
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from ..functions import rng, scalars, vectors
 from ..operators import (bayes, cluster, features as ft, gram, gradient, kernels, metrics, neighbors, project, resampling)
 from . import base as b
-from .base import EDITS, PARTS, PIX, VEC, long_rows, query, r, rs, table
+from .base import PARTS, PIX, VEC, long_rows, query, r, rs, table
+from .edits import EDITS, edits
 
 DIM = 64
 MEANS = VEC + ", means AS MATERIALIZED (SELECT label AS class, d, avg(x) AS m FROM vec WHERE NOT is_test GROUP BY label, d)"
@@ -206,29 +207,29 @@ def quantile_transform(spark, sf):
     return model.transform(o).select("o_orderkey", r(F.element_at("features", 1)).alias("position"))
 
 
-@query("edit_counts", f"""WITH {EDITS} SELECT event_type, CAST(sum(correct) AS BIGINT) AS tp, CAST(sum(predicted - correct) AS BIGINT) AS fp,
-  CAST(sum(gold - correct) AS BIGINT) AS fn, {rs('avg(rating)')} AS rating FROM edits GROUP BY event_type""")
+@query("edit_counts", f"""WITH {EDITS} SELECT lang, CAST(sum(correct) AS BIGINT) AS tp, CAST(sum(predicted - correct) AS BIGINT) AS fp,
+  CAST(sum(gold - correct) AS BIGINT) AS fn, {rs('avg(rating)')} AS rating FROM edits GROUP BY lang""")
 def edit_counts(spark, sf):
-    out = resampling.edit_counts(b.edits(spark, sf), "event_type", "gold", "predicted", "correct", "rating")
+    out = resampling.edit_counts(edits(spark, sf), "lang", "gold", "predicted", "correct", "rating")
     return out.withColumn("rating", r("rating"))
 
 
-@query("pearson", f"""WITH {EDITS} SELECT event_type, {rs('corr(correct, rating)')} AS correlation,
-  CASE WHEN max(rating - rating) = min(rating - rating) THEN NULL ELSE corr(rating - rating, rating) END AS constant FROM edits GROUP BY event_type""")
+@query("pearson", f"""WITH {EDITS} SELECT lang, CASE WHEN min(correct) < max(correct) AND min(rating) < max(rating) THEN {rs('corr(correct, rating)')} END AS correlation,
+  CASE WHEN max(rating - rating) = min(rating - rating) THEN NULL ELSE corr(rating - rating, rating) END AS constant FROM edits GROUP BY lang""")
 def pearson(spark, sf):
-    e = b.edits(spark, sf).withColumn("zero", F.col("rating") - F.col("rating"))
-    return e.groupBy("event_type").agg(r(resampling.pearson("correct", "rating")).alias("correlation"),
+    e = edits(spark, sf).withColumn("zero", F.col("rating") - F.col("rating"))
+    return e.groupBy("lang").agg(r(resampling.pearson("correct", "rating")).alias("correlation"),
                                        resampling.pearson("zero", "rating").alias("constant"))
 
 
-@query("f_beta", f"""WITH {EDITS}, c AS (SELECT event_type, CAST(sum(correct) AS DOUBLE) AS tp, CAST(sum(predicted - correct) AS DOUBLE) AS fp,
-    CAST(sum(gold - correct) AS DOUBLE) AS fn FROM edits GROUP BY event_type)
-  SELECT event_type, beta, {rs('(tp + beta * beta * tp) / (tp + fp + beta * beta * (tp + fn))')} AS f
+@query("f_beta", f"""WITH {EDITS}, c AS (SELECT lang, CAST(sum(correct) AS DOUBLE) AS tp, CAST(sum(predicted - correct) AS DOUBLE) AS fp,
+    CAST(sum(gold - correct) AS DOUBLE) AS fn FROM edits GROUP BY lang)
+  SELECT lang, beta, {rs('(tp + beta * beta * tp) / nullif(tp + fp + beta * beta * (tp + fn), 0)')} AS f
   FROM c, (SELECT unnest([0.0::DOUBLE, 0.5::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE]) AS beta)""")
 def f_beta(spark, sf):
-    counts = resampling.edit_counts(b.edits(spark, sf), "event_type", "gold", "predicted", "correct", "rating")
+    counts = resampling.edit_counts(edits(spark, sf), "lang", "gold", "predicted", "correct", "rating")
     grid = F.explode(F.array(*[F.lit(v) for v in (0.0, 0.5, 1.0, 2.0)]))
-    return counts.withColumn("beta", grid).select("event_type", "beta", r(scalars.f_beta("tp", "fp", "fn", "beta")).alias("f"))
+    return counts.withColumn("beta", grid).select("lang", "beta", r(scalars.f_beta("tp", "fp", "fn", "beta")).alias("f"))
 
 
 @query("argbest", """WITH c AS (SELECT event_type, user_id, count(*) AS n FROM events GROUP BY ALL)
