@@ -18,10 +18,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the least doc_id.
 
-    Shingles of five words; fingerprints link at 3 differing bits, and texts that share 80 % of their shingles
-    and more are what such fingerprints stand for.
+    Near copies share 80 % of their shingles of five words, and more.
     """
-    return simhash.deduplicated(docs, words=5)
+    return simhash.deduplicated(docs, words=5, similarity=0.8)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
