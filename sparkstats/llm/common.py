@@ -40,9 +40,13 @@ def small(df: DataFrame, rows: int, row_bytes: int, most: int = 32 << 20) -> Dat
     return F.broadcast(df) if rows * row_bytes <= most else df
 
 
-def ascii_lower(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def packed(df: DataFrame) -> DataFrame:
+    """One struct column `row` of all columns, beside which an operator can use any names; `unpacked` undoes it."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame) -> DataFrame:
+    return df.select("row.*")
 
 
 def numbered(df: DataFrame, by: list[str], order: list[str], name: str, bucket_rows: int = 20_000) -> DataFrame:

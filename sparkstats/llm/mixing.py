@@ -11,7 +11,7 @@ import heapq
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, cut
+from .common import WORD, cut, packed, unpacked
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -116,9 +116,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     plan = (mix(docs, id_col, text, source).withColumn("copies", copies)
             .groupBy(F.col("id").alias("_id"), F.col("hash").alias("_hash"), F.col("source").alias("_source"))
             .agg(F.array_sort(F.collect_list(F.struct("nth", "copies"))).alias("_copies")))
-    nth = F.row_number().over(Window.partitionBy(id_col, "_text", source).orderBy(F.lit(0)))
-    numbered = docs.withColumn("_text", F.xxhash64(text))
-    key = F.col(id_col).eqNullSafe(F.col("_id")) & F.col("_text").eqNullSafe(F.col("_hash")) & F.col(source).eqNullSafe(F.col("_source"))
-    joined = numbered.join(plan, key).withColumn("_nth", nth)
+    row = F.col("row")
+    keyed = packed(docs).withColumn("_text", F.xxhash64(row[text]))
+    key = row[id_col].eqNullSafe(F.col("_id")) & F.col("_text").eqNullSafe(F.col("_hash")) & row[source].eqNullSafe(F.col("_source"))
+    joined = keyed.join(plan, key).withColumn("_nth", F.row_number().over(Window.partitionBy(row[id_col], "_text", row[source]).orderBy(F.lit(0))))
     times = F.element_at("_copies", F.col("_nth"))["copies"]
-    return joined.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times))).select(*docs.columns)
+    return unpacked(joined.withColumn("_times", F.explode(F.array_repeat(F.lit(1), times))))

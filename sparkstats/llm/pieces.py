@@ -7,7 +7,7 @@ nothing where the merges leave the piece beside its neighbour and is infinite wh
 the one path of finite weight is the segmentation that the merges make. Composed with an input, the least
 path in the tropical semiring (min, +) is its encoding.
 
-Inputs are cut where no arc crosses: before a run of blank marks and around characters without a piece.
+Inputs are cut where no arc crosses: before a run of blank marks, and between characters that no piece joins.
 The paths of the parts are kept in a bounded memory, as most parts come again.
 """
 
@@ -22,25 +22,27 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Parts, ends of parts and pairs that a worker remembers, each; beyond it the memory starts anew.
-MEMORY = 1 << 18
-#: Ends of parts up to so many characters are remembered.
-END_LENGTH = 32
+#: Parts and pairs that a worker remembers, each, until it lets go of those not asked for meanwhile.
+MEMORY = 3 << 17
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 
 class Memory(dict):
-    """Values by key, made when they are first asked for; it starts anew when it is full."""
+    """Values by key, made when they are first asked for. When it is full, what was asked for since the last time stays."""
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.before = make, {}
 
     def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= MEMORY:
+            self.before = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
 
 
@@ -76,11 +78,12 @@ class Transducer:
                 within = node.get("", within)
                 node = node.setdefault(c, {})
             node[""] = (*within, (len(piece), self.arcs[piece]))
+        #: Neighbours within pieces; no arc crosses between any two others.
+        self.inside = {p[i:i + 2] for p in self.arcs for i in range(len(p) - 1)}
         crosses = any(MARK in p.lstrip(MARK) for p in self.arcs)
-        inner = "" if any("\n" in p for p in self.arcs) else "\n"
-        self.cutter = re.compile("(?s).+") if crosses else re.compile(f"{MARK}*[^{MARK}{inner}]+|{MARK}+" + ("|\n" if inner else ""))
+        feed = "" if any("\n" in x for x in self.inside) else "\n"
+        self.cutter = re.compile("(?s).+") if crosses else re.compile(f"{MARK}*[^{MARK}{feed}]+|{MARK}+" + ("|\n" if feed else ""))
         self.beside = Memory(self._beside)
-        self.ends: dict[tuple[int, str], tuple | None] = {}
         self.paths = Memory(lambda part: array("i", self.least_path(part)).tobytes())
 
     def tables(self) -> tuple:
@@ -131,16 +134,16 @@ class Transducer:
 
     def least_path(self, text: str) -> list[int]:
         """The ids on the least path through the composition of the transducer with a text."""
-        if self.letters.issuperset(text):
+        inside, start, out = self.inside, 0, b""
+        for i in range(1, len(text)):
+            if text[i - 1:i + 1] not in inside:
+                out += self.paths[text[start:i]]
+                start = i
+        if start:
+            return np.frombuffer(out + self.paths[text[start:]], np.int32).tolist()
+        if text in self.letters or len(text) > 1:
             return self._known(text)
-        out: list[int] = []
-        start = 0
-        for i, c in enumerate(text):
-            if c not in self.letters:
-                out += self._known(text[start:i])
-                out += [self.bytes_[b] for b in c.encode()] if self.bytes_ else [self.unknown]
-                start = i + 1
-        return out + self._known(text[start:])
+        return [self.bytes_[b] for b in text.encode()] if self.bytes_ else [self.unknown]
 
     def _known(self, text: str) -> list[int]:
         if not text:
@@ -163,60 +166,38 @@ class Transducer:
     def _least_by_pairs(self, text: str) -> list[int]:
         """States are (place, last piece); every arc weighs 0 or infinity, so the first path that arrives is the least.
 
-        The longest arcs are tried first; a state from which no path arrives is left for good. What follows from
-        a state near the end is the same for all inputs that end alike.
+        The longest arcs are tried first; a state from which no path arrives is left for good.
         """
-        if len(text) <= END_LENGTH:
-            path = self._end(-1, text)
-            if path is None:
-                raise ValueError(f"no path for {text!r}: a letter of the model is no piece")
-            return list(path)
-        beside, end = self.beside, len(text)
+        beside, end, root = self.beside, len(text), self.root
         dead: set[tuple[int, int]] = set()
         path, places, open_ = [], [], []
-        at, left, arcs = 0, -1, iter(reversed(self.from_place(text, 0)))
-        while end - at > END_LENGTH or (rest := self._end(left, text[at:])) is None:
-            if end - at <= END_LENGTH:
-                arcs = iter(())
-            for length, id_ in arcs:
+        at, left, arcs = 0, -1, None
+        while at < end:
+            if arcs is None:  # a new state: its arcs, the shortest first
+                node, arcs = root, ()
+                for c in text[at:]:
+                    node = node.get(c)
+                    if node is None:
+                        break
+                    arcs = node.get("", arcs)
+                n = len(arcs)
+            while n:
+                n -= 1
+                length, id_ = arcs[n]
                 if (left < 0 or beside[left, id_]) and (not dead or (at + length, id_) not in dead):
                     path.append(id_)
                     places.append(at)
-                    open_.append(arcs)
-                    at, left = at + length, id_
-                    arcs = iter(reversed(self.from_place(text, at)))
+                    open_.append((arcs, n))
+                    at, left, arcs = at + length, id_, None
                     break
             else:
                 if not path:
                     raise ValueError(f"no path for {text!r}: a letter of the model is no piece")
                 dead.add((at, path.pop()))
-                at, arcs = places.pop(), open_.pop()
+                at = places.pop()
+                arcs, n = open_.pop()
                 left = path[-1] if path else -1
-        return [*path, *rest]
-
-    def _end(self, left: int, rest: str) -> tuple | None:
-        """The path of the end of an input after the piece `left` (-1: none), or None."""
-        if not rest:
-            return ()
-        key = (left, rest)
-        found = self.ends.get(key, 0)
-        if found != 0:
-            return found
-        found, beside = None, self.beside
-        for length, id_ in reversed(self.from_place(rest, 0)):
-            if left < 0 or beside[left, id_]:
-                if length == len(rest):
-                    found = (id_,)
-                    break
-                after = self._end(id_, rest[length:])
-                if after is not None:
-                    found = (id_, *after)
-                    break
-        if len(self.ends) >= MEMORY:
-            self.ends.clear()
-        if left >= 0:
-            self.ends[key] = found
-        return found
+        return path
 
     # ---- whole texts -----------------------------------------------------------
 

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import linear
-from .common import Tokens, utf8
+from .common import Tokens, packed, unpacked, utf8
 
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
@@ -167,6 +167,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         yield _packed(Model(w, bias, a, b))
 
     row = chosen.repartition(1).mapInArrow(train, "w binary, bias double, a double, b double").first()
+    if row is None:
+        return Model(np.zeros(WIDTH), 20.0, 1.0, 0.0)
     return Model(np.frombuffer(row["w"], np.float32).astype(float), row["bias"], row["a"], row["b"])
 
 
@@ -195,10 +197,12 @@ def judged(text: Column, model: Model) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with the struct column `quality_rules` of `judged`, fitted on `labels`."""
-    return docs.withColumn("quality_rules", judged(F.col(text), fit(docs, labels, id_col, text)))
+    """(id, quality_rules): the id and the struct of `judged` for every row of docs, fitted on `labels`."""
+    model = fit(docs, labels, id_col, text)
+    return docs.select(F.col(id_col).alias("id"), judged(F.col(text), model).alias("quality_rules"))
 
 
 def kept(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that pass; their columns are unchanged."""
-    return judge(docs, labels, id_col, text).where(F.col("quality_rules.kept")).select(*docs.columns)
+    model = fit(docs, labels, id_col, text)
+    return unpacked(packed(docs).where(judged(F.col("row")[text], model)["kept"]))

@@ -62,8 +62,8 @@ def op3(spark, sf):
 def op4(spark, sf):
     from . import toxicity
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-    found = toxicity.score(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"), held)
-    return found.select("doc_id", "held_out", "score", "predicted")
+    found = toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"), held)
+    return found.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
 
 
 @query("op5_sharding")
@@ -84,8 +84,8 @@ def op6(spark, sf):
 @query("op7_quality_rules")
 def op7(spark, sf):
     from . import quality
-    scored = quality.judge(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels"))
-    return scored.select("doc_id", "quality_rules.*")
+    scored = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), "quality_rules.*")
 
 
 @query("op8_sentencepiece")

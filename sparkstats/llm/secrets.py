@@ -8,6 +8,8 @@ where its complement lies at most `reach` code points away. DataFrame functions
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .common import packed
+
 #: kind, pattern, the group that is measured, its least length. Fixed values.
 BASE = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -125,13 +127,15 @@ def redacted(docs: DataFrame, id_col: str = "doc_id", text: str = "text", mask:
     """
     found = (scan(docs, id_col, text, reach).where(F.size("spans") > 0)
              .groupBy(F.col("id").alias("_id"), F.col("hash1").alias("_hash1"), F.col("hash2").alias("_hash2")).agg(F.first("spans").alias("_spans")))
-    key = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash1")) & (F.xxhash64(F.lit(1), text) == F.col("_hash2"))
+    row, whole = F.col("row"), F.col("row")[text]
+    key = row[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(whole) == F.col("_hash1")) & (F.xxhash64(F.lit(1), whole) == F.col("_hash2"))
     pieces = F.aggregate(
         F.col("_spans"), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")),
         lambda acc, s: F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
-        .otherwise(F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).alias("out"))),
-        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text), acc["at"] + 1, F.lit(2147483647))))
-    new = docs.join(found, key, "left").withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(pieces))
+        .otherwise(F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(F.substring(whole, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).alias("out"))),
+        lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(whole, acc["at"] + 1, F.lit(2147483647))))
+    new = packed(docs).join(found, key, "left").withColumn("_new", F.when(F.col("_spans").isNull(), whole).otherwise(pieces))
+    changed = {text: F.col("_new")}
     if "n_chars" in docs.columns:
-        new = new.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.char_length(text).cast(dict(docs.dtypes)["n_chars"])))
-    return new.select(*docs.columns)
+        changed["n_chars"] = F.when(F.col("_spans").isNull(), row["n_chars"]).otherwise(F.char_length("_new").cast(dict(docs.dtypes)["n_chars"]))
+    return new.select(*[changed.get(c, row[c]).alias(c) for c in docs.columns])

@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import cut
+from .common import cut, packed, unpacked
 
 BITS = 64
 #: A bucket of more rows is cut into chunks, and each pair of chunks is a bucket.
@@ -332,9 +332,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
     found = _named(marked.drop("bands"), linked_in(buckets, radius_of(similarity), WORDS), distinct.drop("bands"))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "hash")).alias("s"))
     kept = first.select(F.col("s.id").alias("_id"), F.col("s.hash").alias("_hash"))
-    hashed = docs.withColumn("_text_hash", F.xxhash64(text))
-    mine = hashed.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+    row = F.col("row")
+    hashed = packed(docs).withColumn("_text_hash", F.xxhash64(row[text]))
+    mine = hashed.join(kept, row[id_col].eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
     # Rows with one id and text: nearly always one.
-    plain = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind and c not in (id_col, text)]
-    same = Window.partitionBy(id_col, "_text_hash").orderBy(*plain, F.lit(0))
-    return mine.withColumn("_rank", F.row_number().over(same)).where(F.col("_rank") == 1).select(*docs.columns)
+    plain = [row[c] for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind and c not in (id_col, text)]
+    same = Window.partitionBy(row[id_col], "_text_hash").orderBy(*plain, F.lit(0))
+    return unpacked(mine.withColumn("_rank", F.row_number().over(same)).where(F.col("_rank") == 1))

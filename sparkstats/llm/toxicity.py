@@ -189,7 +189,7 @@ def _learned_lexicons(sample: DataFrame):
         yield pa.RecordBatch.from_pydict({"word": pa.array(list(found), pa.binary()), "voter": pa.array(list(found.values()), pa.int32())} | {"rates": pa.nulls(len(found), pa.binary())})
         yield pa.RecordBatch.from_pydict({"word": pa.nulls(1, pa.binary()), "voter": pa.nulls(1, pa.int32()), "rates": pa.array([rates.tobytes()], pa.binary())})
     rows = sample.repartition(1).mapInArrow(run, "word binary, voter int, rates binary").collect()
-    rates = next(np.frombuffer(r["rates"]).reshape(2, VOTERS) for r in rows if r["rates"] is not None)
+    rates = next((np.frombuffer(r["rates"]).reshape(2, VOTERS) for r in rows if r["rates"] is not None), np.full((2, VOTERS), 0.5))
     return {bytes(r["word"]): r["voter"] for r in rows if r["word"] is not None}, rates
 
 
@@ -254,6 +254,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         w, bias = a * w, a * bias + b
         yield pa.RecordBatch.from_pydict({"f": pa.array([hashes.astype(np.int64).tobytes()], pa.binary()), "w": pa.array([w.tobytes()], pa.binary()), "bias": [bias]})
     row = texts.repartition(1).mapInArrow(train, "f binary, w binary, bias double").first()
+    if row is None:
+        return Classifier({}, -10.0)
     return Classifier(dict(zip(np.frombuffer(row["f"], np.int64).tolist(), np.frombuffer(row["w"]).tolist())), row["bias"])
 
 
@@ -268,12 +270,13 @@ def scored(text: Column, model: Classifier) -> Column:
 
 
 def score(docs: DataFrame, labels: DataFrame, held: Column, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs with `held_out`, `score` and `predicted` (1 at a score of 0.5 and more), one row per row.
+    """(id, held_out, score, predicted): one row per row of docs; predicted is 1 at a score of 0.5 and more.
 
     Neither labels nor votes of held-out ids are learned from. `held` is a condition on the id alone; a null
     counts as false. An empty table gives an empty result.
     """
     out = F.coalesce(held, F.lit(False))
-    marked = docs.withColumn("held_out", out)
-    model = fit(marked.where(~F.col("held_out")), labels.where(~out), id_col, text)
-    return marked.withColumn("score", scored(F.col(text), model)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    marked = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), out.alias("held_out"))
+    known = labels.where(~out).select(F.col(id_col).alias("id"), "toxic")
+    model = fit(marked.where(~F.col("held_out")), known, "id", "text")
+    return marked.select("id", "held_out", scored(F.col("text"), model).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
