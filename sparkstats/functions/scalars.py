@@ -32,11 +32,6 @@ def gaussian_logpdf(x, mean, variance) -> Column:
     return -0.5 * F.ln(F.lit(2 * math.pi) * variance) - F.pow(x - mean, F.lit(2.0)) / (F.lit(2.0) * variance)
 
 
-def bernoulli_log_odds(bit, p) -> Column:
-    bit, p = _col(bit), _col(p)
-    return bit * F.ln(p / (F.lit(1.0) - p)) + F.ln(F.lit(1.0) - p)
-
-
 def f_beta(tp, fp, fn, beta) -> Column:
     """NULL when every count is zero."""
     tp, fp, fn = (_col(c).cast("double") for c in (tp, fp, fn))

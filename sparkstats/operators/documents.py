@@ -154,12 +154,13 @@ def corpus_word_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 3, lo
 def corpus_char_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 5) -> DataFrame:
     """(n, ngram, cnt) of character n-grams within word boundaries.
 
-    Words are counted first, so n-grams are cut once per distinct word.
+    Words are counted first, so n-grams are cut once per distinct word. A padded
+    word shorter than `low` counts once, whole, under `low`.
     """
     words = df.select(F.explode(tx.words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
     padded = words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("w"), "c")
-    sized = padded.select("w", "c", F.explode(F.sequence(F.lit(low), F.least(F.length("w"), F.lit(high)))).alias("n"))
-    placed = sized.select("w", "c", "n", F.explode(F.sequence(F.lit(1), F.length("w") - F.col("n") + 1)).alias("i"))
+    sized = padded.select("w", "c", F.explode(F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.length("w"), F.lit(high))))).alias("n"))
+    placed = sized.select("w", "c", "n", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("w") - F.col("n") + 1))).alias("i"))
     return (placed.select("n", F.substring("w", F.col("i"), F.col("n")).alias("ngram"), "c")
             .groupBy("n", "ngram").agg(F.sum("c").alias("cnt")))
 

@@ -4,7 +4,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import CountVectorizer, RegexTokenizer, SQLTransformer
+from pyspark.ml.feature import HashingTF, RegexTokenizer, SQLTransformer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -72,21 +72,20 @@ def boosted_trees(max_depth: int = 6, trees: int = 500, step: float = 0.1, featu
                      featuresCol=features, labelCol=label)
 
 
-def fit_text_mlp(df: DataFrame, vocabulary: int, text: str = "text", label: str = "label", hidden: tuple = (11, 2),
+def fit_text_mlp(df: DataFrame, width: int = 4096, text: str = "text", label: str = "label", hidden: tuple = (11, 2),
                  max_iter: int = 1000, tol: float = 2e-7, high: int = 3, seed: int = 42) -> PipelineModel:
     """Counts of word 1..`high`-grams into a two-class network.
 
-    The network reads the `vocabulary` most frequent n-grams of the training
-    texts; its weights and the vocabulary are the model held by the driver.
+    Every n-gram counts: it falls into one of `width` columns by its hash. The
+    model held by the driver is the network's weights.
     """
     grams = ", ".join(
         f"transform(if(size(_toks) >= {n}, sequence(1, size(_toks) - {n - 1}), cast(array() as array<int>)), "
         f"i -> array_join(slice(_toks, i, {n}), ' '))" for n in range(1, high + 1))
-    counts = Pipeline(stages=[
+    counts = PipelineModel(stages=[
         RegexTokenizer(inputCol=text, outputCol="_toks", pattern=WORDS, gaps=False, toLowercase=True),
         SQLTransformer(statement=f"SELECT *, concat({grams}) AS _grams FROM __THIS__"),
-        CountVectorizer(inputCol="_grams", outputCol="vector", vocabSize=vocabulary, minDF=1.0)]).fit(df)
-    width = len(counts.stages[-1].vocabulary)
+        HashingTF(inputCol="_grams", outputCol="vector", numFeatures=width)])
     network = MultilayerPerceptronClassifier(featuresCol="vector", labelCol=label, layers=[width, *hidden, 2],
                                              maxIter=max_iter, tol=tol, seed=seed)
     return PipelineModel(stages=[*counts.stages, network.fit(counts.transform(df))])

@@ -6,6 +6,8 @@ recomputed partition. Linear steps need cross-products only, so a whole epoch
 of linear mini-batches is a single grouped aggregate.
 """
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -236,18 +238,19 @@ def misclassified(df: DataFrame, columns: list[str], target: str, w: np.ndarray)
     return df.where(F.col(target) * margin([F.col(c) for c in columns], w) <= 0)
 
 
-def perceptron(df: DataFrame, columns: list[str], target: str, max_rounds: int, seed: int = 42,
+def perceptron(df: DataFrame, columns: list[str], target: str, max_rounds: int | None = None, seed: int = 42,
                id_col: str = "id", mode: str = "first", cache: bool = True):
     """Perceptron rounds until every row is on its side; returns (weights, rounds, done).
 
     `first`: each round adds the first misclassified row of that round's seeded
     permutation, found by one min aggregate. `batch`: each round adds the sum
-    of all misclassified rows.
+    of all misclassified rows. Without `max_rounds` it goes on until no row is
+    misclassified, which on classes that no plane separates is never.
     """
     w = np.zeros(len(columns) + 1)
     x = [F.col(c).cast("double") for c in columns]
     with held(df.select(id_col, F.col(target).cast("double").alias("_t"), *columns), cache) as src:
-        for rounds in range(max_rounds):
+        for rounds in itertools.count() if max_rounds is None else range(max_rounds):
             wrong = misclassified(src, columns, "_t", w)
             if mode == "first":
                 order = rng.hash32(seed, f"round{rounds}", id_col)

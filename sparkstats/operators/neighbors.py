@@ -19,8 +19,6 @@ from ..sources.models import materialize
 from .cluster import lp_distances
 
 DECIMALS = 9
-MAX_PIVOTS = 256
-SMALL = 200_000
 QUERY_CHUNK = 1024
 
 
@@ -135,10 +133,13 @@ def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, p
 
 
 def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: list[str] | None = None,
-             id_col: str = "id", pivots: int | None = None, block_rows: int | None = None, seed: int = 42) -> DataFrame:
+             id_col: str = "id", pivots: int = 1, block_rows: int = 1024, seed: int = 42) -> DataFrame:
     """(query_id, rank, train_id, distance, carry...): the k nearest rows, lowest id on ties.
 
-    Distances are compared at nine decimals.
+    Distances are compared at nine decimals. `pivots` above 1 cut the training
+    rows into so many cells, of which a query skips those too far away: worth it
+    in few dimensions. A block of `block_rows` rows meets another in one task,
+    so each row is copied once per block of the other side.
     """
     metric = metric or Dense()
     carry = carry or []
@@ -151,9 +152,6 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
     rows = train.count()
     if rows == 0:
         raise ValueError("the training table is empty")
-    block_rows = block_rows or (512 if rows <= SMALL else 4096)
-    if pivots is None:
-        pivots = min(MAX_PIVOTS, math.isqrt(rows) // 4) if rows > SMALL else 1
     if pivots == 1:
         # One cell: nothing to prune, so no pivot is needed.
         cells = materialize(t.withColumn("cell", F.lit(0)), "cells")

@@ -18,14 +18,12 @@ from ..sources.models import materialize
 BUCKETS = 1024
 MAX_BUCKETS = 1 << 16
 ROWS_PER_BUCKET = 1 << 16
-MAX_OFFSET_ROWS = 1 << 20
 SELECT_ROWS = 4096
 NATIVE_RANGES = 64
 
 
 def _offset_table(spark, rows: list[tuple], schema: str) -> DataFrame:
-    if len(rows) > MAX_OFFSET_ROWS:
-        raise ValueError("too many (group, bucket) pairs; use fewer buckets or coarser groups")
+    """Offsets of buckets, of which there are at most MAX_BUCKETS."""
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
@@ -36,22 +34,16 @@ def _bucket_number(rows: int) -> int:
 def hash_rank(df: DataFrame, id_col: str, seed: int, tag: str, group: str | None = None,
               name: str = "rank", buckets: int | None = None) -> DataFrame:
     """Number rows 0, 1, 2, ... in the order of a seeded hash, per group if given."""
-    spark = df.sparkSession
     buckets = buckets or _bucket_number(df.count())
     keyed = (df.withColumn("_h", rng.hash32(seed, tag, id_col))
              .withColumn("_b", F.floor(F.col("_h") * buckets / rng.TWO32).cast("int")))
     by = ([group] if group else []) + ["_b"]
-    counts = sorted(tuple(r) for r in keyed.groupBy(*by).count().collect())
-    rows, before, current = [], 0, object()
-    for row in counts:
-        if group and row[0] != current:
-            before, current = 0, row[0]
-        rows.append(row[:-1] + (before,))
-        before += row[-1]
-    fields = ([df.schema[group]] if group else []) + [T.StructField("_b", T.IntegerType()), T.StructField("_o", T.LongType())]
-    offsets = _offset_table(spark, rows, T.StructType(fields))
+    counts = keyed.groupBy(*by).agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(group or F.col("_b").isNull()).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*[F.col(c).alias(f"_at{c}") for c in by], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_o"))
     w = Window.partitionBy(*by).orderBy("_h", id_col)
-    return (keyed.withColumn("_r", F.row_number().over(w) - 1).join(offsets, by)
+    same = [F.col(c).eqNullSafe(F.col(f"_at{c}")) for c in by]
+    return (keyed.withColumn("_r", F.row_number().over(w) - 1).join(offsets, same)
             .withColumn(name, F.col("_o") + F.col("_r")).select(*df.columns, name))
 
 

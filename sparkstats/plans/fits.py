@@ -278,24 +278,22 @@ def softmax_local(spark, sf):
     return gradient.predict(v.where("is_test"), "softmax", w).select("id", "prediction")
 
 
-ROUNDS = 12
+PERCEPTRON = f"""WITH RECURSIVE {SEPARABLE}, st(n, wa, wb, wc, w0) AS (
+    SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+    UNION ALL SELECT n + 1, wa + p.t * p.a, wb + p.t * p.b, wc + p.t * p.c, w0 + p.t FROM (
+      SELECT n, wa, wb, wc, w0, arg_min(struct_pack(a := a, b := b, c := c, t := t), struct_pack(h := CAST('0x' || substr(md5('42:round' || n || ':' || id), 1, 8) AS BIGINT), id := id)) AS p
+      FROM st JOIN sep ON t * (w0 + a * wa + b * wb + c * wc) <= 0 GROUP BY n, wa, wb, wc, w0)),
+  final AS (SELECT * FROM st ORDER BY n DESC LIMIT 1)
+  SELECT {NAMES}, {rs('CASE i WHEN 0 THEN wa WHEN 1 THEN wb WHEN 2 THEN wc ELSE w0 END')} AS weight, n AS rounds, TRUE AS done
+  FROM final, range(4) AS g(i)"""
 
 
-def _perceptron_sql() -> str:
-    ctes = [SEPARABLE, "w_0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS wc, 0.0::DOUBLE AS w0)"]
-    for n in range(ROUNDS):
-        ctes.append(f"""w_{n + 1} AS MATERIALIZED (SELECT wa + coalesce(t * a, 0) AS wa, wb + coalesce(t * b, 0) AS wb, wc + coalesce(t * c, 0) AS wc, w0 + coalesce(t, 0) AS w0
-          FROM w_{n} LEFT JOIN (SELECT a, b, c, t FROM sep, w_{n} WHERE t * (w0 + a * wa + b * wb + c * wc) <= 0
-            ORDER BY {b.h32(42, f'round{n}', 'id')}, id LIMIT 1) ON TRUE)""")
-    return "WITH " + ",\n".join(ctes) + f"""SELECT {NAMES}, {rs('CASE i WHEN 0 THEN wa WHEN 1 THEN wb WHEN 2 THEN wc ELSE w0 END')} AS weight
-      FROM w_{ROUNDS}, range(4) AS g(i)"""
-
-
-@query("perceptron", _perceptron_sql())
+@query("perceptron", PERCEPTRON)
 def perceptron(spark, sf):
-    w, _, _ = gradient.perceptron(b.separable(spark, sf), ["a", "b", "c"], "t", ROUNDS)
-    rows = list(zip(["a", "b", "c", "bias"], map(float, w)))
-    return spark.createDataFrame(rows, "feature string, weight double").withColumn("weight", r("weight"))
+    """Rounds until the classes are separated."""
+    w, rounds, done = gradient.perceptron(b.separable(spark, sf), ["a", "b", "c"], "t")
+    rows = [(name, float(v), rounds, done) for name, v in zip(["a", "b", "c", "bias"], w)]
+    return spark.createDataFrame(rows, "feature string, weight double, rounds int, done boolean").withColumn("weight", r("weight"))
 
 
 # ---- naive Bayes ----------------------------------------------------------------
@@ -446,7 +444,7 @@ def grid_search_logistic(spark, sf):
 @query("mlp_text")
 def mlp_text(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id").withColumn("is_test", b.is_test("doc_id"))
-    model = ensembles.fit_text_mlp(d.where("not is_test").withColumn("label", F.col("toxic").cast("double")), 1024, max_iter=20)
+    model = ensembles.fit_text_mlp(d.where("not is_test").withColumn("label", F.col("toxic").cast("double")), max_iter=20)
     return model.transform(d.where("is_test")).select("doc_id", "prediction")
 
 

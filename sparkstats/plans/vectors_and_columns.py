@@ -97,8 +97,9 @@ def _sums(spark, sf):
 
 @query("class_priors", f"""WITH {VEC} SELECT label, {rs('count(*) / CAST(sum(count(*)) OVER () AS DOUBLE)')} AS prior FROM vec WHERE NOT is_test GROUP BY label""")
 def class_priors(spark, sf):
-    s = _sums(spark, sf)
-    return spark.createDataFrame([(int(c), round(float(p), 6)) for c, p in zip(s.classes, s.priors)], "label int, prior double")
+    counts = b.vec(spark, sf).where("not is_test").groupBy("label").count().collect()
+    total = sum(c["count"] for c in counts)
+    return spark.createDataFrame([(c["label"], round(c["count"] / total, 6)) for c in counts], "label int, prior double")
 
 
 def _class_sql(value: str, name: str) -> str:

@@ -5,16 +5,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BOM = "﻿"
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal rows out to all cores when the scan has fewer tasks than cores.
-
-    For steps that do much work per row on a plain scan of few row groups. A
-    table that already feeds every core is left as it is: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def strip_bom(text) -> Column:
     return F.regexp_replace(text, f"^{BOM}", "")
 
