@@ -1,6 +1,9 @@
 """Vocabularies, term weights, n-gram counts and diacritics restoration."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import text as tx, vectors
 from ..sources.models import materialize
@@ -14,11 +17,26 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_TERMS else table
 
 
+def _counted(df: DataFrame, id_col: str, items: Column, name: str) -> DataFrame:
+    """(id, name, cnt): how often each item of an array column is there, row by row: one row is one document.
+
+    The items of a batch are numbered and counted where they are; nothing is shuffled.
+    """
+    def count(batches):
+        for batch in batches:
+            lists = batch.column("_items")
+            coded = lists.flatten().dictionary_encode()
+            width = max(1, len(coded.dictionary))
+            pairs, n = np.unique(pc.list_parent_indices(lists).to_numpy().astype(np.int64) * width + coded.indices.to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(pairs // width)), coded.dictionary.take(pa.array(pairs % width)), pa.array(n, pa.int64())],
+                                             names=[id_col, name, "cnt"])
+    fields = [df.schema[id_col], T.StructField(name, T.StringType()), T.StructField("cnt", T.LongType())]
+    return df.select(id_col, F.coalesce(items, F.array().cast("array<string>")).alias("_items")).mapInArrow(count, T.StructType(fields))
+
+
 def token_counts(df: DataFrame, id_col: str, text: str, min_len: int = 2) -> DataFrame:
     """(id, term, cnt) over the whole text."""
-    toks = df.select(id_col, F.explode(tx.tokens(text)).alias("term"))
-    return (toks.where(F.length("term") >= min_len).groupBy(id_col, "term")
-            .agg(F.count("*").alias("cnt")))
+    return _counted(df, id_col, F.filter(tx.tokens(text), lambda w: F.length(w) >= min_len), "term")
 
 
 def vocabulary(df: DataFrame, text: str, min_count: int = 2, min_len: int = 2) -> DataFrame:
@@ -69,7 +87,7 @@ def weights(counts: DataFrame, id_col: str, tf: bool, idf_column: str | None = N
 
 
 def fit_vocabulary(train: DataFrame, counts: DataFrame, use_idf: bool, min_count: int = 2, numbered: bool = False):
-    """(vocabulary table, its size) from stored training counts; with IDF and term numbers if asked for."""
+    """(vocabulary table, its size) from training counts; with IDF and term numbers if asked for."""
     vocab = (counts.groupBy("term").agg(F.sum("cnt").alias("total"), F.count("*").alias("df"))
              .where(F.col("total") >= min_count))
     if use_idf:
@@ -88,10 +106,9 @@ def fit_transform(train: DataFrame, test: DataFrame | None, id_col: str, text: s
                   min_count: int = 2, min_len: int = 2):
     """Vocabulary and IDF from `train`; unit-length term weights of both tables.
 
-    Training term counts are computed once and stored, since the vocabulary,
-    the document frequencies and the weights all read them.
+    Term counts are made in the scan, each time they are read; no copy of them is stored.
     """
-    counts = materialize(token_counts(train, id_col, text, min_len), "term-counts")
+    counts = token_counts(train, id_col, text, min_len)
     vocab, rows = fit_vocabulary(train, counts, use_idf, min_count)
 
     def transform(c):
@@ -124,7 +141,7 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k
     A document without vocabulary terms is a zero row: equally far from all
     non-zero rows, so the lowest id wins.
     """
-    counts = materialize(token_counts(train, id_col, text, min_len), "term-counts")
+    counts = token_counts(train, id_col, text, min_len)
     vocab, rows = fit_vocabulary(train, counts, use_idf, min_count, numbered=True)
 
     def pack(c, base, name):
@@ -137,10 +154,9 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k
 
 def word_ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 3, lower: bool = True) -> DataFrame:
     """(id, ngram, cnt) of word n-grams."""
-    source = F.lower(text) if lower else F.col(text)
-    toks = df.select(id_col, tx.long_tokens(source).alias("_t"))
+    toks = tx.long_tokens(F.lower(text) if lower else F.col(text))
     grams = F.concat(*[tx.word_ngrams("_t", n) for n in range(low, high + 1)])
-    return toks.select(id_col, F.explode(grams).alias("ngram")).groupBy(id_col, "ngram").agg(F.count("*").alias("cnt"))
+    return _counted(df.select(id_col, toks.alias("_t")), id_col, grams, "ngram")
 
 
 def corpus_word_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 3, lower: bool = True) -> DataFrame:

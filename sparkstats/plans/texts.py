@@ -53,14 +53,12 @@ def word_ngrams(spark, sf):
 
 @query("ngram_counts", f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}') AS t FROM documents),
   w AS MATERIALIZED (SELECT doc_id, generate_subscripts(t, 1) AS p, unnest(t) AS w FROM d),
-  x AS MATERIALIZED (SELECT doc_id, w AS a, lead(w) OVER (PARTITION BY doc_id ORDER BY p) AS b FROM w),
-  g AS (SELECT doc_id, ngram, count(*) AS cnt FROM (SELECT doc_id, a AS ngram FROM x UNION ALL SELECT doc_id, a || ' ' || b FROM x WHERE b IS NOT NULL) GROUP BY ALL)
-  SELECT doc_id, count(*) AS ngrams, CAST(sum(cnt) AS BIGINT) AS total, max(cnt) AS most, CAST(sum(cnt * length(ngram)) AS BIGINT) AS letters FROM g GROUP BY doc_id""")
+  x AS MATERIALIZED (SELECT doc_id, w AS a, lead(w) OVER (PARTITION BY doc_id ORDER BY p) AS b, lead(w, 2) OVER (PARTITION BY doc_id ORDER BY p) AS c FROM w)
+  SELECT doc_id, ngram, count(*) AS cnt FROM (SELECT doc_id, a AS ngram FROM x UNION ALL SELECT doc_id, a || ' ' || b FROM x WHERE b IS NOT NULL
+    UNION ALL SELECT doc_id, a || ' ' || b || ' ' || c FROM x WHERE c IS NOT NULL) GROUP BY ALL""")
 def ngram_counts(spark, sf):
-    """Per document: totals over its (n-gram, count) table."""
-    g = dc.word_ngram_counts(b.texts(spark, sf), "doc_id", "text", 1, 2)
-    return g.groupBy("doc_id").agg(F.count("*").alias("ngrams"), F.sum("cnt").alias("total"), F.max("cnt").alias("most"),
-                                   F.sum(F.col("cnt") * F.length("ngram")).alias("letters"))
+    """Word 1- to 3-grams of every document."""
+    return dc.word_ngram_counts(b.texts(spark, sf), "doc_id", "text", 1, 3)
 
 
 @query("char_ngrams", f"""WITH w AS (SELECT ' ' || w || ' ' AS w, count(*) AS c FROM (SELECT unnest({words_sql('text')}) AS w FROM documents) GROUP BY 1)
@@ -78,9 +76,9 @@ def vocabulary(spark, sf):
 
 
 def split_counts(spark, sf):
-    """Stored (doc_id, term, cnt) of all documents, and its training part."""
-    counts = models.materialize(dc.token_counts(b.docs(spark, sf), "doc_id", "text"), "term-counts")
-    return counts, counts.where(~b.is_test("doc_id"))
+    """(doc_id, term, cnt) of all documents, and of the training part."""
+    docs = b.docs(spark, sf)
+    return dc.token_counts(docs, "doc_id", "text"), dc.token_counts(docs.where("not is_test"), "doc_id", "text")
 
 
 @query("term_counts", f"WITH {COUNTS} SELECT doc_id, term, cnt FROM counts JOIN vocab USING (term)")
