@@ -25,9 +25,9 @@ SAMPLE = 2000
 LEXICONS, ENTRIES, LIFT = 10, 64, 8.0
 #: Documents of the sample that a word must be in.
 SEEN = 5
-#: A text's words count by this power of their number; strength of the penalty on the weights.
+#: A text's words count by this power of their number; strength of the penalty on the weights, as so many rows.
 POWER = 0.25
-L2 = 1e-4
+L2 = 0.4
 BEGINNINGS = (4, 5, 6)
 #: Punctuation that is taken off words.
 EDGES = ".,;:!?\"'()[]{}<>*_-#$%&|"
@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             kept.append((at[known], v[known]))
         toxic, check = y >= 0.5, np.arange(len(y)) % 4 == 3
         weight = np.where(toxic, 1 / max(1, toxic[~check].sum()), 1 / max(1, (~toxic)[~check].sum()))[~check]
-        w, bias = linear.fit(linear.Sparse([k for k, c in zip(kept, check) if not c], len(hashes)), y[~check], weight, l2=L2, steps=200, rate=0.3)
+        w, bias = linear.fit(linear.Sparse([k for k, c in zip(kept, check) if not c], len(hashes)), y[~check], weight, l2=L2 / max(1, len(y)), steps=200, rate=0.3)
         # Calibrated on texts that the fit has not seen.
         seen = linear.Sparse([k for k, c in zip(kept, check) if c], len(hashes))
         a, b = linear.platt(seen.times(w) + bias, toxic[check].astype(float))
