@@ -126,13 +126,18 @@ def map_vectors(df: DataFrame, fn, fields: list[tuple[str, T.DataType]], feature
     return src.mapInArrow(run, schema)
 
 
+# Tasks that add up what all tasks have summed.
+FAN = 8
+
+
 def block_sums(df: DataFrame, fn, group: str | None = None, features: str = "features",
                extra: list[str] | None = None) -> DataFrame:
     """Sum, over all rows, a fixed-length array that `fn` computes per block.
 
     `fn(X, cols)` gets the N x D block and a dict of the extra columns and
     returns a flat array. Each task adds up its own blocks and emits one row
-    per group value; the shuffle then carries sums only. Result: (group, i, v).
+    per group value. FAN tasks add those up as arrays, as they arrive; only
+    their sums are taken apart for the last sum. Result: (group, i, v).
     """
     keys = [group] if group else []
     extra = extra or []
@@ -160,8 +165,18 @@ def block_sums(df: DataFrame, fn, group: str | None = None, features: str = "fea
             arrays.append(as_list_column(np.stack(list(total.values()))))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "s"])
 
+    def add(batches):
+        total: dict = {}
+        for batch in batches:
+            sums = as_matrix(batch.column(len(keys)))
+            for key, v in zip(batch.column(0).to_pylist() if group else [None] * len(sums), sums):
+                total[key] = total[key] + v if key in total else v
+        if total:
+            arrays = [pa.array(list(total), type=ARROW_KEYS[kind])] if group else []
+            yield pa.RecordBatch.from_arrays([*arrays, as_list_column(np.stack(list(total.values())))], names=[*keys, "s"])
+
     kind = src.schema[group].dataType.typeName() if group else None
-    parts = src.mapInArrow(run, schema)
+    parts = src.mapInArrow(run, schema).repartition(FAN, F.spark_partition_id()).mapInArrow(add, schema)
     return (parts.select(*keys, F.posexplode("s").alias("i", "v"))
             .groupBy(*keys, "i").agg(F.sum("v").alias("v")))
 
