@@ -119,6 +119,23 @@ def grid_search_ridge(spark, sf):
     return spark.createDataFrame(linear.fold_grid(parts, ALPHAS), "alpha double, fold int, rmse double").withColumn("rmse", r("rmse"))
 
 
+TRAIN_FOLDS = f"""{PARTS}, parts_in AS MATERIALIZED (SELECT *, CAST(floor({b.u(42, 'fold', 'id')} * 5) AS INTEGER) AS fold FROM parts WHERE NOT is_test)"""
+
+
+@query("grid_search_ridge_refit", f"""WITH {TRAIN_FOLDS}, {ridge_sql('SELECT unnest([0, 1, 2, 3, 4]) AS n, unnest([0.0::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE, 10.0::DOUBLE, 100.0::DOUBLE]) AS alpha', folds='SELECT unnest([0, 1, 2, 3, 4, -1]) AS f')},
+  scores AS (SELECT n, f, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM fits JOIN parts_in p ON p.fold = fits.f GROUP BY n, f),
+  best AS (SELECT n, avg(rmse) AS cv FROM scores GROUP BY n ORDER BY round(avg(rmse), 12), n LIMIT 1)
+  SELECT {rs('any_value(alpha)')} AS alpha, {rs('any_value(cv)')} AS cv_rmse, {rs('sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2)))')} AS test_rmse
+  FROM fits JOIN best USING (n), parts WHERE f = -1 AND is_test""")
+def grid_search_ridge_refit(spark, sf):
+    """The best alpha over the folds of the training rows, refitted on all of them and scored on the test rows: one scan."""
+    fold = F.when(F.col("is_test"), F.lit(-1)).otherwise(F.floor(rng.uniform(42, "fold", "id") * 5).cast("int"))
+    parts = linear.moments(b.parts(spark, sf).withColumn("fold", fold), part_columns("t"), by="fold", center=True)
+    test = parts.pop(-1)
+    out = spark.createDataFrame([linear.grid_refit(parts, test, ALPHAS)], "alpha double, cv_rmse double, test_rmse double")
+    return out.select(*[r(c).alias(c) for c in out.columns])
+
+
 # ---- gradient descent -----------------------------------------------------------
 
 def w0_sql(d: str, k: str = "0") -> str:
