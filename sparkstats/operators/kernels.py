@@ -11,12 +11,14 @@ from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import vectors
 
 MAX_MAP = 4096
 MAX_SUPPORT_BYTES = 64 << 20
+SUPPORT_ROWS = 4096
 TRUNCATION = 1e-13
 
 
@@ -50,9 +52,9 @@ class FeatureMap:
                 degree += 1
                 rest = rest * t / degree
                 if math.comb(degree + dim, dim) > MAX_MAP:
-                    raise ValueError("too many terms for this dimension and radius; score in blocks instead")
+                    raise ValueError("too many terms for this dimension and radius; use kernel_sums_in_blocks")
         if math.comb(degree + dim, dim) > MAX_MAP:
-            raise ValueError("too many monomials; project to fewer columns first")
+            raise ValueError("too many monomials; use kernel_sums_in_blocks")
         terms = vectors.monomials(dim, degree, include_bias=True)
         scale = []
         for term in terms:
@@ -89,10 +91,12 @@ def kernel_score(df: DataFrame, support: np.ndarray, coef: np.ndarray, bias: flo
                  degree: int = 3, features: str = "features") -> DataFrame:
     """Append score = Σ_j coef_j K(x, x_j) + bias and its sign."""
     if support.nbytes > MAX_SUPPORT_BYTES:
-        raise ValueError("support set too large to ship; use kernel_sums")
+        raise ValueError("support set too large to ship; use kernel_sums or kernel_sums_in_blocks")
 
     def run(x):
-        y = kernel_matrix(kind, x, support, gamma, degree) @ coef + bias
+        y = np.full(len(x), float(bias))
+        for at in range(0, len(support), SUPPORT_ROWS):
+            y += kernel_matrix(kind, x, support[at:at + SUPPORT_ROWS], gamma, degree) @ coef[at:at + SUPPORT_ROWS]
         return y, np.sign(y).astype(int)
 
     return vectors.map_vectors(df, run, [("score", T.DoubleType()), ("sign", T.IntegerType())], features)
@@ -111,6 +115,33 @@ def kernel_sums(df: DataFrame, train: DataFrame, coef: str, fmap: FeatureMap, bi
     return vectors.map_vectors(df, run, [("score", T.DoubleType()), ("sign", T.IntegerType())], features)
 
 
+def kernel_sums_in_blocks(df: DataFrame, train: DataFrame, coef: str, kind: str, gamma: float = 1.0, degree: int = 3,
+                          bias: float = 0.0, features: str = "features", id_col: str = "id", block_rows: int = 4096) -> DataFrame:
+    """(id, score, sign): the same score without a feature map, for any kernel, dimension and size.
+
+    Blocks of rows meet blocks of training rows; a pair of blocks gives one
+    partial sum per row. Each row is copied once per block of the other side,
+    and the work is rows x rows.
+    """
+    blocks = [max(1, math.ceil(t.count() / block_rows)) for t in (df, train)]
+    q = (df.select(F.col(id_col).alias("id"), F.col(features).alias("x")).withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(blocks[0])))
+         .withColumn("tb", F.explode(F.sequence(F.lit(0), F.lit(blocks[1] - 1)).cast("array<bigint>"))))
+    t = (train.select(F.col(features).alias("x"), F.col(coef).cast("double").alias("c")).withColumn("tb", F.pmod(F.xxhash64("x", "c"), F.lit(blocks[1])))
+         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(blocks[0] - 1)).cast("array<bigint>"))))
+
+    def partial(rows: pa.Table, known: pa.Table) -> pa.Table:
+        y = np.zeros(len(rows))
+        if len(rows) and len(known):
+            a, b, c = vectors.as_matrix(rows.column("x")), vectors.as_matrix(known.column("x")), known.column("c").to_numpy()
+            for at in range(0, len(a), 1024):
+                y[at:at + 1024] = kernel_matrix(kind, a[at:at + 1024], b, gamma, degree) @ c
+        return pa.table({"id": rows.column("id"), "y": pa.array(y)})
+
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("y", T.DoubleType())])
+    sums = q.groupBy("qb", "tb").cogroup(t.groupBy("qb", "tb")).applyInArrow(partial, schema).groupBy("id").agg((F.sum("y") + F.lit(float(bias))).alias("score"))
+    return sums.select(F.col("id").alias(id_col), "score", F.signum("score").cast("int").alias("sign"))
+
+
 def support_rows(df: DataFrame, alpha: str, sign: str, tolerance: float = 1e-7) -> DataFrame:
     """Rows that carry weight (a_i > tolerance), with coefficient a_i·t_i."""
     return df.where(F.col(alpha) > tolerance).withColumn("coef", F.col(alpha) * F.col(sign))

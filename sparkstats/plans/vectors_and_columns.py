@@ -82,6 +82,16 @@ def kernel_sums(spark, sf):
     return out.select("id", r("score").alias("score"))
 
 
+@query("kernel_sums_blocks", f"""WITH {VEC}, k AS (SELECT q.id, t.id AS tid, t.label, pow(0.5 * sum(q.x * t.x) + 1, 3) AS v
+    FROM vec q JOIN vec t ON q.d = t.d WHERE q.is_test AND NOT t.is_test GROUP BY q.id, t.id, t.label)
+  SELECT id, {rs('sum(v * (2 * (label % 2) - 1)) - 0.25')} AS score FROM k GROUP BY id""")
+def kernel_sums_blocks(spark, sf):
+    """Degree 3 on 64 inputs: too wide for a feature map, so blocks of rows meet."""
+    v = b.vec(spark, sf).withColumn("coef", scalars.to_sign(scalars.parity("label")).cast("double"))
+    out = kernels.kernel_sums_in_blocks(v.where("is_test"), v.where("not is_test"), "coef", "poly", 0.5, 3, -0.25)
+    return out.select("id", r("score").alias("score"))
+
+
 @query("linear_score", f"""WITH {VEC} SELECT id, {rs(f"sum(x * ({b.u(42, 'weights', 'd', '0')} * 0.2 - 0.1))")} AS score FROM vec GROUP BY id""")
 def linear_score(spark, sf):
     w = gradient.initial_weights(DIM)[:-1, 0]
