@@ -10,6 +10,7 @@ from ..sources.models import materialize
 from . import neighbors, sampling
 
 BROADCAST_TERMS = 1_000_000
+FORM_BYTES = 32 << 20
 
 
 def _small(table: DataFrame, rows: int) -> DataFrame:
@@ -192,10 +193,25 @@ def variants(train: DataFrame, text: str, strip) -> DataFrame:
     return best.where(F.col("word") != F.col("plain"))
 
 
-def restore(lines: DataFrame, forms: DataFrame, keys: list[str], text: str, rows: int | None = None,
-            name: str = "restored") -> DataFrame:
-    """Replace each plain word by its form; unseen words stay, and so does the word count."""
-    rows = forms.count() if rows is None else rows
+def restore(lines: DataFrame, forms: DataFrame, keys: list[str], text: str, name: str = "restored", most: int = FORM_BYTES) -> DataFrame:
+    """Replace each plain word by its form; unseen words stay, and so does the word count. The keys tell lines apart.
+
+    Forms of at most `most` bytes are sent to all tasks, which replace words
+    where they stand. Larger ones meet the words in a join.
+    """
+    size = forms.agg(F.coalesce(F.sum(F.octet_length("plain") + F.octet_length("word")), F.lit(0)).alias("b"), F.count("*").alias("n")).first()
+    if size["b"] <= most:
+        known = lines.sparkSession.sparkContext.broadcast({r["plain"]: r["word"] for r in forms.select("plain", "word").collect()})
+
+        def replaced(lists: pa.Array) -> pa.Array:
+            coded = lists.flatten().dictionary_encode()
+            form = known.value
+            words = pa.array([form.get(w, w) for w in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+            ends = lists.offsets.to_numpy()
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends - ends[0]), words), " ")
+        here = F.coalesce(tx.words(text), F.array().cast("array<string>"))
+        return lines.select(*keys, F.arrow_udf(replaced, "string")(here).alias(name))
+    rows = size["n"]
     words = lines.select(*keys, F.posexplode_outer(tx.words(text)).alias("_p", "plain"))
     joined = words.join(_small(forms, rows), "plain", "left")
     piece = F.struct("_p", F.coalesce("word", "plain").alias("w"))
