@@ -46,10 +46,13 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the documents of sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages in order over the documents of sf_dir. The table that the last stage reads stays in the shared folder."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = common.new_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            common.delete(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
