@@ -31,11 +31,18 @@ L2 = 0.4
 BEGINNINGS = (4, 5, 6)
 #: Punctuation that is taken off words.
 EDGES = ".,;:!?\"'()[]{}<>*_-#$%&|"
+#: Words whose votes or weights a task remembers, about; texts that are read at once.
+MEMORY, AT_ONCE = 1 << 18, 4096
 PATTERNS = ["shouting", "exclaiming", "symbols", "address"]
 VOTERS = LEXICONS + len(PATTERNS)
 ADDRESS = {b"you", b"your", b"du", b"dich", b"tu", b"te", b"toi", b"vous", b"usted"}
 
 
+def spellings(word: str) -> list[bytes]:
+    """What features are made of: a word and its beginnings, those it is longer than."""
+    return [b"=" + word.encode(), *[b"^" + word[:n].encode() for n in BEGINNINGS if len(word) > n]] if word else []
+
+
 class Batch:
     """The distinct words of each text of a batch."""
 
@@ -48,11 +55,17 @@ class Batch:
         self.doc, self.code = pairs // max(1, len(t.words)), pairs % max(1, len(t.words))
         self.count = np.bincount(self.doc, minlength=self.rows)
 
-    def forms(self) -> list[list[bytes]]:
-        """The spellings of each word that features are made of: itself and its beginnings, longer ones only."""
-        whole = self.words.cast(pa.large_binary()).to_pylist()
-        begins = [pc.utf8_slice_codeunits(self.words, 0, n).cast(pa.large_binary()).to_pylist() for n in BEGINNINGS]
-        return [[b"=" + w, *(b"^" + b for b in parts if b != w)] if w else [] for w, *parts in zip(whole, *begins)]
+    def per_word(self, make, memory: dict | None = None) -> list:
+        """make(spellings) of each word; a memory keeps what it made for words that come again."""
+        memory, out = {} if memory is None else memory, []
+        for w in self.words.to_pylist():
+            value = memory.get(w)
+            if value is None:
+                value = memory[w] = make(spellings(w))
+            out.append(value)
+        if len(memory) > MEMORY:
+            memory.clear()
+        return out
 
     def patterns(self) -> np.ndarray:
         """(rows, patterns) votes on the shape of the texts."""
@@ -66,14 +79,10 @@ class Batch:
         return np.stack([share((self.raw >= 65) & (self.raw <= 90)) > 0.3, share(self.raw == 33) > 0.01,
                          share(np.isin(self.raw, list(b"#*$%&@"))) > 0.02, named], axis=1)
 
-    def votes(self, lexicon: dict[bytes, int]) -> np.ndarray:
+    def votes(self, lexicon: dict[bytes, int], memory: dict | None = None) -> np.ndarray:
         """The votes of each row as bits of a number: lexicons first, then patterns."""
-        bits = np.zeros(len(self.words), dtype=np.int64)
-        for i, forms in enumerate(self.forms()):
-            for f in forms:
-                voter = lexicon.get(f)
-                if voter is not None:
-                    bits[i] |= 1 << voter
+        voters = lambda forms: sum({1 << lexicon[f] for f in forms if f in lexicon})
+        bits = np.array(self.per_word(voters, memory), dtype=np.int64)
         out = np.zeros(self.rows, dtype=np.int64)
         mine = np.flatnonzero(bits[self.code]) if len(bits) else np.empty(0, np.int64)
         np.bitwise_or.at(out, self.doc[mine], bits[self.code[mine]])
@@ -82,15 +91,15 @@ class Batch:
     def scale(self) -> np.ndarray:
         return 1 / np.maximum(self.count, 1) ** POWER
 
-    def scores(self, weights: dict[int, float]) -> np.ndarray:
+    def scores(self, weights: dict[int, float], memory: dict | None = None) -> np.ndarray:
         """The sum of the weights of a row's distinct words, by the root of their number. Weights go by hash."""
         get = weights.get
-        per_word = np.array([sum([get(zlib.crc32(f), 0.0) for f in forms]) for forms in self.forms()])
+        per_word = np.array(self.per_word(lambda forms: sum([get(zlib.crc32(f), 0.0) for f in forms]), memory), dtype=float)
         return np.bincount(self.doc, per_word[self.code] if len(per_word) else None, minlength=self.rows) * self.scale()
 
     def sparse(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each row its hashes and their values."""
-        hashes = [np.array([zlib.crc32(f) for f in forms], dtype=np.int64) for forms in self.forms()]
+        hashes = self.per_word(lambda forms: np.array([zlib.crc32(f) for f in forms], dtype=np.int64))
         scale, out = self.scale(), []
         cuts = np.searchsorted(self.doc, np.arange(self.rows + 1))
         for i in range(self.rows):
@@ -107,7 +116,7 @@ def lexicons(texts: list[pa.Array], toxic: np.ndarray) -> dict[bytes, int]:
     at = 0
     for part in texts:
         b = Batch(part)
-        forms = b.forms()
+        forms = b.per_word(lambda f: f)
         cuts = np.searchsorted(b.doc, np.arange(b.rows + 1))
         for i in range(b.rows):
             counts = in_texts[int(toxic[at + i])]
@@ -195,8 +204,10 @@ def _learned_lexicons(sample: DataFrame):
 
 def voted(text: Column, lexicon: dict[bytes, int]) -> Column:
     """The votes on a text as bits of a number; null counts as the empty text."""
+    memory: dict = {}
+
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(np.concatenate([Batch(texts.slice(at, 2048)).votes(lexicon) for at in range(0, len(texts), 2048)] or [np.empty(0, np.int64)]))
+        return pa.array(np.concatenate([Batch(texts.slice(at, AT_ONCE)).votes(lexicon, memory) for at in range(0, len(texts), AT_ONCE)] or [np.empty(0, np.int64)]))
     return F.arrow_udf(run, "long")(text)
 
 
@@ -261,10 +272,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
 def scored(text: Column, model: Classifier) -> Column:
     """The probability of toxic; null counts as the empty text, which has a score too."""
-    weights, bias = model.weights, float(model.bias)
+    weights, bias, memory = model.weights, float(model.bias), {}
 
     def run(texts: pa.Array) -> pa.Array:
-        parts = [linear.sigmoid(Batch(texts.slice(at, 2048)).scores(weights) + bias) for at in range(0, len(texts), 2048)]
+        parts = [linear.sigmoid(Batch(texts.slice(at, AT_ONCE)).scores(weights, memory) + bias) for at in range(0, len(texts), AT_ONCE)]
         return pa.array(np.concatenate(parts or [np.empty(0)]))
     return F.arrow_udf(run, "double")(text)
 
