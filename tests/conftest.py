@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -11,10 +10,7 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 @pytest.fixture(scope="session")
 def spark():
     import compare
-    session = compare.session()
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
-    return session
+    return compare.session()
 
 
 @pytest.fixture(scope="session")
