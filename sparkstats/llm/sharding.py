@@ -52,8 +52,8 @@ def _chosen(dim: Column) -> Column:
 def tree(groups: DataFrame, shards: int | None = SHARDS, target: int | None = None) -> DataFrame:
     """groups with `shard`. The number of leaves is `shards`, or the total weight by `target` bytes."""
     spark = groups.sparkSession
-    placed = groups.withColumn("node", F.lit(0))
-    total = groups.agg(F.sum("weight")).first()[0] or 0
+    placed = cut(groups.withColumn("node", F.lit(0)))  # a stored column: the joins below are on values, not on a constant
+    total = placed.agg(F.sum("weight")).first()[0] or 0
     leaves = shards or max(1, math.ceil(total / target))
     open_, done, names = {0: (0, leaves)}, {}, 1  # node: (first shard, number of shards)
     level = 0
@@ -122,6 +122,6 @@ def shard(docs: DataFrame, shards: int | None = SHARDS, target: int | None = Non
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = cut(docs.select(F.col(id_col).alias("id"), size(F.col(text)).alias("size"), F.crc32(whole.cast("binary")).alias("text_crc32"),
                            F.xxhash64(whole).alias("h1"), F.xxhash64(F.lit(1), whole).alias("h2"), F.col(source).alias("source"), F.col(lang).alias("lang")))
-    leaves = tree(cut(_groups(rows)), shards, target).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "shard")
+    leaves = tree(_groups(rows), shards, target).select(F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), "shard")
     named = rows.join(leaves, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).select("id", "size", "text_crc32", "h1", "shard")
     return numbered(cut(named), ["shard"], ["id", "h1"], "slot").drop("h1")
