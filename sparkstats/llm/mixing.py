@@ -1,9 +1,11 @@
 """Mixing sources to target weights: integer quotas of equal-token blocks by Sainte-Lague, then block selection.
 
 A source's target is its share by weight, at most `most` times its own words; what is over goes to the others.
-The targets are paid out in blocks of equal size: sources get blocks, and the shards of a source get the blocks
-of their source, by highest quotients. A shard lies in a seeded order of its documents as one stream of words;
-its blocks are taken from the front, and again from the front where a stream is used up.
+The targets are paid out in full, in blocks of equal size: the shards of a source get the blocks that fit into
+its target and into them by highest quotients. What is less than a block, of a source or of its shards, is paid
+in single words by the same rule, to the shards that are short of their share. A shard lies in a seeded order of
+its documents as one stream of words; its words are taken from the front, and again from the front where a
+stream is used up.
 """
 
 import heapq
@@ -68,6 +70,22 @@ def quotas(goals: np.ndarray, blocks: int, limits: np.ndarray | None = None) ->
     return got
 
 
+def dues(held: np.ndarray, goal: np.ndarray, blocks: int = BLOCKS, most: int = MOST) -> np.ndarray:
+    """Words that each (source, shard) gives; a source's add up to its target, rounded. held: its words.
+
+    Nobody gives more than `most` times its words, and no source or shard is too small to give its share.
+    """
+    sizes, out = held.sum(axis=1), np.zeros_like(held)
+    per_source = quotas(goal, int(round(goal.sum())), most * sizes)
+    block = max(1, int(goal.sum() // blocks))
+    for i, due in enumerate(per_source):
+        if due:
+            out[i] = block * quotas(held[i], int(due // block), most * held[i] // block)
+            short = np.maximum(held[i] * (due / sizes[i]) - out[i], 0)
+            out[i] += quotas(short, int(due - out[i].sum()), most * held[i] - out[i])
+    return out
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", weights: tuple = WEIGHTS, blocks: int = BLOCKS, seed: int = SEED) -> DataFrame:
     """(id, hash, source, size, source_size, target, taken, nth): one row per row of docs.
 
@@ -87,14 +105,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
         held[at[r["source"]], r["shard"]] = r["n"]
     sizes = held.sum(axis=1)
     goal = targets(sizes.astype(float), np.array([weights[i % len(weights)] for i in range(len(names))]))
-    total = goal.sum()
-    block = max(1, int(total // blocks))
-    per_source = quotas(goal, int(round(total / block)))
-    rows = []
-    for i, name in enumerate(names):
-        # A shard gives MOST times its words; the last block may be a part of one.
-        got = quotas(held[i], int(per_source[i]), -(-MOST * held[i] // block))
-        rows += [(name, s, int(sizes[i]), float(goal[i]), int(min(got[s] * block, MOST * held[i, s])), int(held[i, s])) for s in range(shards)]
+    due = dues(held, goal, blocks)
+    rows = [(name, s, int(sizes[i]), float(goal[i]), int(due[i, s]), int(held[i, s])) for i, name in enumerate(names) for s in range(shards)]
     plan = docs.sparkSession.createDataFrame(rows, "_source string, _shard int, source_size long, target double, due long, held long")
     stream = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(seed), F.col("hash"), F.col("id")), "id", "hash", "size")
     placed = (dealt.withColumn("end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))

@@ -175,6 +175,31 @@ def test_targets_stop_at_the_limit():
     assert mixing.targets(np.array([0.0]), np.array([5.0]))[0] == 0
 
 
+def test_dues_pay_small_sources_in_full():
+    rng = np.random.default_rng(7)
+    parts = np.array([0.00001, 0.0001, 0.001, 0.01, 0.3, 0.68889])
+    for shards, total in ((1, 10**6), (120, 10**9), (300, 6 * 10**9), (4096, 10**11)):
+        held = rng.poisson(parts[:, None] * total / shards, (6, shards)).astype(np.int64)
+        goal = mixing.targets(held.sum(axis=1).astype(float), np.array([5.0, 2.0, 1.0, 5.0, 2.0, 1.0]))
+        due = mixing.dues(held, goal)
+        assert (due >= 0).all() and (due <= 3 * held).all() and due.sum() == held.sum()
+        assert (np.abs(due.sum(axis=1) - goal) <= 1).all(), shards
+        share = held * (goal / held.sum(axis=1))[:, None]
+        assert (np.abs(due - share) <= goal.sum() // mixing.BLOCKS + 1).all(), shards
+
+
+def test_mix_of_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_ROWS", 25)
+    rows = [(i, "w " * (1 + i % 40), "rare" if i % 100 == 0 else "some" if i % 10 == 1 else "usual") for i in range(3000)]
+    got = rows_of(mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), blocks=50))
+    taken = Counter()
+    for r in got:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    assert len(got) == 3000 and all(abs(taken[r["source"]] - r["target"]) <= 1 for r in got)
+    assert all(r["taken"] == 3 * r["size"] for r in got if r["source"] == "rare")
+
+
 def test_mix(messy, empty):
     got = rows_of(mixing.mix(messy))
     size = Counter()
