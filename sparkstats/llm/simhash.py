@@ -7,6 +7,7 @@ up as soon as all its distances exceed the radius.
 """
 
 from itertools import accumulate, combinations
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -109,10 +110,29 @@ def joined(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = deeper
 
 
-def classes(fps: np.ndarray, first: np.ndarray, end: np.ndarray, radius: int) -> np.ndarray:
+def joined_if(labels: np.ndarray, a: np.ndarray, b: np.ndarray, alike) -> None:
+    """As `joined`, for those of the hits that `alike(row, row)` confirms.
+
+    In each round a class asks about one of its hits at most, and hits inside a class are dropped unasked: n rows
+    that are all alike take about n questions.
+    """
+    while True:
+        apart = labels[a] != labels[b]
+        a, b = a[apart], b[apart]
+        if not len(a):
+            return
+        _, asked = np.unique(np.maximum(labels[a], labels[b]), return_index=True)
+        yes = asked[[alike(i, j) for i, j in zip(a[asked].tolist(), b[asked].tolist())]]
+        rest = np.ones(len(a), dtype=bool)
+        rest[asked] = False
+        joined(labels, a[yes], b[yes])
+        a, b = a[rest], b[rest]
+
+
+def classes(fps: np.ndarray, first: np.ndarray, end: np.ndarray, radius: int, alike=None) -> np.ndarray:
     """For sorted buckets: the first row that each row is connected to by links inside its bucket.
 
-    first, end: the bucket of each row. Every row meets all later rows of its bucket.
+    first, end: the bucket of each row. Every row meets all later rows of its bucket. alike: see `joined_if`.
     """
     labels = np.arange(len(fps))
     rows = np.flatnonzero(end - labels > 1)
@@ -132,7 +152,8 @@ def classes(fps: np.ndarray, first: np.ndarray, end: np.ndarray, radius: int) ->
         some = np.flatnonzero(hit)
         bits = np.unpackbits(hit[some].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         k, j = np.nonzero(bits)
-        joined(labels, row[some[k]], base[some[k]] + j)
+        a, b = row[some[k]], base[some[k]] + j
+        joined(labels, a, b) if alike is None else joined_if(labels, a, b, alike)
     return labels
 
 
@@ -165,33 +186,81 @@ def as_column(fps: np.ndarray) -> pa.Array:
     return pa.array(fps[:, 0].view(np.int64)) if fps.shape[1] == 1 else pa.array([f.tobytes() for f in fps], pa.binary())
 
 
+def whole_buckets(batches):
+    """Sorted (k, ...) rows as tables of whole buckets."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column("k").to_numpy()
+        last = int(np.searchsorted(-(k != k[-1]).astype(np.int8), 0))  # where the last bucket, perhaps not ended, begins
+        if last or held and held[-1].column("k")[-1].as_py() != k[0]:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _labelled(table: pa.Table, radius: int, words: int, alike=None) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of whole buckets and the first row that each is connected to. Bits past `words` words are not compared."""
+    k, f = table["k"].to_numpy(), as_words(table["fp"])
+    starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
+    sizes = np.diff(np.concatenate((starts, [len(k)])))
+    first = np.repeat(starts, sizes)
+    return f, classes(f[:, :words], first, first + np.repeat(sizes, sizes), radius, alike)
+
+
+def _links_of(f: np.ndarray, label: np.ndarray) -> pa.RecordBatch:
+    apart = np.flatnonzero(label != np.arange(len(f)))
+    return pa.RecordBatch.from_arrays([as_column(f[apart]), as_column(f[label[apart]])], names=["a", "b"])
+
+
 def _bucket_links(radius: int, words: int):
     def run(batches):
         """Sorted (k, fp) rows in; (a, b) links out that connect what is connected within each bucket."""
-        held_k, held_f = np.empty(0, np.int64), np.empty((0, words), np.uint64)
-
-        def links(k, f):
-            starts = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
-            sizes = np.diff(np.concatenate((starts, [len(k)])))
-            first = np.repeat(starts, sizes)
-            label = classes(f, first, first + np.repeat(sizes, sizes), radius)
-            apart = np.flatnonzero(label != np.arange(len(f)))
-            return pa.RecordBatch.from_arrays([as_column(f[apart]), as_column(f[label[apart]])], names=["a", "b"])
-
-        for batch in batches:
-            k = np.concatenate((held_k, batch.column("k").to_numpy()))
-            f = np.concatenate((held_f, as_words(batch.column("fp"))))
-            if not len(k):
-                continue
-            last = int(np.searchsorted(-(k != k[-1]).astype(np.int8), 0))  # where the last bucket, perhaps not ended, begins
-            held_k, held_f = k[last:], f[last:]
-            if last:
-                yield links(k[:last], f[:last])
-        if len(held_k):
-            yield links(held_k, held_f)
+        for table in whole_buckets(batches):
+            yield _links_of(*_labelled(table, radius, words))
     return run
 
 
+def _bucket_classes(radius: int, words: int):
+    def run(batches):
+        """Sorted (k, fp) rows in; (k, fp) rows out of the classes of two rows and more, k being a hash of all rows of the class."""
+        for table in whole_buckets(batches):
+            f, label = _labelled(table, radius, words)
+            rows = np.flatnonzero(np.bincount(label, minlength=len(f))[label] > 1)
+            rows = rows[np.argsort(label[rows], kind="stable")]
+            ends = np.flatnonzero(np.concatenate((label[rows][1:] != label[rows][:-1], [True]))) + 1 if len(rows) else []
+            names = [xxhash.xxh64_intdigest(f[rows[s:e]].tobytes()) - (1 << 63) for s, e in zip([0, *ends], ends)]
+            k = np.repeat(np.array(names, dtype=np.int64), np.diff([0, *ends]))
+            yield pa.RecordBatch.from_arrays([pa.array(k), as_column(f[rows])], names=["k", "fp"])
+    return run
+
+
+def _checked_links(radius: int, words: int, similarity: float):
+    def run(batches):
+        """Sorted (k, fp, shingles) rows in; (a, b) links out of rows within the radius whose shingles have the similarity."""
+        for table in whole_buckets(batches):
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+            yield _links_of(*_labelled(table, radius, words, lambda i, j: jaccard(sets[i], sets[j], similarity) >= similarity))
+    return run
+
+
+def jaccard(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
+    """Similarity of two sorted arrays of distinct numbers; 0 where their sizes alone put it below `least`."""
+    low, high = sorted((len(a), len(b)))
+    if not high:
+        return 1.0
+    if low < least * high:
+        return 0.0
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return shared / (low + high - shared)
+
+
 def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b) links among distinct fingerprints (column `fp`), enough to connect all that links connect.
 
@@ -209,6 +278,12 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
 
 def linked_in(rows: DataFrame, radius: int, words: int = 1) -> DataFrame:
     """(a, b) links of the fingerprints `fp` within the radius that share a bucket `k`, enough to connect what links connect."""
+    kind = dict(rows.dtypes)["fp"]
+    return _dealt(rows).mapInArrow(_bucket_links(radius, words), f"a {kind}, b {kind}")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """(k, fp) rows sorted by buckets; a bucket of more than BUCKET_ROWS rows is cut into pairs of chunks."""
     hot = (rows.groupBy("k").count().where(F.col("count") > BUCKET_ROWS)
            .select(F.col("k").alias("_k"), F.ceil(F.col("count") / BUCKET_ROWS).cast("int").alias("chunks")))
     chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
@@ -216,9 +291,7 @@ def linked_in(rows: DataFrame, radius: int, words: int = 1) -> DataFrame:
                         lambda other: F.xxhash64("k", F.least(chunk, other), F.greatest(chunk, other)))
     cold = rows.join(hot, F.col("k") == F.col("_k"), "left")
     split = cold.select("fp", F.explode(F.when(F.col("chunks").isNull(), F.array("k")).otherwise(pairs)).alias("k"))
-    dealt = split.repartition(F.col("k")).sortWithinPartitions("k", "fp")
-    kind = dict(rows.dtypes)["fp"]
-    return dealt.mapInArrow(_bucket_links(radius, words), f"a {kind}, b {kind}")
+    return split.repartition(F.col("k")).sortWithinPartitions("k", "fp")
 
 
 # ---- connected components -------------------------------------------------------
@@ -283,30 +356,56 @@ _MULTIPLY = np.random.default_rng(20).integers(1, 1 << 63, BANDS * ROWS, dtype=n
 _ADD = np.random.default_rng(21).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
 
-def radius_of(similarity: float, bits: int = WORDS * 64, deviations: float = 2.0) -> int:
-    """Bits that differ at a Jaccard similarity of two equally long texts, and some standard deviations more."""
+def differing(a: int, b: int, shared: int) -> float:
+    """Probability that a bit differs between the fingerprints of `a` and `b` random shingles, `shared` of them common."""
+    def ones(n, own, c):  # over half of n bits set, c of them in the common part
+        return sum(comb(own, x) for x in range(own + 1) if 2 * (c + x) > n) / 2**own
+    out = 0.0
+    for c in range(shared + 1):
+        x, y = ones(a, a - shared, c), ones(b, b - shared, c)
+        out += comb(shared, c) / 2**shared * (x * (1 - y) + y * (1 - x))
+    return out
+
+
+def radius_of(similarity: float, bits: int = WORDS * 64, deviations: float = 4.0) -> int:
+    """Bits that differ at a Jaccard similarity, and some standard deviations more: for long texts, or for short ones where more differ."""
     p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    sizes = [(a, b, ceil(similarity * (a + b) / (1 + similarity) - 1e-9)) for b in range(1, 25) for a in range(1, b + 1)]
+    p = max([p, *(differing(a, b, s) for a, b, s in sizes if s <= a)])
     return int(bits * p + deviations * np.sqrt(bits * p * (1 - p)))
 
 
-def long_fingerprint_of(text: str | None, words: int = 5) -> tuple[bytes, list[int]]:
-    """(fingerprint of WORDS * 64 bits, bands) of a text's distinct shingles; no words: zeros."""
+def _shingles(text: str | None, words: int) -> list[bytes]:
     found = (text or "").encode().lower().split()
-    if not found:
-        return bytes(8 * WORDS), [0] * BANDS
-    joined = b" ".join(found)
-    after = [0, *accumulate(len(w) + 1 for w in found)]
-    parts = [joined] if len(found) < words else list({joined[s:e - 1] for s, e in zip(after, after[words:])})
+    if len(found) < words:
+        return [b" ".join(found)] if found else []
+    joined, after = b" ".join(found), [0, *accumulate(len(w) + 1 for w in found)]
+    return list({joined[s:e - 1] for s, e in zip(after, after[words:])})
+
+
+def shingle_hashes_of(text: str | None, words: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of a text's distinct shingles."""
+    return np.unique(np.frombuffer(b"".join([xxhash.xxh3_128_digest(x, 0)[:8] for x in _shingles(text, words)]), np.uint64))
+
+
+def long_fingerprint_of(text: str | None, words: int = 5) -> tuple[bytes, list[int]]:
+    """(fingerprint of WORDS * 64 bits and 128 bits that name the set, bands) of a text's distinct shingles; no words: zeros."""
+    parts = _shingles(text, words)
+    if not parts:
+        return bytes(8 * WORDS + 16), [0] * BANDS
     digest = xxhash.xxh3_128_digest
-    ones, least = np.zeros(64 * WORDS, dtype=np.int64), np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+    ones, least, all_of = np.zeros(64 * WORDS, dtype=np.int64), np.full(BANDS * ROWS, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64), []
     for at in range(0, len(parts), 1 << 13):
         some = parts[at:at + (1 << 13)]
         raw = np.frombuffer(b"".join([digest(x, seed) for x in some for seed in range(WORDS // 2)]), np.uint8).reshape(len(some), 8 * WORDS)
         ones += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        h = raw.view(np.uint64)[:, :1] * _MULTIPLY + _ADD
+        first = raw.view(np.uint64)[:, :1]
+        all_of.append(first[:, 0])
+        h = first * _MULTIPLY + _ADD
         least = np.minimum(least, (h ^ h >> np.uint64(29)).min(axis=0))
     bands = [xxhash.xxh64_intdigest(b.tobytes(), i) - (1 << 63) for i, b in enumerate(least.reshape(BANDS, ROWS))]
-    return np.packbits(2 * ones > len(parts), bitorder="little").tobytes(), bands
+    name = digest(np.unique(np.concatenate(all_of)).tobytes())
+    return np.packbits(2 * ones > len(parts), bitorder="little").tobytes() + name, bands
 
 
 def long_fingerprint(text: Column, words: int = 5) -> Column:
@@ -317,19 +416,34 @@ def long_fingerprint(text: Column, words: int = 5) -> Column:
     return run(text)
 
 
+def shingle_hashes(text: Column, words: int = 5) -> Column:
+    @F.arrow_udf("binary")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([shingle_hashes_of(t.as_py(), words).tobytes() for t in texts], pa.binary())
+    return run(text)
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each group of near copies: the one with the least id (null after all others); all columns are kept.
 
-    Two documents are linked if a band of their minimum shingle hashes agrees and their fingerprints lie within
-    the radius of the similarity; a chain of links is one group. At 0.8 a band agrees for all but 2 of 10,000
-    pairs, and the radius keeps 97 % and more. Null and empty texts are one group. Of rows with the id that
+    Two documents are linked if their sets of shingles have the similarity, which is checked on the shingles' hashes
+    where a band of minimum hashes agrees and the fingerprints lie within the radius; a chain of links is one group.
+    At 0.8 a band agrees for all but 2 of 10,000 pairs, and the radius, four deviations wide, loses fewer. Null and empty texts are one group. Of rows with the id that
     stays, the one with the least (text hash, other sortable columns) stays, whatever the partitioning.
     """
     marked = cut(docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), long_fingerprint(F.col(text), words).alias("f"))
                  .select("id", "hash", "f.fp", "f.bands"))
-    distinct = cut(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("bands").alias("bands")))
-    buckets = distinct.select("fp", F.explode("bands").alias("k"))
-    found = _named(marked.drop("bands"), linked_in(buckets, radius_of(similarity), WORDS), distinct.drop("bands"))
+    distinct = cut(marked.groupBy("fp").agg(F.min("id").alias("least"), F.first("bands").alias("bands"), F.min(F.struct(F.col("id").isNull(), "id", "hash")).alias("s")))
+    buckets, radius = distinct.select("fp", F.explode("bands").alias("k")), radius_of(similarity)
+    # Rows near another, by classes: most classes are found in many bands and are checked in one.
+    near = cut(_dealt(buckets).mapInArrow(_bucket_classes(radius, WORDS), "k long, fp binary").distinct())
+    nodes = distinct.join(near.select("fp").distinct(), "fp").select("fp", F.col("s.id").alias("_id"), F.col("s.hash").alias("_hash"))
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    sets = (texts.join(nodes, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))).dropDuplicates(["fp"])
+            .select("fp", shingle_hashes(F.col("text"), words).alias("shingles")))
+    dealt = near.join(sets, "fp").repartition(F.col("k")).sortWithinPartitions("k", "fp")
+    linked = dealt.select("k", "fp", "shingles").mapInArrow(_checked_links(radius, WORDS, similarity), "a binary, b binary")
+    found = _named(marked.drop("bands"), linked, distinct.select("fp", "least"))
     first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "hash")).alias("s"))
     kept = first.select(F.col("s.id").alias("_id"), F.col("s.hash").alias("_hash"))
     row = F.col("row")

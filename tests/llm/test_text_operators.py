@@ -148,6 +148,41 @@ def test_fingerprint_is_spark_xxhash64(spark):
     assert simhash.fingerprint_of("One  two\nTHREE") == h & (2**64 - 1)
 
 
+def test_deduplicated_keeps_the_exact_limit(spark):
+    """Pairs at 0.75, 0.80 and 0.85, short ones and a chain, against brute force over all pairs."""
+    rng = np.random.default_rng(3)
+    word = lambda: f"w{rng.integers(1 << 40)}"
+    texts = []
+    for shared, own in ((300, 50), (320, 40), (340, 30)):  # shingles: shared / (shared + 2 * own)
+        for _ in range(25):
+            common = [word() for _ in range(shared + 4)]
+            texts += [" ".join(common + [word() for _ in range(own)]), " ".join(common + [word() for _ in range(own)])]
+    for _ in range(25):  # 4 shingles inside 5, 3 inside 4
+        common = [word() for _ in range(9)]
+        texts += [" ".join(common), " ".join(common[:8]), " ".join(common[:7])]
+    long = [word() for _ in range(404)]
+    texts += [" ".join(long[i:i + 204]) for i in range(0, 200, 20)]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    label = np.arange(len(texts))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                simhash.joined(label, np.array([i]), np.array([j]))
+    got = rows_of(simhash.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert sorted(r["doc_id"] for r in got) == sorted(set(label.tolist()))
+
+
+def test_hits_are_asked_about_once_a_row():
+    asked = []
+    label, (a, b) = np.arange(300), np.triu_indices(300, 1)
+    simhash.joined_if(label, a, b, lambda i, j: asked.append((i, j)) or True)
+    assert not label.any() and len(asked) < 600
+    label = np.arange(40)
+    a, b = np.triu_indices(40, 1)
+    simhash.joined_if(label, a, b, lambda i, j: (i - j) % 3 == 0)
+    assert label.tolist() == [i % 3 for i in range(40)]
+
+
 def test_deduplicated(messy, empty):
     out = simhash.deduplicated(messy)
     got = rows_of(out)
