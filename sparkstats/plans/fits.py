@@ -428,7 +428,7 @@ def _parity(spark, sf):
 def svm_fit(spark, sf):
     v = _parity(spark, sf)
     train = v.where("not is_test")
-    return ensembles.svm(train, max_iter=20).fit(train).transform(v.where("is_test")).select("id", "prediction")
+    return ensembles.svm(train).fit(train).transform(v.where("is_test")).select("id", "prediction")
 
 
 @query("svm_multiclass")
@@ -442,7 +442,7 @@ def svm_multiclass(spark, sf):
 def logistic_fit(spark, sf):
     v = b.vec(spark, sf)
     train = v.where("not is_test")
-    model = ensembles.scaled_logistic(train, components=8, max_iter=50).fit(train)
+    model = ensembles.scaled_logistic(train).fit(train)
     return model.transform(v.where("is_test")).select("id", "prediction")
 
 

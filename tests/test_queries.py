@@ -41,3 +41,16 @@ def test_plans_have_no_slow_shapes(spark):
             if " Window [" in line or line.strip().startswith("Window ["):
                 assert "windowspecdefinition(" in line and ", [" in line, (name, line)
         assert "Exchange SinglePartition" not in plan or name == "macro_f1", name
+
+
+def test_fits_take_all_columns_and_iterations(spark, monkeypatch):
+    from pyspark.ml.classification import LinearSVC, LogisticRegression
+    models = []
+    for kind in (LinearSVC, LogisticRegression):
+        def fitted(self, df, fit=kind._fit):
+            models.append(fit(self, df))
+            return models[-1]
+        monkeypatch.setattr(kind, "_fit", fitted)
+    for name in ("svm_fit", "logistic_fit"):
+        entry.queries()[name](spark, SF)
+    assert [(m.numFeatures, m.getMaxIter()) for m in models] == [(64, 100)] * 2
