@@ -110,3 +110,12 @@ def op10(spark, sf):
     from . import simhash
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select(F.col("id").alias("doc_id"), simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op13_packing")
+def op13(spark, sf):
+    import public_tokenizers
+
+    from . import packing
+    pieces = packing.packed(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select(F.col("doc").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
