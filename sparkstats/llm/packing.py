@@ -9,6 +9,7 @@ Documents are tokenised in their scan. A batch is cut where the pre-tokeniser cu
 by the tokeniser's model, and the ids are gathered.
 """
 
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ WIDTH = 1024
 #: Open windows of a partition; free tokens with which a window may be emitted; partitions whose last windows are merged at once.
 WINDOWS, SLACK, MERGED = 32, 8, 64
 #: Bytes of text that are tokenised at a time, at most (a longer text alone); bytes of parts and ids that a worker remembers.
-CHUNK, MEMORY = 4 << 20, 96 << 20
+CHUNK, MEMORY = 2 << 20, 96 << 20
 #: Byte length from which a part is not remembered.
 LONG = 256
 
@@ -66,16 +67,24 @@ class Tokenizer:
         where = np.flatnonzero((raw & 0xC0) != 0x80)
         if not len(where):
             return where
-        b = [np.append(raw, np.zeros(3, np.uint8))[where + k].astype(np.int64) for k in range(4)]
-        code = np.select([b[0] < 0x80, b[0] < 0xE0, b[0] < 0xF0], [
-            b[0], (b[0] & 31) << 6 | b[1] & 63, (b[0] & 15) << 12 | (b[1] & 63) << 6 | b[2] & 63],
-            (b[0] & 7) << 18 | (b[1] & 63) << 12 | (b[2] & 63) << 6 | b[3] & 63) % 0x110000
-        for new in np.unique(code[self.kinds[code] == UNSEEN]):
-            self.kinds[new] = self._kind(int(new))
+        code = raw[where].astype(np.int32)
+        long = np.flatnonzero(code >= 0x80)
+        if len(long):
+            b = np.append(raw, np.zeros(3, np.uint8))[where[long][:, None] + np.arange(4)].astype(np.int32)
+            b0, b1, b2, b3 = b[:, 0], b[:, 1] & 63, b[:, 2] & 63, b[:, 3] & 63
+            code[long] = np.where(b0 < 0xE0, (b0 & 31) << 6 | b1, np.where(b0 < 0xF0, (b0 & 15) << 12 | b1 << 6 | b2,
+                                                                           (b0 & 7) << 18 | b1 << 12 | b2 << 6 | b3)) % 0x110000
         kind, n = self.kinds[code], len(code)
+        new = kind == UNSEEN
+        if new.any():
+            for c in np.unique(code[new]):
+                self.kinds[c] = self._kind(int(c))
+            kind = self.kinds[code]
         first = np.zeros(n + 1, bool)
         first[np.searchsorted(where, at)] = True
-        begins = np.append(first[:n] | np.concatenate(([True], kind[1:] != kind[:-1])), True)
+        begins = np.ones(n + 1, bool)
+        np.not_equal(kind[1:], kind[:-1], out=begins[1:n])
+        begins[:n] |= first[:n]
         run = np.flatnonzero(begins)
         run, end, of = run[:-1], run[1:], kind[run[:-1]]
         # The last blank before a word is a part of its own, or the word's if it is a space.
@@ -102,7 +111,7 @@ class Tokenizer:
         for p in parts:
             ids = known.get(p)
             if ids is None:
-                ids = np.array([t.id for t in model.tokenize(p.decode("latin-1").translate(letters))], "<u4").tobytes()
+                ids = array("I", [t.id for t in model.tokenize(p.decode("latin-1").translate(letters))]).tobytes()
                 if len(p) < LONG:
                     self.held += len(p) + len(ids) + 150
                     if self.held > MEMORY:
@@ -120,8 +129,10 @@ class Tokenizer:
         raw, at = common.utf8(texts)
         start = self.starts(raw, at)
         ends = np.append(start, len(raw)).astype(np.int64)
-        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
-        ids = self._ids(coded.dictionary.to_pylist())
+        coded = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
+        spelled, at_part = common.utf8(coded.dictionary)
+        spelled, at_part = spelled.tobytes(), at_part.tolist()
+        ids = self._ids([spelled[a:b] for a, b in zip(at_part, at_part[1:])])
         code, flat = coded.indices.to_numpy(), np.frombuffer(b"".join(ids), "<u4")
         size = np.array([len(i) // 4 for i in ids], np.int64)
         begin = np.cumsum(size) - size
