@@ -119,3 +119,9 @@ def op13(spark, sf):
     from . import packing
     pieces = packing.packed(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pieces.select(F.col("doc").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op11_collocations")
+def op11(spark, sf):
+    from . import collocations
+    return collocations.mine(table(spark, sf, "documents"))
