@@ -21,7 +21,7 @@ from . import common
 #: Words of a phrase at most, and its least count.
 WORDS, LEAST = 5, 100
 #: Bytes of text to a range of suffixes; suffixes drawn for each range to find where it begins; bytes of text that are cut into words at a time.
-RANGE_BYTES, DRAWN, CHUNK = 24 << 20, 512, 8 << 20
+RANGE_BYTES, DRAWN, CHUNK = 12 << 20, 512, 4 << 20
 UNKNOWN = "und"
 #: What ends a piece, and what parts words within one.
 PIECE_ENDS, BLANKS = ".,;:!?\x0A\x0B\x0C\x0D", " \x09"
@@ -44,9 +44,9 @@ class Suffixes:
         begin = inside.copy()
         begin[1:] &= ~inside[:-1] | first[1:-1]
         begin, size = np.flatnonzero(begin), np.diff(np.append(np.flatnonzero(begin), len(raw)))
-        before = np.concatenate(([0], np.cumsum(inside)))
+        before = np.concatenate(([0], np.cumsum(inside, dtype=np.int32)))
         size = before[begin + size] - before[begin]
-        ends = np.concatenate(([0], np.cumsum(size)))
+        ends = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
         words = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw[inside])))
         coded = pa.concat_arrays([words, pc.fill_null(langs.cast(pa.large_string()), UNKNOWN)]).dictionary_encode()
         order = pc.sort_indices(coded.dictionary).to_numpy()
@@ -56,7 +56,7 @@ class Suffixes:
         code = rank[coded.indices.to_numpy()]
         code, lang = code[:len(begin)], code[len(begin):]
         doc = np.searchsorted(at, begin, "right") - 1
-        piece = np.cumsum(kind == 2)[begin]
+        piece = np.cumsum(kind == 2, dtype=np.int32)[begin]
         last = np.ones(len(begin), bool)
         last[:-1] = (doc[1:] != doc[:-1]) | (piece[1:] != piece[:-1])
         stop = np.flatnonzero(last)
@@ -146,17 +146,17 @@ def quicksorted(codes: np.ndarray, weight: np.ndarray, least: int, ends: list[li
 
     codes has a row per place; 0 is no word. Pointers are split by the code at a place into less, equal and more.
     """
-    stack = [(np.arange(codes.shape[1]), 0, (), tuple(range(len(ends))))]
+    stack = [(np.arange(codes.shape[1], dtype=np.int32), 0, (), tuple(range(len(ends))))]
     while stack:
         at, place, prefix, near = stack.pop()
         code = codes[place][at]
         if (gone := code == 0).any():
             at, code = at[~gone], code[~gone]
-        if not len(at) or weight[at].sum() < least and not near:
+        if not len(at) or weight[at].sum(dtype=np.int64) < least and not near:
             continue
         pivot = int(np.sort(code[[0, len(code) // 2, -1]])[1])
         same = at[code == pivot]
-        count = int(weight[same].sum())
+        count = int(weight[same].sum(dtype=np.int64))
         on = tuple(e for e in near if ends[e][place] == pivot)
         if count >= least or on:
             yield (*prefix, pivot), count
@@ -210,36 +210,34 @@ def counts(docs: DataFrame, lang: str = "lang", text: str = "text", most: int =
                 at = [0, *s.begins(held.value).tolist(), s.codes.shape[1]]
                 full = [(n, a, b) for n, (a, b) in enumerate(zip(at, at[1:])) if a < b]
                 parts = [s.part(a, b) for _, a, b in full]
-                yield pa.RecordBatch.from_arrays([pa.array([n for n, _, _ in full], pa.int32()), pa.array([p[0] for p in parts], pa.binary()),
-                                                  pa.array([p[1] for p in parts], pa.binary())], names=["range", "names", "suffixes"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(v, pa.int32()) for v in ([n for n, _, _ in full], [b - a for _, a, b in full])),
+                                                  *(pa.array([p[k] for p in parts], pa.binary()) for k in (0, 1))], names=["range", "rows", "names", "suffixes"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, parts, number = [], [], None
-        for batch in batches:
-            for n, a, b in zip(*[c.to_pylist() for c in batch.columns]):
-                number = n
-                names.append(_unstreamed(a).column(0))
-                parts.append(_unstreamed(b))
+        parts = [p for batch in batches for p in zip(*[c.to_pylist() for c in batch.columns])]  # as compressed as they come
         if not parts:
             return
+        number, names = parts[0][0], [_unstreamed(p[2]).column(0) for p in parts]
         coded = pa.concat_arrays(names).dictionary_encode()
-        indices, at, rows = coded.indices.to_numpy() + 1, 0, []
-        for name, part in zip(names, parts):
-            to = np.concatenate(([0], indices[at:at + len(name)])).astype(np.int32)
-            at += len(name)
-            rows.append(np.stack([to[part.column(i).to_numpy()] for i in range(most + 1)]))
-        weight = np.concatenate([p.column(most + 1).to_numpy() for p in parts])
+        indices, at, size = coded.indices.to_numpy() + 1, 0, 0
+        codes, weight = np.empty((most + 1, sum(p[1] for p in parts)), np.int32), np.empty(sum(p[1] for p in parts), np.int32)
+        for name, (_, n, _, rows) in zip(names, parts):
+            to, rows = np.concatenate(([0], indices[at:at + len(name)])).astype(np.int32), _unstreamed(rows)
+            for i in range(most + 1):
+                codes[i, size:size + n] = to[rows.column(i).to_numpy()]
+            weight[size:size + n] = rows.column(most + 1).to_numpy()
+            at, size = at + len(name), size + n
+        del names, parts
         spelled = ["", *coded.dictionary.to_pylist()]
         where = {w: i for i, w in enumerate(spelled) if i}
         ends = [[where.get(w, 0) for w in m] + [0] * (most + 1 - len(m)) for m in held.value[max(0, number - 1):number + 1]]
-        del names, parts
-        found = list(quicksorted(np.concatenate(rows, axis=1), weight, least, ends))
+        found = list(quicksorted(codes, weight, least, ends))
         yield pa.RecordBatch.from_arrays(
             [pa.array([spelled[p[0]] for p, _ in found], pa.string()), pa.array([len(p) - 1 for p, _ in found], pa.int32()),
              pa.array([" ".join(spelled[c] for c in p[1:]) for p, _ in found], pa.string()), pa.array([f for _, f in found], pa.int64())],
             names=["lang", "size", "phrase", "f"])
 
-    routed = texts.mapInArrow(route, "range int, names binary, suffixes binary").repartitionById(ranges, "range")
+    routed = texts.mapInArrow(route, "range int, rows int, names binary, suffixes binary").repartitionById(ranges, "range")
     found = routed.mapInArrow(count, "lang string, size int, phrase string, f long")
     summed = found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
     return common.cut(summed.where((F.col("f") >= least) | (F.col("size") == 0)))
