@@ -125,3 +125,9 @@ def op13(spark, sf):
 def op11(spark, sf):
     from . import collocations
     return collocations.mine(table(spark, sf, "documents"))
+
+
+@query("op12_whitening")
+def op12(spark, sf):
+    from . import whitening
+    return whitening.whitened(table(spark, sf, "embeddings")).withColumnRenamed("id", "vec_id")
