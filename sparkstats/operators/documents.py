@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from ..functions import text as tx, vectors
+from ..functions import arrow_text as at, text as tx, vectors
 from ..sources.models import materialize
 from . import neighbors, sampling
 
@@ -18,33 +18,38 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(table) if rows <= BROADCAST_TERMS else table
 
 
-def _counted(df: DataFrame, id_col: str, items: Column, name: str) -> DataFrame:
-    """(id, name, cnt): how often each item of an array column is there, row by row: one row is one document.
+def _counted(df: DataFrame, id_col: str, text: Column, name: str, items) -> DataFrame:
+    """(id, name, cnt): how often each item is in a text, row by row: one row is one document.
 
-    The items of a batch are numbered and counted where they are; nothing is shuffled.
+    `items` makes the lists of items of an Arrow batch of texts. They are numbered and counted where they are; nothing is shuffled.
     """
     def count(batches):
         for batch in batches:
-            lists = batch.column("_items")
-            coded = lists.flatten().dictionary_encode()
-            width = max(1, len(coded.dictionary))
-            pairs, n = np.unique(pc.list_parent_indices(lists).to_numpy().astype(np.int64) * width + coded.indices.to_numpy(), return_counts=True)
-            yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(pairs // width)), coded.dictionary.take(pa.array(pairs % width)), pa.array(n, pa.int64())],
-                                             names=[id_col, name, "cnt"])
+            for found in items(batch.column("_text")):
+                row, names, n = found.by_row()
+                yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(row)), names, pa.array(n, pa.int64())], names=[id_col, name, "cnt"])
     fields = [df.schema[id_col], T.StructField(name, T.StringType()), T.StructField("cnt", T.LongType())]
-    return df.select(id_col, F.coalesce(items, F.array().cast("array<string>")).alias("_items")).mapInArrow(count, T.StructType(fields))
+    return df.select(id_col, text.alias("_text")).mapInArrow(count, T.StructType(fields))
+
+
+def _totals(df: DataFrame, text: Column, name: str, items) -> DataFrame:
+    """(name, cnt): how often each item is in all texts. Batches are counted in the scan, and their counts added up."""
+    def count(batches):
+        for batch in batches:
+            for found in items(batch.column(0)):
+                names, n = found.totals()
+                yield pa.RecordBatch.from_arrays([names, pa.array(n, pa.int64())], names=[name, "cnt"])
+    return df.select(text.alias("_text")).mapInArrow(count, f"{name} string, cnt long").groupBy(name).agg(F.sum("cnt").alias("cnt"))
 
 
 def token_counts(df: DataFrame, id_col: str, text: str, min_len: int = 2) -> DataFrame:
     """(id, term, cnt) over the whole text."""
-    return _counted(df, id_col, F.filter(tx.tokens(text), lambda w: F.length(w) >= min_len), "term")
+    return _counted(df, id_col, F.col(text), "term", lambda t: [at.Items(t, at.NO_WORD, min_len)])
 
 
 def vocabulary(df: DataFrame, text: str, min_count: int = 2, min_len: int = 2) -> DataFrame:
     """(term, cnt): terms by total occurrences, case-sensitive."""
-    toks = df.select(F.explode(tx.tokens(text)).alias("term"))
-    return (toks.where(F.length("term") >= min_len).groupBy("term")
-            .agg(F.count("*").alias("cnt")).where(F.col("cnt") >= min_count))
+    return _totals(df, F.col(text), "term", lambda t: [at.Items(t, at.NO_WORD, min_len)]).where(F.col("cnt") >= min_count)
 
 
 def vocabulary_of(counts: DataFrame, min_count: int = 2) -> DataFrame:
@@ -153,19 +158,28 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k
     return neighbors.knn_join(asked, known, k, neighbors.Sparse(), [label], id_col, **options)
 
 
+def _grams(low: int, high: int):
+    """Word n-grams of tokens of two characters and more."""
+    def items(texts):
+        tokens = at.Items(texts, at.NO_WORD, 2)
+        for n in range(low, high + 1):
+            yield tokens.ngrams(n)
+    return items
+
+
 def word_ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high: int = 3, lower: bool = True) -> DataFrame:
     """(id, ngram, cnt) of word n-grams."""
-    toks = tx.long_tokens(F.lower(text) if lower else F.col(text))
-    grams = F.concat(*[tx.word_ngrams("_t", n) for n in range(low, high + 1)])
-    return _counted(df.select(id_col, toks.alias("_t")), id_col, grams, "ngram")
+    return _counted(df, id_col, F.lower(text) if lower else F.col(text), "ngram", _grams(low, high))
 
 
 def corpus_word_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 3, lower: bool = True) -> DataFrame:
     """(ngram, cnt) over the whole corpus."""
-    source = F.lower(text) if lower else F.col(text)
-    toks = df.select(tx.long_tokens(source).alias("_t"))
-    grams = F.concat(*[tx.word_ngrams("_t", n) for n in range(low, high + 1)])
-    return toks.select(F.explode(grams).alias("ngram")).groupBy("ngram").agg(F.count("*").alias("cnt"))
+    return _totals(df, F.lower(text) if lower else F.col(text), "ngram", _grams(low, high))
+
+
+def word_totals(df: DataFrame, text: str, name: str = "word") -> DataFrame:
+    """(word, cnt) of the words between whitespace."""
+    return _totals(df, F.col(text), name, lambda t: [at.Items(t, at.BLANK)])
 
 
 def corpus_char_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 5) -> DataFrame:
@@ -174,7 +188,7 @@ def corpus_char_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 5) ->
     Words are counted first, so n-grams are cut once per distinct word. A padded
     word shorter than `low` counts once, whole, under `low`.
     """
-    words = df.select(F.explode(tx.words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
+    words = word_totals(df, text).withColumnRenamed("cnt", "c")
     padded = words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("w"), "c")
     sized = padded.select("w", "c", F.explode(F.sequence(F.lit(low), F.greatest(F.lit(low), F.least(F.length("w"), F.lit(high))))).alias("n"))
     placed = sized.select("w", "c", "n", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length("w") - F.col("n") + 1))).alias("i"))
@@ -187,8 +201,7 @@ def variants(train: DataFrame, text: str, strip) -> DataFrame:
 
     Among equally frequent forms the first in sorted order wins.
     """
-    counted = (train.select(F.explode(tx.words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("c"))
-               .withColumn("plain", strip(F.col("word"))))
+    counted = word_totals(train, text).withColumnRenamed("cnt", "c").withColumn("plain", strip(F.col("word")))
     best = counted.groupBy("plain").agg(F.min_by("word", F.struct(-F.col("c"), F.col("word"))).alias("word"))
     return best.where(F.col("word") != F.col("plain"))
 
