@@ -1,5 +1,7 @@
 """Vocabularies, term weights, n-gram counts and diacritics restoration."""
 
+from concurrent.futures import ThreadPoolExecutor
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -7,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import arrow_text as at, text as tx, vectors
 from ..sources.models import materialize
-from . import neighbors, sampling
+from . import inverted, sampling
 
 BROADCAST_TERMS = 1_000_000
 FORM_BYTES = 32 << 20
@@ -98,7 +100,7 @@ def fit_vocabulary(train: DataFrame, counts: DataFrame, use_idf: bool, min_count
              .where(F.col("total") >= min_count))
     if use_idf:
         vocab = vocab.withColumn("idf", F.ln(F.lit(float(train.count())) / (F.col("df") + 1)))
-    vocab = materialize(vocab.drop("total", "df"), "vocabulary")
+    vocab = materialize(vocab.drop("total"), "vocabulary")
     rows = vocab.count()
     if numbered:
         # A 64-bit hash numbers the terms; should two terms ever share one, ranks do.
@@ -124,20 +126,47 @@ def fit_transform(train: DataFrame, test: DataFrame | None, id_col: str, text: s
 
 
 def sparse_rows(counts: DataFrame, base: DataFrame, id_col: str, tf: bool, idf_column: str | None = None) -> DataFrame:
-    """(id, terms, weights, base columns...): unit-length rows, one per document, also for empty ones.
+    """(id, terms, weights, head, base columns...): unit-length rows, one per document, also for empty ones.
 
-    A document's count of terms scales all its weights alike, so it drops out here.
+    head is the term of most documents (column df of counts). A document's count of terms scales all its weights
+    alike, so it drops out here. The terms of a document are brought together by one shuffle and a sort.
     """
     w = F.col("cnt").cast("double") if tf else F.lit(1.0)
     w = w * F.col(idf_column) if idf_column else w
-    pairs = F.sort_array(F.collect_list(F.struct(F.col("idx"), w.alias("w"))))
-    packed = counts.groupBy(id_col).agg(pairs.alias("p"))
-    size = F.sqrt(F.aggregate("p", F.lit(0.0), lambda acc, s: acc + s["w"] * s["w"]))
-    unit = vectors.let(size, lambda n: F.transform("p", lambda s: F.coalesce(F.try_divide(s["w"], n), F.lit(0.0))))
+    sorted_ = counts.select(F.col(id_col).alias("id"), "idx", w.alias("w"), "df").repartition("id").sortWithinPartitions("id", "idx")
+
+    def rows_of(ids, idx, w, df):
+        start = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
+        size = np.diff(np.append(start, len(ids)))
+        norm = np.repeat(np.sqrt(np.add.reduceat(w * w, start)), size)
+        unit = np.divide(w, norm, out=np.zeros_like(w), where=norm > 0)
+        most = np.flatnonzero(df == np.repeat(np.maximum.reduceat(df, start), size))
+        head = idx[most[np.searchsorted(most, start)]]
+        ends = pa.array(np.append(start, len(ids)).astype(np.int32))
+        return start, [pa.ListArray.from_arrays(ends, pa.array(idx)), pa.ListArray.from_arrays(ends, pa.array(unit)), pa.array(head)]
+
+    def pack(batches):
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]).combine_chunks() if held is not None else table
+            ids = held["id"].combine_chunks().dictionary_encode().indices.to_numpy()
+            last = int(np.searchsorted(ids, ids[-1])) if len(ids) else 0  # a row may go on in the next batch
+            if last:
+                yield made(held.slice(0, last).combine_chunks(), ids[:last])
+                held = held.slice(last)
+        if held is not None and len(held):
+            yield made(held.combine_chunks(), np.zeros(len(held), int))
+
+    def made(table, ids):
+        start, columns = rows_of(ids, *[table[c].to_numpy() for c in ("idx", "w", "df")])
+        return pa.RecordBatch.from_arrays([table["id"].combine_chunks().take(pa.array(start)), *columns], names=["_id", "terms", "weights", "head"])
+
+    packed = sorted_.mapInArrow(pack, T.StructType([T.StructField("_id", counts.schema[id_col].dataType), T.StructField("terms", T.ArrayType(T.LongType())),
+                                                    T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("head", T.LongType())]))
     empty = lambda kind: F.array().cast(f"array<{kind}>")
-    return (base.join(packed, id_col, "left")
-            .withColumn("terms", F.coalesce(F.col("p")["idx"], empty("bigint")))
-            .withColumn("weights", F.coalesce(unit, empty("double"))).drop("p"))
+    return (base.join(packed, F.col(id_col) == F.col("_id"), "left").drop("_id")
+            .withColumn("terms", F.coalesce("terms", empty("bigint"))).withColumn("weights", F.coalesce("weights", empty("double"))))
 
 
 def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k: int = 1, tf: bool = True,
@@ -147,15 +176,15 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k
     A document without vocabulary terms is a zero row: equally far from all
     non-zero rows, so the lowest id wins.
     """
-    counts = token_counts(train, id_col, text, min_len)
-    vocab, rows = fit_vocabulary(train, counts, use_idf, min_count, numbered=True)
-
-    def pack(c, base, name):
-        return materialize(sparse_rows(in_vocabulary(c, vocab, rows), base, id_col, tf, "idf" if use_idf else None), name)
-
-    known = pack(counts, train.select(id_col, label), "train-rows")
-    asked = pack(token_counts(test, id_col, text, min_len), test.select(id_col), "test-rows")
-    return neighbors.knn_join(asked, known, k, neighbors.Sparse(), [label], id_col, **options)
+    def pack(counts, base, name):
+        return materialize(sparse_rows(in_vocabulary(counts, vocab, rows), base, id_col, tf, "idf" if use_idf else None), name)
+
+    with ThreadPoolExecutor(2) as jobs:  # both tables at once
+        counted = [jobs.submit(materialize, token_counts(df, id_col, text, min_len), name) for df, name in ((train, "train-counts"), (test, "test-counts"))]
+        vocab, rows = fit_vocabulary(train, counted[0].result(), use_idf, min_count, numbered=True)
+        packed = [jobs.submit(pack, c.result(), *rest) for c, *rest in zip(counted, (train.select(id_col, label), test.select(id_col)), ("train-rows", "test-rows"))]
+        known, asked = (p.result() for p in packed)
+    return inverted.knn_join(asked, known, k, [label], id_col, group="head", **options)
 
 
 def _grams(low: int, high: int):
