@@ -206,6 +206,11 @@ def corpus_word_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 3, lo
     return _totals(df, F.lower(text) if lower else F.col(text), "ngram", _grams(low, high))
 
 
+def word_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, word, cnt) of the words between whitespace, row by row."""
+    return _counted(df, id_col, F.col(text), "word", lambda t: [at.Items(t, at.BLANK)])
+
+
 def word_totals(df: DataFrame, text: str, name: str = "word") -> DataFrame:
     """(word, cnt) of the words between whitespace."""
     return _totals(df, F.col(text), name, lambda t: [at.Items(t, at.BLANK)])

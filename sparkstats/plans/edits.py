@@ -2,8 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import text as tx
 from ..operators import documents as dc
+from ..sources import models
 from . import base as b
 from .base import DOCS, table
 from .texts import strip, strip_sql, words_sql
@@ -18,14 +18,16 @@ def edits(spark, sf) -> DataFrame:
     training documents, changes. correct: gold words that it gives back. rating: 100 for good quality, else 0.
     """
     docs = b.docs(spark, sf)
-    forms = dc.variants(docs.where("not is_test"), "text", strip)
+    forms = models.materialize(dc.variants(docs.where("not is_test"), "text", strip), "forms")
     labels = table(spark, sf, "labels").select("doc_id", (F.col("quality") * 100).cast("int").alias("rating"))
-    words = docs.select("doc_id", F.explode(tx.words("text")).alias("w")).withColumn("plain", strip(F.col("w")))
+    labelled = docs.join(labels, "doc_id")
+    words = dc.word_counts(labelled, "doc_id", "text").withColumn("plain", strip(F.col("word")))
     known = words.join(forms.select("plain", F.col("word").alias("form")), "plain", "left")
-    gold, changed = F.col("w") != F.col("plain"), F.col("form").isNotNull()
+    gold, changed = F.col("word") != F.col("plain"), F.col("form").isNotNull()
+    times = lambda test: F.sum(F.when(test, F.col("cnt")).otherwise(0))
     sums = (known.where(gold | changed).groupBy("doc_id")
-            .agg(F.count_if(gold).alias("gold"), F.count_if(changed).alias("predicted"), F.count_if(gold & (F.coalesce("form", "plain") == F.col("w"))).alias("correct")))
-    return (docs.join(labels, "doc_id").join(sums, "doc_id", "left")
+            .agg(times(gold).alias("gold"), times(changed).alias("predicted"), times(gold & (F.coalesce("form", "plain") == F.col("word"))).alias("correct")))
+    return (labelled.join(sums, "doc_id", "left")
             .select("doc_id", "lang", *[F.coalesce(c, F.lit(0)).cast("int").alias(c) for c in ("gold", "predicted", "correct")], "rating"))
 
 
