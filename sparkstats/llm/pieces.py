@@ -18,12 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from . import common, packing
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-#: Parts and pairs that a worker remembers, each, until it lets go of those not asked for meanwhile.
-MEMORY = 3 << 17
+#: Bytes of parts, and of pairs, that a worker remembers until it lets go of those not asked for meanwhile; those of a part that it does not remember.
+MEMORY, LONG = 48 << 20, 1024
+#: Ids that are spelled at a time, about.
+SPELLED = 1 << 19
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
@@ -31,17 +36,21 @@ UNIGRAM, BPE = 1, 2
 class Memory(dict):
     """Values by key, made when they are first asked for. When it is full, what was asked for since the last time stays."""
 
-    def __init__(self, make):
+    def __init__(self, make, size=lambda key, value: 0):
         super().__init__()
-        self.make, self.before = make, {}
+        self.make, self.size, self.before, self.held = make, size, {}, 0
 
     def __missing__(self, key):
         value = self.before.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= MEMORY:
-            self.before = dict(self)
+        cost = 150 + self.size(key, value)
+        if cost > LONG:
+            return value
+        if self.held + cost > MEMORY:
+            self.before, self.held = dict(self), 0
             self.clear()
+        self.held += cost
         self[key] = value
         return value
 
@@ -84,7 +93,10 @@ class Transducer:
         feed = "" if any("\n" in x for x in self.inside) else "\n"
         self.cutter = re.compile("(?s).+") if crosses else re.compile(f"{MARK}*[^{MARK}{feed}]+|{MARK}+" + ("|\n" if feed else ""))
         self.beside = Memory(self._beside)
-        self.paths = Memory(lambda part: array("i", self.least_path(part)).tobytes())
+        self.paths = Memory(lambda part: array("i", self.least_path(part)).tobytes(), lambda part, ids: 2 * len(part) + len(ids))
+        self.crosses, self.feed = crosses, feed
+        self.letters_of = np.frombuffer(b"".join(self.spelled), np.uint8)
+        self.spans = np.concatenate(([0], np.cumsum([len(x) for x in self.spelled], dtype=np.int64)))
 
     def tables(self) -> tuple:
         """What it is made from."""
@@ -210,6 +222,73 @@ class Transducer:
         text = b"".join([self.spelled[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
+    # ---- batches ---------------------------------------------------------------
+
+    def normalised_batch(self, texts: pa.Array) -> pa.Array:
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        if self.collapse:
+            texts = pc.utf8_trim(pc.replace_substring_regex(texts, " +", " "), " ")
+        if self.dummy_prefix:
+            none = pa.scalar("", pa.large_string())
+            texts = pc.if_else(pc.equal(texts, none), none, pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), texts, none))
+        return pc.replace_substring(texts, " ", MARK) if self.escape else texts
+
+    def cuts(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where parts begin in normalised texts laid end to end: with each text, run of marks and line feed, and after a line feed."""
+        begin = np.zeros(len(raw) + 1, bool)
+        begin[at] = True
+        if not self.crosses and len(raw) > 2:
+            a, b, c = MARK.encode()
+            mark = np.zeros(len(raw), bool)
+            mark[:-2] = (raw[:-2] == a) & (raw[1:-1] == b) & (raw[2:] == c)
+            begin[:3] |= mark[:3]
+            begin[3:-1] |= mark[3:] & ~mark[:-3]
+        if not self.crosses and self.feed:
+            feed = raw == 10
+            begin[:-1] |= feed
+            begin[1:] |= feed
+        return np.flatnonzero(begin[:-1])
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts end to end, where each text's begin and the last one's end). The path of each distinct part is found once."""
+        raw, at = common.utf8(self.normalised_batch(texts))
+        start = self.cuts(raw, at)
+        ends = np.append(start, len(raw)).astype(np.int64)
+        coded = pa.LargeStringArray.from_buffers(len(start), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(raw))).dictionary_encode()
+        spelled, span = common.utf8(coded.dictionary)
+        spelled, span, paths = spelled.tobytes(), span.tolist(), self.paths
+        found = [paths[spelled[a:b].decode()] for a, b in zip(span, span[1:])]
+        flat, size = np.frombuffer(b"".join(found), np.int32), np.array([len(f) // 4 for f in found], np.int64)
+        begin, code = np.cumsum(size) - size, coded.indices.to_numpy()
+        ids, before = gathered(flat, begin, size, code)
+        return ids, before[np.searchsorted(start, at)]
+
+    def decode_batch(self, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The texts that are spelled by runs of ids; `ends` has where the runs begin and the last one ends."""
+        raw, before = gathered(self.letters_of, self.spans[:-1], np.diff(self.spans), flat)
+        at = before[ends]
+        if self.dummy_prefix and len(raw):
+            first = at[:-1][at[:-1] < at[1:]]
+            gone = np.zeros(len(raw) + 1, bool)
+            gone[first[raw[first] == 32]] = True
+            raw, at = raw[~gone[:-1]], at - np.concatenate(([0], np.cumsum(gone)))[at]
+        data = raw.tobytes()
+        try:
+            data.decode()
+            whole = not ((raw[at[:-1][at[:-1] < len(raw)]] & 0xC0) == 0x80).any()
+        except UnicodeDecodeError:
+            whole = False
+        if not whole:
+            return pa.array([self.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.large_string())
+        return pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data))
+
+
+def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the spans of `flat` that codes stand for, end to end; where each begins and the last one ends)."""
+    length = size[code]
+    before = np.concatenate(([0], np.cumsum(length)))
+    return flat[np.repeat(begin[code] - before[:-1], length) + np.arange(before[-1])], before
+
 
 def compiled(path: str = MODEL) -> Transducer:
     """Read and compile a model file of type unigram or BPE with the identity normaliser."""
@@ -231,9 +310,15 @@ def compiled(path: str = MODEL) -> Transducer:
 
 # ---- columns -------------------------------------------------------------------
 
+_HELD: dict = {}
+
+
 def _shared(spark, model: str):
-    """The model's tables as a broadcast variable (some MB)."""
-    return spark.sparkContext.broadcast({"tables": compiled(model).tables()})
+    """The model's tables as a broadcast variable (some MB), one for a model and application."""
+    key = (spark.sparkContext.applicationId, model)
+    if key not in _HELD:
+        _HELD[key] = spark.sparkContext.broadcast({"tables": compiled(model).tables()})
+    return _HELD[key]
 
 
 def _transducer(held) -> Transducer:
@@ -245,18 +330,20 @@ def _transducer(held) -> Transducer:
 
 
 def encoded(docs: DataFrame, model: str = MODEL, text: str = "text") -> DataFrame:
-    """docs with `ids` (array of int) and `n_pieces`. Null counts as the empty text, which has no ids."""
+    """docs with `ids` (array of int) and `n_pieces`, which replace columns of those names.
+
+    Null counts as the empty text, which has no ids. Repeated rows are encoded alike; an empty table stays empty.
+    """
     held = _shared(docs.sparkSession, model)
 
     def run(texts: pa.Array) -> pa.Array:
         t = _transducer(held)
-        parts, ends = [], np.zeros(len(texts) + 1, dtype=np.int64)
-        for i, x in enumerate(texts):
-            ids = t.encode(x.as_py() or "")
-            parts.append(ids)
-            ends[i + 1] = ends[i] + len(ids)
-        flat = np.concatenate(parts or [np.empty(0, np.int32)])
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+        flat, ends = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for a, b in packing.chunks(texts):
+            ids, at = t.encode_batch(texts.slice(a, b - a))
+            flat.append(ids)
+            ends.append(at[1:] + ends[-1][-1])
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(flat)))
     out = docs.withColumn("ids", F.arrow_udf(run, "array<int>")(F.col(text)))
     return out.withColumn("n_pieces", F.size("ids"))
 
@@ -266,8 +353,12 @@ def decoded(ids: Column, model: str, spark) -> Column:
     held = _shared(spark, model)
 
     def run(lists: pa.Array) -> pa.Array:
-        t = _transducer(held)
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-        there = lists.is_valid().to_numpy(zero_copy_only=False)
-        return pa.array([t.decode(flat[a:b].tolist()) if ok else None for a, b, ok in zip(ends, ends[1:], there)], pa.string())
+        t, out, a = _transducer(held), [], 0
+        ends, flat = lists.offsets.to_numpy().astype(np.int64), lists.values.to_numpy()
+        while a < len(lists):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + SPELLED, "right")) - 1)
+            out.append(t.decode_batch(flat[ends[a]:ends[b]], ends[a:b + 1] - ends[a]))
+            a = b
+        texts = pa.chunked_array(out, pa.large_string()).cast(pa.string()).combine_chunks()
+        return pc.if_else(lists.is_valid(), texts, None)
     return F.arrow_udf(run, "string")(ids)
