@@ -1,7 +1,7 @@
 """Document fingerprints: a homomorphic multiset hash of paragraphs, as columns of DataFrame functions.
 
 A fingerprint is the sum of wide vectors hashed from the paragraphs (lines) of a text: 16 lanes modulo 2^32
-that tell multisets of paragraphs apart, and 126 sign lanes modulo 2^21 summed over the paragraphs' sentences,
+that tell multisets of paragraphs apart, and 256 sign lanes modulo 2^32 summed over the paragraphs' sentences,
 from which the likeness of two texts can be read. The sum does not depend on the order of the paragraphs, and
 paragraphs can be put in or taken out without the text: `plus` and `minus`.
 """
@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import small
 
-#: 64-bit hashes per paragraph, each two lanes; 64-bit hashes per sentence, each 63 sign lanes.
-WIDE, SIGNS = 8, 2
-#: Sign lanes lie three to a number.
-FIELD = 21
-ONES = 1 | 1 << FIELD | 1 << 2 * FIELD
+#: 64-bit hashes per paragraph, each two lanes; 64-bit hashes per sentence, each 64 sign lanes. Hashes have seeds of their own.
+WIDE, SIGNS = 8, 4
+#: Lanes lie two to a number.
+FIELD = 32
+ONES = 1 | 1 << FIELD
 MASK32 = 0xFFFFFFFF
 #: Documents of a bucket when neighbours are looked up, about; ranges of ids that are told apart exactly.
 BUCKET_ROWS, RANGES = 2048, 64
@@ -54,30 +54,30 @@ def fingerprint(text: Column) -> Column:
     zero = F.lit(0).cast("long")
 
     def wide(lines: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda i: F.aggregate(F.transform(lines, lambda p: F.xxhash64(p, i)), zero, _lanes_added))
+        return F.transform(F.sequence(F.lit(0), F.lit(WIDE - 1)), lambda i: F.aggregate(F.transform(lines, lambda p: F.xxhash64(i, p)), zero, _lanes_added))
 
     def hashed(parts: Column, seed: int) -> Column:
         return F.transform(parts, lambda s: F.xxhash64(F.lit(seed), s))
 
-    def three(hashes: Column, k: int) -> Column:
+    def two(hashes: Column, k: int) -> Column:  # a text has fewer sentences than a lane can count
         return F.aggregate(hashes, zero, lambda a, h: a + F.shiftrightunsigned(h, k).bitwiseAND(F.lit(ONES)))
 
     # A lambda over an array of one value computes that value once for all lanes.
     lanes = F.transform(F.array(paragraphs(text)), wide)[0]
     signs = F.transform(F.array(sentences(text)), lambda parts: F.concat(
-        F.flatten(F.transform(F.array(*[hashed(parts, seed) for seed in range(SIGNS)]), lambda h: F.array(*[three(h, k) for k in range(FIELD)]))),
+        F.flatten(F.transform(F.array(*[hashed(parts, seed) for seed in range(SIGNS)]), lambda h: F.array(*[two(h, k) for k in range(FIELD)]))),
         F.array(F.size(parts).cast("long"))))[0]
     return F.struct(lanes.alias("lanes"), signs.alias("signs"))
 
 
 def plus(a: Column, b: Column) -> Column:
     """The fingerprint of all paragraphs of both."""
-    return F.struct(F.zip_with(a["lanes"], b["lanes"], _lanes_added).alias("lanes"), F.zip_with(a["signs"], b["signs"], lambda x, y: x + y).alias("signs"))
+    return F.struct(*[F.zip_with(a[c], b[c], _lanes_added).alias(c) for c in ("lanes", "signs")])
 
 
 def minus(a: Column, b: Column) -> Column:
     """The fingerprint of a without the paragraphs of b, which are all among those of a."""
-    return F.struct(F.zip_with(a["lanes"], b["lanes"], _lanes_taken).alias("lanes"), F.zip_with(a["signs"], b["signs"], lambda x, y: x - y).alias("signs"))
+    return F.struct(*[F.zip_with(a[c], b[c], _lanes_taken).alias(c) for c in ("lanes", "signs")])
 
 
 def equal(a: Column, b: Column) -> Column:
@@ -90,17 +90,18 @@ def n_sentences(a: Column) -> Column:
 
 def _product(a: Column, b: Column) -> Column:
     """The inner product of the sign sums: a lane that counted c of n sentences stands for 2c - n."""
-    n, m, low = n_sentences(a), n_sentences(b), F.lit((1 << FIELD) - 1)
+    n, m, low = n_sentences(a), n_sentences(b), F.lit(MASK32)
 
-    def three(x: Column, y: Column) -> Column:
+    def two(x: Column, y: Column) -> Column:
         def one(k: int) -> Column:
-            return (2 * F.shiftrightunsigned(x, k * FIELD).bitwiseAND(low) - n) * (2 * F.shiftrightunsigned(y, k * FIELD).bitwiseAND(low) - m)
-        return one(0) + one(1) + one(2)
-    return F.aggregate(F.slice(F.zip_with(a["signs"], b["signs"], three), 1, SIGNS * FIELD), F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
+            x_k, y_k = (F.shiftrightunsigned(v, k).bitwiseAND(low) for v in (x, y))
+            return (2 * x_k - n).cast("double") * (2 * y_k - m).cast("double")
+        return one(0) + one(FIELD)
+    return F.aggregate(F.zip_with(F.slice(a["signs"], 1, SIGNS * FIELD), F.slice(b["signs"], 1, SIGNS * FIELD), two), F.lit(0.0), lambda s, v: s + v)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1: the cosine of the two multisets of sentences, as the sign lanes estimate it (error about 0.09).
+    """0 to 1: the cosine of the two multisets of sentences, as the sign lanes estimate it (error about 0.06).
 
     Equal fingerprints have 1; of a text and no text it is 0.
     """
@@ -110,7 +111,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def written(f: Column) -> Column:
-    """The fingerprint in hexadecimal: 16 lanes of 8 digits, then the sign lanes, three to 16 digits, and the number of sentences."""
+    """The fingerprint in hexadecimal: 16 lanes of 8 digits, then the sign lanes of 8 digits, and the number of sentences."""
     return F.lower(F.array_join(F.transform(F.concat(f["lanes"], f["signs"]), lambda v: F.lpad(F.hex(v), 16, "0")), ""))
 
 
