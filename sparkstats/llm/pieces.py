@@ -26,7 +26,7 @@ from . import common, packing
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Bytes of parts, and of pairs, that a worker remembers until it lets go of those not asked for meanwhile; those of a part that it does not remember.
-MEMORY, LONG = 48 << 20, 1024
+MEMORY, PAIRS, LONG = 112 << 20, 40 << 20, 1024
 #: Ids that are spelled at a time, about.
 SPELLED = 1 << 19
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -36,9 +36,9 @@ UNIGRAM, BPE = 1, 2
 class Memory(dict):
     """Values by key, made when they are first asked for. When it is full, what was asked for since the last time stays."""
 
-    def __init__(self, make, size=lambda key, value: 0):
+    def __init__(self, make, size=lambda key, value: 0, most: int | None = None):
         super().__init__()
-        self.make, self.size, self.before, self.held = make, size, {}, 0
+        self.make, self.size, self.most, self.before, self.held = make, size, most or MEMORY, {}, 0
 
     def __missing__(self, key):
         value = self.before.get(key)
@@ -47,7 +47,7 @@ class Memory(dict):
         cost = 150 + self.size(key, value)
         if cost > LONG:
             return value
-        if self.held + cost > MEMORY:
+        if self.held + cost > self.most:
             self.before, self.held = dict(self), 0
             self.clear()
         self.held += cost
@@ -92,7 +92,7 @@ class Transducer:
         crosses = any(MARK in p.lstrip(MARK) for p in self.arcs)
         feed = "" if any("\n" in x for x in self.inside) else "\n"
         self.cutter = re.compile("(?s).+") if crosses else re.compile(f"{MARK}*[^{MARK}{feed}]+|{MARK}+" + ("|\n" if feed else ""))
-        self.beside = Memory(self._beside)
+        self.beside = Memory(self._beside, most=PAIRS)
         self.paths = Memory(lambda part: array("i", self.least_path(part)).tobytes(), lambda part, ids: 2 * len(part) + len(ids))
         self.crosses, self.feed = crosses, feed
         self.letters_of = np.frombuffer(b"".join(self.spelled), np.uint8)
