@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions import arrow_text as at, text as tx, vectors
 from ..sources.models import materialize
-from . import inverted, sampling
+from . import inverted, neighbors, sampling
 
 BROADCAST_TERMS = 1_000_000
 FORM_BYTES = 32 << 20
@@ -170,11 +170,12 @@ def sparse_rows(counts: DataFrame, base: DataFrame, id_col: str, tf: bool, idf_c
 
 
 def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k: int = 1, tf: bool = True,
-        use_idf: bool = True, min_count: int = 2, min_len: int = 2, **options) -> DataFrame:
+        use_idf: bool = True, min_count: int = 2, min_len: int = 2, pivots: int = 1, **options) -> DataFrame:
     """Nearest training documents by Euclidean distance of unit rows (the order of cosine similarity).
 
     A document without vocabulary terms is a zero row: equally far from all
-    non-zero rows, so the lowest id wins.
+    non-zero rows, so the lowest id wins. The search is one by inverted lists; with `pivots` above 1, one by cells
+    around so many rows.
     """
     def pack(counts, base, name):
         return materialize(sparse_rows(in_vocabulary(counts, vocab, rows), base, id_col, tf, "idf" if use_idf else None), name)
@@ -184,6 +185,8 @@ def knn(train: DataFrame, test: DataFrame, id_col: str, text: str, label: str, k
         vocab, rows = fit_vocabulary(train, counted[0].result(), use_idf, min_count, numbered=True)
         packed = [jobs.submit(pack, c.result(), *rest) for c, *rest in zip(counted, (train.select(id_col, label), test.select(id_col)), ("train-rows", "test-rows"))]
         known, asked = (p.result() for p in packed)
+    if pivots > 1:
+        return neighbors.knn_join(asked, known, k, neighbors.Sparse(), [label], id_col, pivots=pivots, **options)
     return inverted.knn_join(asked, known, k, [label], id_col, group="head", **options)
 
 
