@@ -93,7 +93,8 @@ def fit(df: DataFrame, kind: str, dim: int, epochs: int, learning_rate: float, b
         raise ValueError("too many synchronous batches; use fit_local for tiny batch sizes")
     w = initial_weights(dim, classes, seed=seed) if weights is None else np.array(weights, dtype=float)
     if kind == "linear":
-        return _fit_linear(df, dim, epochs, learning_rate, batches, l2, w, seed, id_col, features, target, is_test)
+        with held(df.select(id_col, features, target, is_test), cache and batches > 1) as src:
+            return _fit_linear(src, dim, epochs, learning_rate, batches, l2, w, seed, id_col, features, target, is_test)
     size = 3 + w.size
     curve = []
     with held(df.select(id_col, features, target, is_test), cache) as src:
@@ -127,8 +128,7 @@ def _curve_rows(epoch: int, table: dict) -> list[tuple]:
     return rows
 
 
-def _fit_linear(df, dim, epochs, learning_rate, batches, l2, w, seed, id_col, features, target, is_test):
-    src = df.select(id_col, features, target, is_test)
+def _fit_linear(src, dim, epochs, learning_rate, batches, l2, w, seed, id_col, features, target, is_test):
     curve, parts = [], None
     for epoch in range(epochs):
         if parts is None or batches > 1:

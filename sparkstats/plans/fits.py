@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from ..functions import rng, scalars
 from ..operators import bayes, cluster, ensembles, gradient, kernels, linear, metrics, resampling, sampling
 from . import base as b
-from .base import CURVE, PARTS, PIX, SEPARABLE, VEC, query, r, rs, table
+from .base import CURVE, GRADED, PIX, PROSE, VEC, query, r, rs, table
 from .edits import COLUMNS as EDIT_COLUMNS, EDITS, edits
-from .scans import PART_SOLVE, PART_WEIGHTS, part_columns
+from .scans import PROSE_SOLVE, PROSE_WEIGHTS, prose_columns
 from .vectors_and_columns import DIM
 
 # ---- least squares --------------------------------------------------------------
@@ -16,19 +16,19 @@ from .vectors_and_columns import DIM
 NAMES = "CASE i WHEN 0 THEN 'a' WHEN 1 THEN 'b' WHEN 2 THEN 'c' ELSE 'bias' END AS feature"
 
 
-def part_moments(spark, sf, **options):
-    return linear.moments(b.parts(spark, sf), part_columns("t"), by="is_test", **options)
+def prose_moments(spark, sf, **options):
+    return linear.moments(b.prose(spark, sf), prose_columns("t"), by="is_test", **options)
 
 
-@query("ols_fit", f"WITH {PART_SOLVE} SELECT {NAMES}, {rs('w')} AS weight FROM sol")
+@query("ols_fit", f"WITH {PROSE_SOLVE} SELECT {NAMES}, {rs('w')} AS weight FROM sol")
 def ols_fit(spark, sf):
-    return linear.fit_normal(part_moments(spark, sf)[False]).table(spark).withColumn("weight", r("weight"))
+    return linear.fit_normal(prose_moments(spark, sf)[False]).table(spark).withColumn("weight", r("weight"))
 
 
-@query("ols_rmse", f"""WITH {PART_SOLVE} SELECT is_test, {rs('sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2)))')} AS rmse
-  FROM parts, {PART_WEIGHTS} GROUP BY is_test""")
+@query("ols_rmse", f"""WITH {PROSE_SOLVE} SELECT is_test, {rs('sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2)))')} AS rmse
+  FROM prose, {PROSE_WEIGHTS} GROUP BY is_test""")
 def ols_rmse(spark, sf):
-    m = part_moments(spark, sf, center=True)
+    m = prose_moments(spark, sf, center=True)
     model = linear.fit_ols(m[False])
     return spark.createDataFrame([(k, model.rmse(v)) for k, v in m.items()], "is_test boolean, rmse double").withColumn("rmse", r("rmse"))
 
@@ -40,12 +40,12 @@ def ols_simple(spark, sf):
 
 
 def ridge_sql(alphas: str, key: str = "al", fold: str = "0", folds: str = "SELECT 0 AS f") -> str:
-    """Ridge weights for each alpha (table `al`), leaving out fold f (-1 or 0: none)."""
+    """Ridge weights for each alpha (table `al`), leaving out fold f (one that no row has: none)."""
     names = ["a", "b", "c", "t"]
     means = ", ".join(f"avg({n}) AS m{n}" for n in names)
     cent = ", ".join(f"{n} - m{n} AS {n}" for n in names)
     return f"""al AS MATERIALIZED ({alphas}), fo AS MATERIALIZED ({folds}),
-  tr AS MATERIALIZED (SELECT fo.f, parts.* FROM parts_in parts, fo WHERE parts.fold <> fo.f),
+  tr AS MATERIALIZED (SELECT fo.f, r.* FROM prose_in r, fo WHERE r.fold <> fo.f),
   mu AS MATERIALIZED (SELECT f, {means} FROM tr GROUP BY f),
   ce AS MATERIALIZED (SELECT f, {cent} FROM tr JOIN mu USING (f)), {b.moments_sql('ce', names, key='f')},
   aug AS MATERIALIZED (SELECT al.n * 1000 + m.k AS k, i, j, v + CASE WHEN i = j THEN al.alpha ELSE 0 END AS v FROM m, al WHERE i < 3),
@@ -54,32 +54,32 @@ def ridge_sql(alphas: str, key: str = "al", fold: str = "0", folds: str = "SELEC
   fits AS MATERIALIZED (SELECT wts.*, alpha, mt - wa * ma - wb * mb - wc * mc AS w0 FROM wts JOIN mu USING (f) JOIN al USING (n))"""
 
 
-TRAIN_IN = f"{PARTS}, parts_in AS MATERIALIZED (SELECT *, -1 AS fold FROM parts WHERE NOT is_test)"
+TRAIN_IN = f"{PROSE}, prose_in AS MATERIALIZED (SELECT *, -1 AS fold FROM prose WHERE NOT is_test)"
 
 
 @query("ridge_fit", f"""WITH {TRAIN_IN}, {ridge_sql('SELECT 0 AS n, 10.0::DOUBLE AS alpha')}
   SELECT feature, {rs('weight')} AS weight FROM (SELECT 'a' AS feature, wa AS weight FROM fits UNION ALL SELECT 'b', wb FROM fits
     UNION ALL SELECT 'c', wc FROM fits UNION ALL SELECT 'bias', w0 FROM fits)""")
 def ridge_fit(spark, sf):
-    m = part_moments(spark, sf, center=True)[False]
+    m = prose_moments(spark, sf, center=True)[False]
     return linear.fit_ridge(m, 10.0).table(spark).withColumn("weight", r("weight"))
 
 
 LAMBDAS = scalars.geomspace(0.01, 10.0, 500)
 PATH = f"""{TRAIN_IN}, {ridge_sql('SELECT n, 0.01 * pow(1000.0::DOUBLE, n / 499.0::DOUBLE) AS alpha FROM range(500) AS g(n)')},
-  path AS MATERIALIZED (SELECT n, alpha, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM fits, parts WHERE is_test GROUP BY n, alpha)"""
+  path AS MATERIALIZED (SELECT n, alpha, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM fits, prose WHERE is_test GROUP BY n, alpha)"""
 
 
 @query("ridge_path", f"WITH {PATH} SELECT {rs('alpha', 8)} AS alpha, {rs('rmse', 8)} AS rmse FROM path")
 def ridge_path(spark, sf):
-    m = part_moments(spark, sf, center=True)
+    m = prose_moments(spark, sf, center=True)
     rows = linear.ridge_path(m[False], m[True], LAMBDAS)
     return spark.createDataFrame(rows, "alpha double, rmse double").select(r("alpha", 8).alias("alpha"), r("rmse", 8).alias("rmse"))
 
 
 @query("ridge_best", f"WITH {PATH} SELECT {rs('alpha')} AS alpha, {rs('rmse')} AS rmse FROM path ORDER BY round(rmse, 12), n LIMIT 1")
 def ridge_best(spark, sf):
-    m = part_moments(spark, sf, center=True)
+    m = prose_moments(spark, sf, center=True)
     best = linear.first_best([(a, round(v, 12)) for a, v in linear.ridge_path(m[False], m[True], LAMBDAS)])
     return spark.createDataFrame([best], "alpha double, rmse double").select(r("alpha").alias("alpha"), r("rmse").alias("rmse"))
 
@@ -106,31 +106,31 @@ def poly_order_sweep(spark, sf):
 
 
 ALPHAS = [0.0, 0.1, 1.0, 10.0, 100.0]
-FOLD_IN = f"""{PARTS}, parts_in AS MATERIALIZED (SELECT *, CAST(floor({b.u(42, 'fold', 'id')} * 5) AS INTEGER) AS fold FROM parts)"""
+FOLD_IN = f"""{PROSE}, prose_in AS MATERIALIZED (SELECT *, CAST(floor({b.u(42, 'fold', 'id')} * 5) AS INTEGER) AS fold FROM prose)"""
 
 
 @query("grid_search_ridge", f"""WITH {FOLD_IN}, {ridge_sql('SELECT unnest([0, 1, 2, 3, 4]) AS n, unnest([0.0::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE, 10.0::DOUBLE, 100.0::DOUBLE]) AS alpha', folds='SELECT unnest([0, 1, 2, 3, 4]) AS f')}
   SELECT alpha, CAST(f AS INTEGER) AS fold, {rs('sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2)))')} AS rmse
-  FROM fits JOIN parts_in p ON p.fold = fits.f GROUP BY alpha, f""")
+  FROM fits JOIN prose_in p ON p.fold = fits.f GROUP BY alpha, f""")
 def grid_search_ridge(spark, sf):
     """All alphas on all folds from one grouped scan."""
-    folds = b.parts(spark, sf).withColumn("fold", F.floor(rng.uniform(42, "fold", "id") * 5).cast("int"))
-    parts = linear.moments(folds, part_columns("t"), by="fold", center=True)
+    folds = b.prose(spark, sf).withColumn("fold", F.floor(rng.uniform(42, "fold", "id") * 5).cast("int"))
+    parts = linear.moments(folds, prose_columns("t"), by="fold", center=True)
     return spark.createDataFrame(linear.fold_grid(parts, ALPHAS), "alpha double, fold int, rmse double").withColumn("rmse", r("rmse"))
 
 
-TRAIN_FOLDS = f"""{PARTS}, parts_in AS MATERIALIZED (SELECT *, CAST(floor({b.u(42, 'fold', 'id')} * 5) AS INTEGER) AS fold FROM parts WHERE NOT is_test)"""
+TRAIN_FOLDS = f"""{PROSE}, prose_in AS MATERIALIZED (SELECT *, CAST(floor({b.u(42, 'fold', 'id')} * 5) AS INTEGER) AS fold FROM prose WHERE NOT is_test)"""
 
 
-@query("grid_search_ridge_refit", f"""WITH {TRAIN_FOLDS}, {ridge_sql('SELECT unnest([0, 1, 2, 3, 4]) AS n, unnest([0.0::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE, 10.0::DOUBLE, 100.0::DOUBLE]) AS alpha', folds='SELECT unnest([0, 1, 2, 3, 4, -1]) AS f')},
-  scores AS (SELECT n, f, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM fits JOIN parts_in p ON p.fold = fits.f GROUP BY n, f),
+@query("grid_search_ridge_refit", f"""WITH {TRAIN_FOLDS}, {ridge_sql('SELECT unnest([0, 1, 2, 3, 4]) AS n, unnest([0.0::DOUBLE, 0.1::DOUBLE, 1.0::DOUBLE, 10.0::DOUBLE, 100.0::DOUBLE]) AS alpha', folds='SELECT unnest([0, 1, 2, 3, 4, 5]) AS f')},
+  scores AS (SELECT n, f, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM fits JOIN prose_in p ON p.fold = fits.f GROUP BY n, f),
   best AS (SELECT n, avg(rmse) AS cv FROM scores GROUP BY n ORDER BY round(avg(rmse), 12), n LIMIT 1)
   SELECT {rs('any_value(alpha)')} AS alpha, {rs('any_value(cv)')} AS cv_rmse, {rs('sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2)))')} AS test_rmse
-  FROM fits JOIN best USING (n), parts WHERE f = -1 AND is_test""")
+  FROM fits JOIN best USING (n), prose WHERE f = 5 AND is_test""")
 def grid_search_ridge_refit(spark, sf):
     """The best alpha over the folds of the training rows, refitted on all of them and scored on the test rows: one scan."""
     fold = F.when(F.col("is_test"), F.lit(-1)).otherwise(F.floor(rng.uniform(42, "fold", "id") * 5).cast("int"))
-    parts = linear.moments(b.parts(spark, sf).withColumn("fold", fold), part_columns("t"), by="fold", center=True)
+    parts = linear.moments(b.prose(spark, sf).withColumn("fold", fold), prose_columns("t"), by="fold", center=True)
     test = parts.pop(-1)
     out = spark.createDataFrame([linear.grid_refit(parts, test, ALPHAS)], "alpha double, cv_rmse double, test_rmse double")
     return out.select(*[r(c).alias(c) for c in out.columns])
@@ -181,10 +181,10 @@ def softmax_gradient(spark, sf):
 PART_W = ", ".join(f"{b.u(42, 'weights', str(d), '0')} * 0.2 - 0.1 AS {n}" for d, n in enumerate(["wa", "wb", "wc", "w0"]))
 
 
-@query("linear_gradient", f"""WITH {PARTS}, y AS (SELECT *, wa * a + wb * b + wc * c + w0 - t AS res FROM parts, (SELECT {PART_W}) WHERE NOT is_test)
+@query("linear_gradient", f"""WITH {PROSE}, y AS (SELECT *, wa * a + wb * b + wc * c + w0 - t AS res FROM prose, (SELECT {PART_W}) WHERE NOT is_test)
   SELECT CAST(i AS INTEGER) AS feature, 0 AS class, {rs('avg(res * CASE i WHEN 0 THEN a WHEN 1 THEN b WHEN 2 THEN c ELSE 1 END)')} AS gradient FROM y, range(4) AS g(i) GROUP BY i""")
 def linear_gradient(spark, sf):
-    p = b.parts(spark, sf).where("not is_test").withColumn("features", F.array("a", "b", "c"))
+    p = b.prose(spark, sf).where("not is_test").withColumn("features", F.array("a", "b", "c"))
     g = gradient.gradient(p, "linear", gradient.initial_weights(3), target="t")
     return gradient.gradient_table(spark, g).withColumn("gradient", r("gradient"))
 
@@ -197,21 +197,21 @@ def batch_sql(epoch: int, batches: int, key: str = "id") -> str:
 
 
 def _linear_gd_sql() -> str:
-    ctes = [PARTS, f"w_0 AS MATERIALIZED (SELECT {PART_W})"]
+    ctes = [PROSE, f"w_0 AS MATERIALIZED (SELECT {PART_W})"]
     n, marks = 0, []
     for e in range(EPOCHS):
         for k in range(BATCHES):
             step = ", ".join(f"any_value({w}) - {RATE}::DOUBLE * (avg(res * {x}) + {L2}::DOUBLE * any_value({w})) AS {w}"
                              for w, x in (("wa", "a"), ("wb", "b"), ("wc", "c"), ("w0", "1")))
             ctes.append(f"""w_{n + 1} AS MATERIALIZED (SELECT {step} FROM (SELECT *, wa * a + wb * b + wc * c + w0 - t AS res
-              FROM parts, w_{n} WHERE NOT is_test AND {batch_sql(e, BATCHES)} = {k}))""")
+              FROM prose, w_{n} WHERE NOT is_test AND {batch_sql(e, BATCHES)} = {k}))""")
             n += 1
-        marks.append(f"SELECT {e + 1} AS epoch, is_test, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM parts, w_{n} GROUP BY is_test")
+        marks.append(f"SELECT {e + 1} AS epoch, is_test, sqrt(avg(pow(wa * a + wb * b + wc * c + w0 - t, 2))) AS rmse FROM prose, w_{n} GROUP BY is_test")
     return "WITH " + ",\n".join(ctes) + f", curve AS MATERIALIZED ({' UNION ALL '.join(marks)}), final AS (SELECT * FROM w_{n}) "
 
 
 def _linear_gd(spark, sf):
-    p = b.parts(spark, sf).withColumn("features", F.array("a", "b", "c"))
+    p = b.prose(spark, sf).withColumn("features", F.array("a", "b", "c"))
     return gradient.fit(p, "linear", 3, EPOCHS, RATE, BATCHES, L2, target="t")
 
 
@@ -295,20 +295,22 @@ def softmax_local(spark, sf):
     return gradient.predict(v.where("is_test"), "softmax", w).select("id", "prediction")
 
 
-PERCEPTRON = f"""WITH RECURSIVE {SEPARABLE}, st(n, wa, wb, wc, w0) AS (
+ROUNDS = 30
+PERCEPTRON = f"""WITH RECURSIVE {GRADED}, st(n, wa, wb, wc, w0) AS (
     SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
     UNION ALL SELECT n + 1, wa + p.t * p.a, wb + p.t * p.b, wc + p.t * p.c, w0 + p.t FROM (
       SELECT n, wa, wb, wc, w0, arg_min(struct_pack(a := a, b := b, c := c, t := t), struct_pack(h := CAST('0x' || substr(md5('42:round' || n || ':' || id), 1, 8) AS BIGINT), id := id)) AS p
-      FROM st JOIN sep ON t * (w0 + a * wa + b * wb + c * wc) <= 0 GROUP BY n, wa, wb, wc, w0)),
+      FROM st JOIN graded ON t * (w0 + a * wa + b * wb + c * wc) <= 0 WHERE n < {ROUNDS} GROUP BY n, wa, wb, wc, w0)),
   final AS (SELECT * FROM st ORDER BY n DESC LIMIT 1)
-  SELECT {NAMES}, {rs('CASE i WHEN 0 THEN wa WHEN 1 THEN wb WHEN 2 THEN wc ELSE w0 END')} AS weight, n AS rounds, TRUE AS done
+  SELECT {NAMES}, {rs('CASE i WHEN 0 THEN wa WHEN 1 THEN wb WHEN 2 THEN wc ELSE w0 END')} AS weight, n AS rounds,
+    NOT EXISTS (SELECT 1 FROM graded, final f WHERE t * (f.w0 + a * f.wa + b * f.wb + c * f.wc) <= 0) AS done
   FROM final, range(4) AS g(i)"""
 
 
 @query("perceptron", PERCEPTRON)
 def perceptron(spark, sf):
-    """Rounds until the classes are separated."""
-    w, rounds, done = gradient.perceptron(b.separable(spark, sf), ["a", "b", "c"], "t")
+    """Rounds over the graded documents, which no plane need separate: `done` says whether one was found."""
+    w, rounds, done = gradient.perceptron(b.graded(spark, sf), ["a", "b", "c"], "t", max_rounds=ROUNDS)
     rows = [(name, float(v), rounds, done) for name, v in zip(["a", "b", "c", "bias"], w)]
     return spark.createDataFrame(rows, "feature string, weight double, rounds int, done boolean").withColumn("weight", r("weight"))
 

@@ -8,7 +8,7 @@ from ..functions import scalars, vectors
 from ..operators import cluster, features as ft, gradient, linear, sampling
 from ..sources import models, tables
 from . import base as b
-from .base import PARTS, PIX, VEC, long_rows, query, r, rs, table
+from .base import GRADED, PARTS, PIX, PROSE, VEC, long_rows, query, r, rs, table
 
 ONE_LINE = "translate({}, chr(10) || chr(13) || chr(9), '   ')"
 
@@ -68,37 +68,37 @@ def optional_target(spark, sf):
     return parts[0].unionAll(parts[1])
 
 
-def part_columns(target: str | None = None) -> dict:
+def prose_columns(target: str | None = None) -> dict:
     return {n: F.col(n) for n in ["a", "b", "c"] + ([target] if target else [])}
 
 
-PART_SOLVE = (PARTS + ", " + b.moments_sql("parts", ["a", "b", "c", "1.0", "t"], "NOT is_test")
+PROSE_SOLVE = (PROSE + ", " + b.moments_sql("prose", ["a", "b", "c", "1.0", "t"], "NOT is_test")
               + ", aug AS MATERIALIZED (SELECT * FROM m WHERE i < 4), " + b.solve_sql("aug", 4))
-PART_WEIGHTS = "(SELECT max(w) FILTER (i = 0) AS wa, max(w) FILTER (i = 1) AS wb, max(w) FILTER (i = 2) AS wc, max(w) FILTER (i = 3) AS w0 FROM sol)"
+PROSE_WEIGHTS = "(SELECT max(w) FILTER (i = 0) AS wa, max(w) FILTER (i = 1) AS wb, max(w) FILTER (i = 2) AS wc, max(w) FILTER (i = 3) AS w0 FROM sol)"
 
 
-@query("batch_score", f"WITH {PART_SOLVE} SELECT id, {rs('wa * a + wb * b + wc * c + w0')} AS prediction FROM parts, {PART_WEIGHTS} WHERE is_test")
+@query("batch_score", f"WITH {PROSE_SOLVE} SELECT id, {rs('wa * a + wb * b + wc * c + w0')} AS prediction FROM prose, {PROSE_WEIGHTS} WHERE is_test")
 def batch_score(spark, sf):
     """Fit, store the model as a table, load it and score rows without a label."""
-    p = b.parts(spark, sf)
-    fitted = linear.fit_normal(linear.moments(p.where("not is_test"), part_columns("t")))
+    p = b.prose(spark, sf)
+    fitted = linear.fit_normal(linear.moments(p.where("not is_test"), prose_columns("t")))
     path = models.new_path(spark, "linear")
     models.save_table(fitted.table(spark), path)
     loaded = linear.LinearModel.from_table(models.load_table(spark, path))
     rows = p.where("is_test").drop("t")
-    return rows.select("id", r(loaded.predict(part_columns())).alias("prediction"))
+    return rows.select("id", r(loaded.predict(prose_columns())).alias("prediction"))
 
 
 @query("model_roundtrip")
 def model_roundtrip(spark, sf):
     """Feature steps and estimator saved as one artefact, loaded, scored."""
-    p = table(spark, sf, "part").join(b.parts(spark, sf).select(F.col("id").alias("p_partkey"), "t", "is_test"), "p_partkey")
-    steps = [ft.ColumnTransform([("one_hot", ["p_type"]), ("standard", ["p_size", "p_retailprice"])], "features"),
+    p = b.prose(spark, sf, "lang")
+    steps = [ft.ColumnTransform([("one_hot", ["lang"]), ("standard", ["a", "b"])], "features"),
              ft.PolyExpand("features", "poly", 2), ft.ToVector("poly", "vector"),
              LinearRegression(featuresCol="vector", labelCol="t", regParam=0.01, maxIter=50)]
     path = models.new_path(spark, "pipeline")
     models.save_pipeline(Pipeline(stages=steps).fit(p.where("not is_test")), path)
-    return models.score(models.load_pipeline(path), p.where("is_test"), "p_partkey").withColumn("prediction", r("prediction"))
+    return models.score(models.load_pipeline(path), p.where("is_test"), "id").withColumn("prediction", r("prediction"))
 
 
 @query("column_groups", """SELECT p_partkey AS id, CAST(d AS INTEGER) AS d, x FROM (
@@ -141,10 +141,10 @@ def binarize(spark, sf):
     return vectors.long_form(b.pixels(spark, sf), "id").select("id", "d", scalars.binarize("x", 8).alias("bit"))
 
 
-@query("misclassified", f"""WITH {b.SEPARABLE} SELECT id, t FROM sep
+@query("misclassified", f"""WITH {GRADED} SELECT id, t FROM graded
   WHERE t * (-0.8 + 1.0 * a + 0.1 * b - 0.2 * c) <= 0""")
 def misclassified(spark, sf):
-    return gradient.misclassified(b.separable(spark, sf), ["a", "b", "c"], "t", [1.0, 0.1, -0.2, -0.8]).select("id", "t")
+    return gradient.misclassified(b.graded(spark, sf), ["a", "b", "c"], "t", [1.0, 0.1, -0.2, -0.8]).select("id", "t")
 
 
 @query("feature_prefix", f"WITH {VEC} SELECT id, d, x FROM vec WHERE d < 4")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ..functions import rng, scalars, vectors
 from ..operators import (bayes, cluster, features as ft, gram, gradient, kernels, metrics, neighbors, project, resampling)
 from . import base as b
-from .base import PARTS, PIX, VEC, long_rows, query, r, rs, table
+from .base import PARTS, PIX, PROSE, VEC, long_rows, query, r, rs, table
 from .edits import EDITS, edits
 
 DIM = 64
@@ -316,9 +316,10 @@ def accuracy_prob(spark, sf):
     return rows.agg(r(metrics.accuracy_prob("p", "t")).alias("accuracy"))
 
 
-@query("rmse", f"WITH {PARTS} SELECT is_test, {rs('sqrt(avg(pow(a + b - t, 2)))')} AS rmse FROM parts GROUP BY is_test")
+@query("rmse", f"WITH {PROSE} SELECT is_test, {rs('sqrt(avg(pow(6.0::DOUBLE * a - t, 2)))')} AS rmse FROM prose GROUP BY is_test")
 def rmse(spark, sf):
-    return b.parts(spark, sf).groupBy("is_test").agg(r(metrics.rmse(F.col("a") + F.col("b"), "t")).alias("rmse"))
+    """The error of six characters a word."""
+    return b.prose(spark, sf).groupBy("is_test").agg(r(metrics.rmse(F.lit(6.0) * F.col("a"), "t")).alias("rmse"))
 
 
 # ---- transformers ---------------------------------------------------------------
