@@ -376,6 +376,31 @@ def test_a_heavy_group_gets_a_shard_of_its_own(spark):
     assert len(weight) == 8 and rest[-2] < 2.2 * rest[0]
 
 
+def test_heavy_texts_leave_no_shard_empty(spark):
+    """One text holds a third of all bytes, copies of another a sixth: each is alone, the rest fills the other shards evenly."""
+    small = [(i, prose(20, i)) for i in range(1200)]
+    each = sum(len(t.encode()) + 8 for _, t in small)
+    copies = "copied text of eight words or so " * 10
+    rows = [*small, (5000, "long " * (2 * each // 15)), *[(6000 + i, copies) for i in range(each // 3 // (len(copies) + 8))]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s")).withColumn("lang", F.lit("l"))
+    weight, ids = Counter(), {}
+    for x in rows_of(sharding.shard(df, 24)):
+        weight[x["shard"]] += x["size"]
+        ids.setdefault(x["shard"], set()).add(x["id"])
+    assert set(weight) == set(range(24)) and sum(weight.values()) == sum(len(t.encode()) + 8 for _, t in rows)
+    heavy = sorted(weight, key=weight.get)[-2:]
+    assert {frozenset(ids[s]) for s in heavy} == {frozenset([5000]), frozenset(r[0] for r in rows if r[0] >= 6000)}
+    rest = [w for s, w in weight.items() if s not in heavy]
+    assert max(rest) < 1.25 * min(rest)
+
+
+@pytest.mark.parametrize("texts", [1, 2, 5, 23, 24, 40])
+def test_few_distinct_texts_fill_as_many_shards(spark, texts):
+    df = spark.createDataFrame([(i, "w" * (10 + i % texts)) for i in range(120)], "doc_id long, text string")
+    df = df.withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit("l"))
+    assert len({x["shard"] for x in rows_of(sharding.shard(df, 24))}) == min(texts, 24)
+
+
 def test_numbered_without_gaps(spark):
     df = spark.range(5000).withColumn("g", F.col("id") % 3)
     got = rows_of(common.numbered(df, ["g"], ["id"], "n", bucket_rows=100))
