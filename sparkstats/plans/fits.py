@@ -3,8 +3,8 @@
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ..functions import rng, scalars
-from ..operators import bayes, cluster, ensembles, gradient, kernels, linear, metrics, resampling, sampling
+from ..functions import rng, scalars, vectors
+from ..operators import bayes, cluster, ensembles, features as ft, gradient, kernels, linear, metrics, newton, resampling, sampling
 from . import base as b
 from .base import CURVE, GRADED, PIX, PROSE, VEC, query, r, rs, table
 from .edits import COLUMNS as EDIT_COLUMNS, EDITS, edits
@@ -448,16 +448,53 @@ def logistic_fit(spark, sf):
     return model.transform(v.where("is_test")).select("id", "prediction")
 
 
+GRID_C = scalars.geomspace(0.001, 1000.0, 12)
+
+
 @query("grid_search_logistic")
 def grid_search_logistic(spark, sf):
-    v = sampling.stratified_folds(_parity(spark, sf).select("id", "features", "label"), "id", "label", 3)
-    pipe = ensembles.scaled_logistic(v, components=4, degree=2, max_iter=20)
-    poly, model = pipe.getStages()[2], pipe.getStages()[-1]
-    n = v.count()
-    grid = (ensembles.ParamGridBuilder().addGrid(poly.degree, [1, 2])
-            .addGrid(model.regParam, [1.0 / (n * c) for c in (0.01, 1.0)]).build())
-    _, scores = ensembles.grid_search(v, pipe, grid, "fold", 3)
-    return spark.createDataFrame([(i, float(s)) for i, s in scores], "combination int, accuracy double").withColumn("accuracy", r("accuracy"))
+    """12 penalties x 5 folds on all columns, each refitted on all training rows and scored on the test rows."""
+    v = _parity(spark, sf)
+    folded = sampling.stratified_folds(v.where("not is_test").select("id", "features", "label"), "id", "label", 5)
+    scaler = ft.ScaleArray("features", "scaled", "min_max").fit(folded)
+    rows, best = newton.grid_search(scaler.transform(folded), scaler.transform(v.where("is_test")), DIM, GRID_C, 5, features="scaled")
+    out = spark.createDataFrame([(i, *row, row is best) for i, row in enumerate(rows)],
+                                "combination int, c double, accuracy double, loss double, test_accuracy double, best boolean")
+    return out.select("combination", "best", *[r(c).alias(c) for c in ("c", "accuracy", "loss", "test_accuracy")])
+
+
+PATH_C, PATH_FOLDS, PATH_DIM, PATH_STEPS = [0.01, 1.0, 100.0], 3, 4, 8
+
+
+def _path_sql() -> str:
+    """Newton steps for every (penalty, fold) at once; model k is penalty k // 10 without fold k % 10."""
+    models = ", ".join(f"({n * 10 + f}, {c}::DOUBLE, {f})" for n, c in enumerate(PATH_C) for f in range(PATH_FOLDS + 1))
+    ctes = [VEC, f"ma(k, c, f) AS (VALUES {models})",
+            f"""ro AS MATERIALIZED (SELECT id, label % 2 AS t, CAST(floor({b.u(42, 'fold', 'id')} * {PATH_FOLDS}) AS INTEGER) AS fold FROM (SELECT DISTINCT id, label FROM vec))""",
+            f"xs AS MATERIALIZED (SELECT id, d, x FROM vec WHERE d < {PATH_DIM} UNION ALL SELECT id, {PATH_DIM}, 1.0::DOUBLE FROM ro)",
+            f"w_0 AS MATERIALIZED (SELECT k, CAST(d AS INTEGER) AS i, 0.0::DOUBLE AS w FROM ma, range({PATH_DIM + 1}) AS g(d))"]
+    for n in range(PATH_STEPS):
+        ctes.append(f"""p_{n} AS MATERIALIZED (SELECT k, c, id, t, 1 / (1 + exp(-z)) AS p FROM (
+            SELECT ma.k, any_value(c) AS c, ro.id, any_value(t) AS t, sum(x * w) AS z FROM ma JOIN ro ON ro.fold <> ma.f
+            JOIN xs ON xs.id = ro.id JOIN w_{n} w ON w.k = ma.k AND w.i = xs.d GROUP BY ma.k, ro.id))""")
+        ctes.append(f"""h_{n} AS MATERIALIZED (SELECT k, i, j, v + CASE WHEN i = j AND i < {PATH_DIM} THEN 1 ELSE 0 END AS v FROM (
+            SELECT k, a.d AS i, b.d AS j, any_value(c) * sum(p * (1 - p) * a.x * b.x) AS v FROM p_{n} JOIN xs a USING (id) JOIN xs b USING (id) GROUP BY k, a.d, b.d)
+          UNION ALL SELECT k, i, {PATH_DIM + 1}, g + CASE WHEN i < {PATH_DIM} THEN w ELSE 0 END FROM (
+            SELECT k, d AS i, any_value(c) * sum((p - t) * x) AS g FROM p_{n} JOIN xs USING (id) GROUP BY k, d) JOIN w_{n} USING (k, i))""")
+        ctes.append(b.solve_sql(f"h_{n}", PATH_DIM + 1, f"d_{n}", f"e{n}_"))
+        ctes.append(f"w_{n + 1} AS MATERIALIZED (SELECT k, i, o.w - d.w AS w FROM w_{n} o JOIN d_{n} d USING (k, i))")
+    return "WITH " + ",\n".join(ctes) + f""" SELECT c, CAST(CASE f WHEN {PATH_FOLDS} THEN -1 ELSE f END AS INTEGER) AS fold, CAST(i AS INTEGER) AS feature,
+      {rs('w')} AS weight FROM w_{PATH_STEPS} JOIN ma USING (k)"""
+
+
+@query("logistic_path", _path_sql())
+def logistic_path(spark, sf):
+    """Penalties x (folds and the fit on all rows) on the first four columns: the optimum of each."""
+    v = _parity(spark, sf).withColumn("features", vectors.prefix("features", PATH_DIM))
+    v = v.withColumn("fold", F.floor(rng.uniform(42, "fold", "id") * PATH_FOLDS).cast("int"))
+    models = newton.fit_many(v, PATH_DIM, PATH_C, [*range(PATH_FOLDS), newton.ALL])
+    rows = [(m.c, m.fold, i, float(w)) for m in models for i, w in enumerate(m.w)]
+    return spark.createDataFrame(rows, "c double, fold int, feature int, weight double").withColumn("weight", r("weight"))
 
 
 @query("mlp_text")
