@@ -40,10 +40,10 @@ def op2(spark, sf):
     from . import common, warc
     pages, path = table(spark, sf, "pages"), common.new_path(spark, "warc")
     warc.write(pages, f"{path}/archives")
-    content = warc.archives(spark, f"{path}/archives")
-    warc.write_index(warc.entries(content), f"{path}/index")
+    warc.entries(warc.archives(spark, f"{path}/archives")).write.parquet(f"{path}/entries")
+    warc.write_index(spark.read.parquet(f"{path}/entries"), f"{path}/index")
     found = warc.find(warc.keys_of(pages), spark.read.parquet(f"{path}/index"))
-    records = warc.read(found, content, payloads=False)
+    records = warc.read(found, payloads=False)
     return records.select(F.col("page").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"),
                           F.col("kind").alias("record_type"), "refers_to")
 

@@ -3,7 +3,7 @@
 import base64
 import gzip
 import hashlib
-import os
+import io
 import random
 
 import corpus_pipeline
@@ -22,7 +22,7 @@ def read_back(pages, spark, folder):
     content = warc.archives(spark, f"{folder}/archives")
     warc.write_index(warc.entries(content), f"{folder}/index")
     index = spark.read.parquet(f"{folder}/index")
-    return content, index, warc.read(warc.find(warc.keys_of(pages), index), content)
+    return content, index, warc.read(warc.find(warc.keys_of(pages), index))
 
 
 def test_round_trip(spark, tmp_path):
@@ -40,14 +40,66 @@ def test_round_trip(spark, tmp_path):
         want.append((i, len(h.encode()), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode(), "response" if response else "revisit", None if response else first[h], h if response else None))
     key = lambda x: tuple((v is None, str(v)) for v in x)
     assert sorted([(r["page"], r["payload_bytes"], r["digest"], r["kind"], r["refers_to"], r["payload"]) for r in got], key=key) == sorted(want, key=key)
-    files = [os.path.join(tmp_path, "archives", f) for f in os.listdir(tmp_path / "archives") if f.startswith("part-")]
+    files = sorted((tmp_path / "archives").rglob("part-*"))
     assert sum(gzip.open(f).read().count(b"WARC-Record-ID") for f in files) == len(HTML)
 
 
 def test_empty_pages(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
-    warc.write(pages, f"{tmp_path}/archives")
-    assert warc.entries(warc.archives(spark, f"{tmp_path}/archives")).count() == 0
+    _, index, found = read_back(pages, spark, str(tmp_path))
+    assert index.count() == 0 and found.count() == 0
+
+
+def test_members_are_read_by_their_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    monkeypatch.setattr(warc, "RUN_BYTES", 700)
+    pages = spark.range(60).select(F.col("id").alias("page_id"), F.lit("http://a.org/").alias("url"), F.concat(F.sha2(F.col("id").cast("string"), 256), F.lit("é")).alias("html"))
+    content, index, found = read_back(pages.coalesce(2), spark, str(tmp_path))
+    want = {i: hashlib.sha256(str(i).encode()).hexdigest() + "é" for i in range(60)}
+    assert {r["page"]: r["payload"] for r in rows_of(found)} == want
+    sizes = {r["path"]: r["length"] for r in rows_of(content)}
+    assert len(sizes) > 4 and max(sizes.values()) < 2000 + 500
+    places = rows_of(warc.entries(content))
+    by_file = {}
+    for r in places:
+        by_file.setdefault(r["file"], []).append((r["at"], r["size"]))
+    for file, ranges in by_file.items():
+        ends = [0]
+        with warc.opened(file) as stream:
+            for at, size in sorted(ranges):
+                assert at == ends[-1]
+                stream.seek(at)
+                assert gzip.decompress(stream.read(size)).startswith(b"WARC/1.1")
+                ends.append(at + size)
+        assert ends[-1] == sizes[file]
+    # Bytes outside the ranges asked for are never looked at: spoil every record but one per archive.
+    kept = {file: sorted(ranges)[1] for file, ranges in by_file.items() if len(ranges) > 1}
+    for file, (at, size) in kept.items():
+        with open(file.removeprefix("file:"), "r+b") as stream:
+            stream.write(b"?" * at)
+            stream.seek(at + size)
+            stream.write(b"?" * (sizes[file] - at - size))
+    asked = spark.createDataFrame([(f, a, n) for f, (a, n) in kept.items() for _ in range(2)], "file string, at long, size long")
+    got = rows_of(warc.read(asked))
+    assert len(got) == len(kept) and all(r["payload"] == want[r["page"]] for r in got)
+
+
+def test_records_over_several_members(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "MEMBER", 1000)
+    rows = [(i, f"http://a.org/{i}", "".join(hashlib.sha256(f"{i} {j}".encode()).hexdigest() for j in range(i * 7))) for i in range(12)]
+    _, _, found = read_back(spark.createDataFrame(rows, "page_id long, url string, html string"), spark, str(tmp_path))
+    assert {r["page"]: r["payload"] for r in rows_of(found)} == {i: h for i, _, h in rows}
+    data = b"x" * ((1 << 24) + 5)
+    packed = warc.member(data, (1 << 24) - 1)
+    assert packed[-1] == 0 and gzip.decompress(packed) == data
+
+
+@pytest.mark.parametrize("spoil", [lambda b: b[:-3], lambda b: b[:40]])
+def test_archives_that_are_cut_off(spoil):
+    whole = warc.member(warc.record(1, "http://a.org", "text", warc.digest_of(b"text"), None).encode() + b"\r\n\r\n", 1 << 20)
+    assert [(at, size) for _, at, size in warc.scanned(io.BytesIO(whole * 3), chunk=7, piece=11)] == [(i * len(whole), len(whole)) for i in range(3)]
+    with pytest.raises(ValueError):
+        list(warc.scanned(io.BytesIO(whole + spoil(whole))))
 
 
 @pytest.mark.parametrize("most", [100_000, 3])
