@@ -1,10 +1,9 @@
 """Model fits, iterative fits, model selection and resampling."""
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions import rng, scalars, vectors
-from ..operators import bayes, cluster, ensembles, features as ft, gradient, kernels, linear, metrics, newton, resampling, sampling
+from ..operators import bayes, boosting, cluster, ensembles, features as ft, gradient, kernels, linear, metrics, newton, resampling, sampling
 from . import base as b
 from .base import CURVE, GRADED, PIX, PROSE, VEC, query, r, rs, table
 from .edits import COLUMNS as EDIT_COLUMNS, EDITS, edits
@@ -504,13 +503,49 @@ def mlp_text(spark, sf):
     return model.transform(d.where("is_test")).select("doc_id", "prediction")
 
 
+def event_rows(spark, sf):
+    """(id, label, features[3], is_test): value, hour and part of the user's number of an event, its type."""
+    return table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), scalars.label_index("event_type", b.EVENT_TYPES).alias("label"),
+        F.array(F.col("value").cast("double"), F.hour("ts").cast("double"), (F.col("user_id") % 100).cast("double")).alias("features"),
+        b.is_test("event_id").alias("is_test"))
+
+
+BOOST_ROUNDS = 20
+
+
 @query("gbt_multiclass")
 def gbt_multiclass(spark, sf):
-    e = table(spark, sf, "events").select(
-        F.col("event_id").alias("id"), scalars.label_index("event_type", b.EVENT_TYPES).cast("double").alias("label"),
-        array_to_vector(F.array(F.col("value"), F.hour("ts").cast("double"), (F.col("user_id") % 100).cast("double"))).alias("vector"))
-    train, test = e.where(~b.is_test()), e.where(b.is_test())
-    return ensembles.boosted_trees(3, 3).fit(train).transform(test).select("id", "prediction")
+    e = event_rows(spark, sf)
+    model = boosting.fit(e.where("not is_test"), 3, len(b.EVENT_TYPES), rounds=BOOST_ROUNDS)
+    return model.transform(e.where("is_test")).select("id", F.col("prediction").cast("double").alias("prediction"))
+
+
+STUMP_BINS = 16
+
+
+@query("boosted_stump", f"""WITH e AS MATERIALIZED (SELECT {' '.join(['CASE event_type', *[f"WHEN '{t}' THEN {i}" for i, t in enumerate(b.EVENT_TYPES)], 'END'])} AS y,
+    CAST(value AS DOUBLE) AS x0, CAST(hour(ts) AS DOUBLE) AS x1, CAST(user_id % 100 AS DOUBLE) AS x2 FROM events),
+  x AS MATERIALIZED (SELECT y, 0 AS j, x0 AS x FROM e UNION ALL SELECT y, 1, x1 FROM e UNION ALL SELECT y, 2, x2 FROM e),
+  edges AS MATERIALIZED (SELECT j, i, lo + (hi - lo) * i / {STUMP_BINS}.0::DOUBLE AS edge FROM (SELECT j, min(x) AS lo, max(x) AS hi FROM x GROUP BY j), range(1, {STUMP_BINS}) AS g(i)),
+  n AS MATERIALIZED (SELECT y, count(*) AS n, count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS p FROM e GROUP BY y),
+  gh AS MATERIALIZED (SELECT k.y AS k, n.y AS y, n.n AS n, CAST(round((k.p - CASE WHEN k.y = n.y THEN 1 ELSE 0 END) * {boosting.SCALE}) AS BIGINT) AS g,
+    CAST(round(k.p * (1 - k.p) * {boosting.SCALE}) AS BIGINT) AS h FROM n k, n),
+  lefts AS MATERIALIZED (SELECT j, i, edge, y, count(*) AS c FROM x JOIN edges USING (j) WHERE x <= edge GROUP BY j, i, edge, y),
+  sums AS MATERIALIZED (SELECT k, j, i, edge, CAST(sum(c * g) AS DOUBLE) / {boosting.SCALE} AS lg, CAST(sum(c * h) AS DOUBLE) / {boosting.SCALE} AS lh FROM lefts JOIN gh USING (y) GROUP BY k, j, i, edge),
+  total AS (SELECT k, CAST(sum(n * g) AS DOUBLE) / {boosting.SCALE} AS g, CAST(sum(n * h) AS DOUBLE) / {boosting.SCALE} AS h FROM gh GROUP BY k),
+  gains AS (SELECT k, j, i, edge, lg, lh, g - lg AS rg, h - lh AS rh, lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1) AS gain
+    FROM sums JOIN total USING (k) WHERE lh > 0 AND h - lh > 0)
+SELECT CAST(k AS INTEGER) AS class, CAST(j AS INTEGER) AS feature, {rs('edge')} AS threshold, {rs('-lg / (lh + 1)')} AS left_value, {rs('-rg / (rh + 1)')} AS right_value
+  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY gain DESC, j, i) AS place FROM gains WHERE gain > 1e-9) WHERE place = 1""")
+def boosted_stump(spark, sf):
+    e = event_rows(spark, sf)
+    ends = e.agg(*[f(F.get("features", F.lit(j))).alias(f"{f.__name__}{j}") for j in range(3) for f in (F.min, F.max)]).first()
+    edges = [[low + (high - low) * i / STUMP_BINS for i in range(1, STUMP_BINS)] for low, high in zip(ends[::2], ends[1::2])]
+    found = boosting.fit(e, 3, len(b.EVENT_TYPES), rounds=1, depth=1, bins=STUMP_BINS, edges=edges).table(spark)
+    value = lambda node: F.max(F.when(F.col("node") == node, F.col("value")))
+    return (found.groupBy("class").agg(F.max("feature").alias("feature"), r(F.max("threshold")).alias("threshold"), r(value(1)).alias("left_value"),
+                                       r(value(2)).alias("right_value")).where("feature is not null"))
 
 
 # ---- resampling -----------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Model storage: Parquet tables and `PipelineModel` directories in a shared folder."""
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -44,3 +45,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     save_table(df, path)
     return load_table(df.sparkSession, path)
+
+
+@dataclass
+class Written:
+    """A table in the shared folder that an iterative fit replaces as it goes on and deletes at its end."""
+
+    frame: DataFrame
+    path: str
+
+    @staticmethod
+    def of(df: DataFrame, name: str) -> "Written":
+        path = new_path(df.sparkSession, name)
+        save_table(df, path)
+        return Written(load_table(df.sparkSession, path), path)
+
+    def replaced(self, df: DataFrame) -> "Written":
+        """Write `df`, which may read this table, and delete this one."""
+        new = Written.of(df, self.path.rsplit("/", 1)[1].rsplit("-", 1)[0])
+        self.delete()
+        return new
+
+    def delete(self) -> None:
+        spark = self.frame.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
