@@ -9,6 +9,21 @@ from .text import WHITESPACE
 #: What lies between word tokens, and between whitespace words.
 NO_WORD = r"[^\p{L}\p{N}_]+"
 BLANK = WHITESPACE
+#: Texts of at most so many bytes are cut and numbered at once: tokens, their numbers and n-grams take some forty times that.
+PART_BYTES = 2 << 20
+
+
+def parts(texts: pa.Array, most: int | None = None):
+    """(first row, texts): slices of an Arrow batch of at most `most` bytes, a longer text by itself.
+
+    What a worker holds is bounded by them, however many and long the rows of a batch are.
+    """
+    most, rows, at = most or PART_BYTES, len(texts), 0
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    while at < rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, texts.slice(at, to - at)
+        at = to
 
 
 class Items:

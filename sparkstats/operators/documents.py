@@ -13,6 +13,8 @@ from . import inverted, neighbors, sampling
 
 BROADCAST_TERMS = 1_000_000
 FORM_BYTES = 32 << 20
+#: Words that are replaced at once, but for a longer line.
+WORDS_AT_ONCE = 1 << 17
 
 
 def _small(table: DataFrame, rows: int) -> DataFrame:
@@ -23,24 +25,26 @@ def _small(table: DataFrame, rows: int) -> DataFrame:
 def _counted(df: DataFrame, id_col: str, text: Column, name: str, items) -> DataFrame:
     """(id, name, cnt): how often each item is in a text, row by row: one row is one document.
 
-    `items` makes the lists of items of an Arrow batch of texts. They are numbered and counted where they are; nothing is shuffled.
+    `items` makes the lists of items of an Arrow batch of texts. They are numbered and counted where they are, some bytes at a time; nothing is shuffled.
     """
     def count(batches):
         for batch in batches:
-            for found in items(batch.column("_text")):
-                row, names, n = found.by_row()
-                yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(row)), names, pa.array(n, pa.int64())], names=[id_col, name, "cnt"])
+            for first, texts in at.parts(batch.column("_text")):
+                for found in items(texts):
+                    row, names, n = found.by_row()
+                    yield pa.RecordBatch.from_arrays([batch.column(id_col).take(pa.array(row + first)), names, pa.array(n, pa.int64())], names=[id_col, name, "cnt"])
     fields = [df.schema[id_col], T.StructField(name, T.StringType()), T.StructField("cnt", T.LongType())]
     return df.select(id_col, text.alias("_text")).mapInArrow(count, T.StructType(fields))
 
 
 def _totals(df: DataFrame, text: Column, name: str, items) -> DataFrame:
-    """(name, cnt): how often each item is in all texts. Batches are counted in the scan, and their counts added up."""
+    """(name, cnt): how often each item is in all texts. Parts of batches are counted in the scan, and their counts added up."""
     def count(batches):
         for batch in batches:
-            for found in items(batch.column(0)):
-                names, n = found.totals()
-                yield pa.RecordBatch.from_arrays([names, pa.array(n, pa.int64())], names=[name, "cnt"])
+            for _, texts in at.parts(batch.column(0)):
+                for found in items(texts):
+                    names, n = found.totals()
+                    yield pa.RecordBatch.from_arrays([names, pa.array(n, pa.int64())], names=[name, "cnt"])
     return df.select(text.alias("_text")).mapInArrow(count, f"{name} string, cnt long").groupBy(name).agg(F.sum("cnt").alias("cnt"))
 
 
@@ -254,6 +258,11 @@ def restore(lines: DataFrame, forms: DataFrame, keys: list[str], text: str, name
         known = lines.sparkSession.sparkContext.broadcast({r["plain"]: r["word"] for r in forms.select("plain", "word").collect()})
 
         def replaced(lists: pa.Array) -> pa.Array:
+            cuts = np.searchsorted(lists.offsets.to_numpy(), np.arange(lists.offsets[0].as_py(), lists.offsets[-1].as_py(), WORDS_AT_ONCE), side="right") - 1 if len(lists) else []
+            cuts = np.unique(np.append(cuts, [0, len(lists)])).astype(int).tolist()
+            return pa.concat_arrays([some(lists.slice(a, z - a)) for a, z in zip(cuts, cuts[1:])] or [some(lists)])
+
+        def some(lists: pa.Array) -> pa.Array:
             coded = lists.flatten().dictionary_encode()
             form = known.value
             words = pa.array([form.get(w, w) for w in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
