@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from ..functions import rng
 from ..sources.models import materialize
 from .cluster import lp_distances
+from .inverted import packed, unpacked
 
 DECIMALS = 9
 QUERY_CHUNK = 1024
@@ -94,6 +95,56 @@ def _top_k(dist: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(dist, axis=1, kind="stable")[:, :k]
 
 
+def _nearest(left: pd.DataFrame, right: pd.DataFrame, metric, k: int, carry: list[str]) -> pd.DataFrame:
+    """(query_id, train_id, distance, carry...) of the k nearest of the right rows for each left one."""
+    if left.empty or right.empty:
+        return pd.DataFrame()
+    right = right.sort_values("id", kind="stable").reset_index(drop=True)
+    points, picks, dists = metric.stack(right), [], []
+    for s in range(0, len(left), QUERY_CHUNK):
+        dist = np.round(metric.distances(metric.stack(left[s:s + QUERY_CHUNK]), points), DECIMALS)
+        pick = _top_k(dist, k)
+        picks.append(pick)
+        dists.append(np.take_along_axis(dist, pick, 1))
+    pick, dist = np.concatenate(picks), np.concatenate(dists)
+    out = {"query_id": np.repeat(left["id"].to_numpy(), pick.shape[1]),
+           "train_id": right["id"].to_numpy()[pick.ravel()], "distance": dist.ravel()}
+    for c in carry:
+        out[c] = right[c].to_numpy()[pick.ravel()]
+    return pd.DataFrame(out)
+
+
+def _search_all(queries: DataFrame, train: DataFrame, rows: int, metric, k: int, block_rows: int, seed: int, carry: list[str]) -> DataFrame:
+    """k nearest training rows of each query, and no fewer from each group of blocks.
+
+    Both sides are packed in blocks and written once; tasks read the pairs of blocks, which are not shuffled. Of all
+    blocks that a task pairs with some queries, only the k nearest rows of each query leave it.
+    """
+    blocks = lambda n: max(1, math.ceil(n / block_rows))
+    place = lambda tag, n: F.floor(rng.uniform(seed, tag, "id") * n).cast("int")
+    parts, held = blocks(queries.count()), blocks(rows)
+    asking = packed(queries.withColumn("part", place("query-block", parts)), "part", parts, "asking")
+    known = packed(train.withColumn("block", place("train-block", held)), "block", held, "held")
+    schema = T.StructType([T.StructField("query_id", queries.schema["id"].dataType), T.StructField("train_id", train.schema["id"].dataType),
+                           T.StructField("distance", T.DoubleType())] + [train.schema[c] for c in carry])
+
+    def search(frames):
+        here, left, best = None, None, None
+        for pdf in frames:
+            for part, asking, held in zip(pdf["part"], pdf["asking"], pdf["held"]):
+                if part != here:
+                    if best is not None:
+                        yield best
+                    here, left, best = part, unpacked(asking).to_pandas(), None
+                found = _nearest(left, unpacked(held).to_pandas(), metric, k, carry)
+                best = found if best is None else (pd.concat([best, found]).sort_values(["query_id", "distance", "train_id"], kind="stable")
+                                                   .groupby("query_id", sort=False).head(k))
+        if best is not None:
+            yield best
+    pairs = asking.hint("shuffle_replicate_nl").crossJoin(known.hint("shuffle_replicate_nl"))
+    return pairs.mapInPandas(search, schema)
+
+
 def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, pivots: int, block_rows: int,
             seed: int, carry: list[str]) -> DataFrame:
     """k nearest training rows of each query within the cell named in its row."""
@@ -112,21 +163,7 @@ def _search(queries: DataFrame, cells: DataFrame, count: dict, metric, k: int, p
                            T.StructField("distance", T.DoubleType())] + [cells.schema[c] for c in carry])
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame()
-        right = right.sort_values("id", kind="stable").reset_index(drop=True)
-        points, picks, dists = metric.stack(right), [], []
-        for s in range(0, len(left), QUERY_CHUNK):
-            dist = np.round(metric.distances(metric.stack(left[s:s + QUERY_CHUNK]), points), DECIMALS)
-            pick = _top_k(dist, k)
-            picks.append(pick)
-            dists.append(np.take_along_axis(dist, pick, 1))
-        pick, dist = np.concatenate(picks), np.concatenate(dists)
-        out = {"query_id": np.repeat(left["id"].to_numpy(), pick.shape[1]),
-               "train_id": right["id"].to_numpy()[pick.ravel()], "distance": dist.ravel()}
-        for c in carry:
-            out[c] = right[c].to_numpy()[pick.ravel()]
-        return pd.DataFrame(out)
+        return _nearest(left, right, metric, k, carry)
 
     keys = ["cell", "qb", "tb"]
     return q.groupBy(*keys).cogroup(t.groupBy(*keys)).applyInPandas(nearest, schema)
@@ -138,8 +175,8 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
 
     Distances are compared at nine decimals. `pivots` above 1 cut the training
     rows into so many cells, of which a query skips those too far away: worth it
-    in few dimensions. A block of `block_rows` rows meets another in one task,
-    so each row is copied once per block of the other side.
+    in few dimensions; a block of `block_rows` rows of a cell then meets another in one
+    task, and each row is copied once per block of the other side. Without, no row is copied.
     """
     metric = metric or Dense()
     carry = carry or []
@@ -154,8 +191,7 @@ def knn_join(queries: DataFrame, train: DataFrame, k: int, metric=None, carry: l
         raise ValueError("the training table is empty")
     if pivots == 1:
         # One cell: nothing to prune, so no pivot is needed.
-        cells = materialize(t.withColumn("cell", F.lit(0)), "cells")
-        found = _search(q.withColumn("cell", F.lit(0)), cells, {0: rows}, metric, k, 1, block_rows, seed, carry)
+        found = _search_all(q, t, rows, metric, k, block_rows, seed, carry)
         return _keep(found, k).select("query_id", "rank", "train_id", "distance", *carry)
     chosen = t.orderBy(rng.hash32(seed, "pivot", "id"), "id").limit(pivots).toPandas()
     pivots = len(chosen)
