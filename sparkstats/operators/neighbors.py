@@ -12,19 +12,26 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from ..functions import rng
+from ..functions import rng, vectors
 from ..sources.models import materialize
 from .cluster import lp_distances
 from .inverted import packed, unpacked
 
 DECIMALS = 9
 QUERY_CHUNK = 1024
+#: Most rows of a screened column of queries; steps of a rounded element; elements that are compared one by one at once.
+TILE, STEPS, EXACT = 128, 127, 1 << 20
 
 
 class Dense:
-    """L_p distance between array columns."""
+    """L_p distance between array columns.
+
+    In more than 8 dimensions a search screens the pairs of a block by lower bounds, which cost a few operations on
+    small numbers a pair, and computes the distances of those that could be among the k nearest.
+    """
 
     def __init__(self, p: int = 2, features: str = "features"):
         self.p, self.columns = p, [features]
@@ -32,6 +39,13 @@ class Dense:
     def stack(self, pdf: pd.DataFrame):
         return np.array(pdf[self.columns[0]].tolist(), dtype=float)
 
+    def screen(self, a: np.ndarray, b: np.ndarray):
+        """A `Screen` of the pairs of two blocks; None where plain distances are as good."""
+        if not len(a) or not len(b) or a.shape[1] != b.shape[1] or not 8 < a.shape[1] <= 65535 // STEPS or self.p not in (1, 2, 3):
+            return None
+        # Neither NaN nor beyond single precision.
+        return Screen(a, b, self.p) if np.abs(a).max() < 1e15 and np.abs(b).max() < 1e15 else None
+
     def distances(self, a, b) -> np.ndarray:
         if self.p == 2 and len(a) and a.shape[1] > 8:
             # Cheap inner products first, then plain differences where they cancel.
@@ -45,6 +59,92 @@ class Dense:
         return lp_distances(a, b, self.p)
 
 
+class Screen:
+    """Lower bounds of the L_p distances between two blocks, as sums of powers.
+
+    p = 1: elements are rounded to STEPS steps, and the sum of the differences follows from that of the smaller elements;
+    what a row lost by rounding is taken off. p = 2: squares from inner products in single precision, less their largest
+    error. p = 3: the same, as |d|_p >= |d|_2 * dim ** (1 / p - 1 / 2).
+    """
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, p: int):
+        self.a, self.b, self.p = a, b, p
+        dim = a.shape[1]
+        if p == 1:
+            low = min(a.min(), b.min())
+            step = max(a.max(), b.max()) - low
+            step = step / STEPS if step > 0 else 1.0
+            (qa, less_a), (qb, less_b) = self._rounded(a, low, step), self._rounded(b, low, step)
+            self.bound = (less_a[:, None] + less_b[None, :]) - np.float32(2 * step) * _smaller(qa, qb)
+        else:
+            error = 1 - (dim + 8) * 2.0 ** -21
+            norms = [((x * x).sum(1) * error).astype(np.float32) for x in (a, b)]
+            self.bound = (-2 * a.astype(np.float32)) @ b.astype(np.float32).T
+            self.bound += norms[0][:, None]
+            self.bound += norms[1][None, :]
+
+    @staticmethod
+    def _rounded(x: np.ndarray, low: float, step: float) -> tuple[np.ndarray, np.ndarray]:
+        """(steps by dimension, their sum as a length less what the row lost and the error of single precision)."""
+        q = np.rint((x - low) / step)
+        size = step * q.sum(1)
+        lost = np.abs(x - (low + step * q)).sum(1) + 1e-6 * (size + step * STEPS * x.shape[1])
+        return np.ascontiguousarray(q.T.astype(np.uint8)), (size - lost).astype(np.float32)
+
+    def pairs(self, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of both blocks whose distance may be at most `reach` of the first one; NaN: any."""
+        top = (reach + 2 * 10.0 ** -DECIMALS) * (1 + 1e-5)
+        top = top if self.p == 1 else top * top * max(1.0, self.a.shape[1] ** (1 - 2 / self.p))
+        with np.errstate(over="ignore"):
+            top = top.astype(np.float32)[:, None]
+        return np.divmod(np.flatnonzero(~(self.bound > top)), len(self.b))
+
+    def exact(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Distances of pairs of rows, from plain differences."""
+        out, width = np.empty(len(i)), max(1, EXACT // self.a.shape[1])
+        for s in range(0, len(i), width):
+            d = np.abs(self.a[i[s:s + width]] - self.b[j[s:s + width]])
+            out[s:s + width] = (d if self.p == 1 else d * d if self.p == 2 else d * d * d).sum(1)
+        return np.round(out ** (1.0 / self.p), DECIMALS)
+
+    def nearest(self, k: int, best: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, row, distance) of pairs among which are all that come in, and `best`, each row's k least distances so far."""
+        n, m = self.bound.shape
+        reach = best[:, -1].copy()
+        new = np.flatnonzero(np.isinf(reach))
+        if len(new) and m >= k:
+            # No k-th distance yet: that of the rows of the k least bounds will do.
+            pick = np.argpartition(self.bound[new], k - 1, axis=1)[:, :k]
+            reach[new] = self.exact(np.repeat(new, k), pick.ravel()).reshape(-1, k).max(1)
+        i, j = self.pairs(reach)
+        d = self.exact(i, j)
+        near = d <= reach[i]
+        i, j, d = i[near], j[near], d[near]
+        row, all_ = np.concatenate([np.repeat(np.arange(n), k), i]), np.concatenate([best.ravel(), d])
+        order = np.lexsort((all_, row))
+        first = np.searchsorted(row[order], np.arange(n))
+        best = all_[order][first[:, None] + np.arange(k)]
+        near = d <= best[i, -1]
+        return i[near], j[near], d[near], best
+
+
+def _smaller(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum over dimensions (rows) of the smaller of two elements, for all pairs of columns."""
+    out = np.empty((a.shape[1], b.shape[1]), np.uint16)
+    one, two = np.empty((2, TILE, b.shape[1]), np.uint8)
+    for s in range(0, a.shape[1], TILE):
+        here, sums = a[:, s:s + TILE, None], out[s:s + TILE]
+        x, y = one[:len(sums)], two[:len(sums)]
+        sums[:] = 0
+        for d in range(0, len(a), 2):
+            np.minimum(here[d], b[d], out=x)
+            if d + 1 < len(a):
+                np.minimum(here[d + 1], b[d + 1], out=y)
+                np.add(x, y, out=x)  # two of at most STEPS fit a byte
+            np.add(sums, x, out=sums)
+    return out
+
+
 class Sparse:
     """Euclidean distance between unit-length sparse rows: sorted term numbers and weights."""
 
@@ -114,6 +214,45 @@ def _nearest(left: pd.DataFrame, right: pd.DataFrame, metric, k: int, carry: lis
     return pd.DataFrame(out)
 
 
+class _Asked:
+    """A block of queries that meets blocks of rows one by one, and the k nearest rows of each query so far."""
+
+    ROWS = 1 << 16
+
+    def __init__(self, queries: pa.Table, metric, k: int, carry: list[str]):
+        self.metric, self.k, self.carry = metric, k, carry
+        self.frames, self.rows = [], 0
+        self.parts = [queries.slice(s, QUERY_CHUNK) for s in range(0, len(queries), QUERY_CHUNK)]
+        self.points = [vectors.as_matrix(q[metric.columns[0]]) if hasattr(metric, "screen") else None for q in self.parts]
+        self.best = [np.full((len(q), k), np.inf) for q in self.parts]
+
+    def meet(self, rows: pa.Table):
+        points = vectors.as_matrix(rows[self.metric.columns[0]]) if hasattr(self.metric, "screen") else None
+        for n, queries in enumerate(self.parts):
+            screen = self.metric.screen(self.points[n], points) if points is not None else None
+            if screen is None:
+                self._keep(_nearest(queries.to_pandas(), rows.to_pandas(), self.metric, self.k, self.carry))
+                continue
+            i, j, d, self.best[n] = screen.nearest(self.k, self.best[n])
+            i, j = pa.array(i), pa.array(j)
+            out = {"query_id": queries["id"].take(i).to_pandas(), "train_id": rows["id"].take(j).to_pandas(), "distance": d}
+            self._keep(pd.DataFrame(out | {c: rows[c].take(j).to_pandas() for c in self.carry}))
+
+    def _keep(self, frame: pd.DataFrame):
+        if len(frame):
+            self.frames.append(frame)
+            self.rows += len(frame)
+        if self.rows > self.ROWS:
+            self.frames = [self.found()]
+            self.rows = len(self.frames[0]) // 2  # so that it is not sorted anew for each block
+
+    def found(self) -> pd.DataFrame:
+        if not self.frames:
+            return pd.DataFrame()
+        return (pd.concat(self.frames).sort_values(["query_id", "distance", "train_id"], kind="stable")
+                .groupby("query_id", sort=False).head(self.k))
+
+
 def _search_all(queries: DataFrame, train: DataFrame, rows: int, metric, k: int, block_rows: int, seed: int, carry: list[str]) -> DataFrame:
     """k nearest training rows of each query, and no fewer from each group of blocks.
 
@@ -129,18 +268,16 @@ def _search_all(queries: DataFrame, train: DataFrame, rows: int, metric, k: int,
                            T.StructField("distance", T.DoubleType())] + [train.schema[c] for c in carry])
 
     def search(frames):
-        here, left, best = None, None, None
+        here, asked = None, None
         for pdf in frames:
             for part, asking, held in zip(pdf["part"], pdf["asking"], pdf["held"]):
                 if part != here:
-                    if best is not None:
-                        yield best
-                    here, left, best = part, unpacked(asking).to_pandas(), None
-                found = _nearest(left, unpacked(held).to_pandas(), metric, k, carry)
-                best = found if best is None else (pd.concat([best, found]).sort_values(["query_id", "distance", "train_id"], kind="stable")
-                                                   .groupby("query_id", sort=False).head(k))
-        if best is not None:
-            yield best
+                    if asked is not None:
+                        yield asked.found()
+                    here, asked = part, _Asked(unpacked(asking), metric, k, carry)
+                asked.meet(unpacked(held))
+        if asked is not None:
+            yield asked.found()
     pairs = asking.hint("shuffle_replicate_nl").crossJoin(known.hint("shuffle_replicate_nl"))
     return pairs.mapInPandas(search, schema)
 
