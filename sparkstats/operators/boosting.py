@@ -3,8 +3,9 @@
 A round grows one tree per class, level by level. A pass over the rows sums the gradients and curvatures of each
 (class, node, feature, bin); tasks that hold a feature of a class find its best cut of every node, and only those
 reach the driver. Gradients are rounded to whole multiples of 1 / SCALE, so that sums are exact: the trees do not
-depend on how rows are partitioned, nor on retries. Rows are stored binned, a byte per feature, with their scores,
-and are written anew every few rounds, so that a pass walks few trees and no plan contains an earlier one.
+depend on how rows are partitioned, nor on retries. Rows are stored binned, a byte per feature, with their scores;
+those of the same bins and class, which no tree tells apart, are one row with their number. They are written anew every
+few rounds, so that a pass walks few trees and no plan contains an earlier one.
 """
 
 from dataclasses import dataclass, field
@@ -119,9 +120,18 @@ def slopes(s: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
     return (np.rint((p - hit) * SCALE), np.rint(p * (1 - p) * SCALE), np.rint(-np.log(np.maximum(p[hit], 1e-300)) * SCALE))
 
 
-def _blocks(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _blocks(batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(b"".join(batch.column("codes").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-    return codes, batch.column("y").to_numpy(), vectors.as_matrix(batch.column("scores"))
+    return codes, batch.column("y").to_numpy(), batch.column("n").to_numpy(), vectors.as_matrix(batch.column("scores"))
+
+
+def _added(key: np.ndarray, values: np.ndarray, size: int, exact: bool) -> np.ndarray:
+    """Sums of whole numbers by key; `exact`: they all fit a double."""
+    if exact:
+        return np.bincount(key, values, size).astype(np.int64)
+    out = np.zeros(size, np.int64)
+    np.add.at(out, key, values)
+    return out
 
 
 def best_cuts(g: np.ndarray, h: np.ndarray, ridge: float) -> tuple[np.ndarray, ...]:
@@ -169,15 +179,17 @@ def _level(state: DataFrame, model: Model, fresh: list[list[Tree]], grown: list[
         for batch in batches:
             if not batch.num_rows:
                 continue
-            codes, y, scores = _blocks(batch)
+            codes, y, n, scores = _blocks(batch)
             g, h, loss = slopes(scores + _walked(fresh_, codes, depth, step, classes), y)
-            lost, rows = lost + int(loss.sum()), rows + len(y)
+            g, h = (x.astype(np.int64) * n[:, None] for x in (g, h))
+            lost, rows = lost + int((loss.astype(np.int64) * n).sum()), rows + int(n.sum())
+            exact = int(n.sum()) * SCALE < 1 << 53
             for k, tree in enumerate(grown_):
                 at = (tree.node(codes, level) - first) * bins
                 for j in range(dim):
                     key = at + codes[:, j]
-                    total[k, j, 0] += np.bincount(key, g[:, k], nodes * bins).astype(np.int64)
-                    total[k, j, 1] += np.bincount(key, h[:, k], nodes * bins).astype(np.int64)
+                    total[k, j, 0] += _added(key, g[:, k], nodes * bins, exact)
+                    total[k, j, 1] += _added(key, h[:, k], nodes * bins, exact)
         if rows:
             found = {(k, j): total[k, j].reshape(-1) for k in range(classes) for j in range(dim)}
             yield _sum_rows(found | {(-1, 0): np.array([lost, rows])})
@@ -234,10 +246,13 @@ def fit(df: DataFrame, dim: int, classes: int, rounds: int = 500, depth: int = 6
         for batch in batches:
             if batch.num_rows:
                 codes = codes_of(vectors.as_matrix(batch.column("x")), edges)
-                yield pa.RecordBatch.from_arrays([pa.array([c.tobytes() for c in codes], pa.binary()), batch.column("y"),
-                                                  vectors.as_list_column(np.tile(base, (len(codes), 1)))], names=["codes", "y", "scores"])
-    columns = "codes binary, y int, scores array<double>"
-    state, fresh = Written.of(src.mapInArrow(binned, columns), "boosting"), []
+                same = pa.table({"codes": pa.array([c.tobytes() for c in codes], pa.binary()), "y": batch.column("y")}).group_by(["codes", "y"]).aggregate([([], "count_all")])
+                yield from same.rename_columns(["codes", "y", "n"]).to_batches()
+    columns = "codes binary, y int, n long, scores array<double>"
+    alike = src.mapInArrow(binned, "codes binary, y int, n long").groupBy("codes", "y").agg(F.sum("n").alias("n"))
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    start = alike.withColumn("scores", F.array(*[F.lit(float(v)) for v in base])).repartition(parts, "codes")
+    state, fresh = Written.of(start, "boosting"), []
     parts = state.frame.rdd.getNumPartitions()
     for _ in range(rounds):
         if len(fresh) == rewrite:
@@ -273,7 +288,7 @@ def _scored(state: DataFrame, fresh: list[list[Tree]], model: Model, columns: st
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                codes, _, scores = _blocks(batch)
-                yield pa.RecordBatch.from_arrays([batch.column("codes"), batch.column("y"),
-                                                  vectors.as_list_column(scores + _walked(fresh, codes, depth, step, classes))], names=["codes", "y", "scores"])
+                codes, _, _, scores = _blocks(batch)
+                scores = vectors.as_list_column(scores + _walked(fresh, codes, depth, step, classes))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("codes", "y", "n")), scores], names=["codes", "y", "n", "scores"])
     return state.mapInArrow(run, columns)

@@ -92,3 +92,29 @@ def test_odd_rows(spark, points):
     assert empty.rounds == [] and empty.transform(odd.limit(0)).count() == 0
     with pytest.raises(ValueError):
         boosting.fit(df, 3, 2, edges=EDGES, bins=8)
+
+
+def test_rows_of_the_same_bins_are_one_row(spark, monkeypatch):
+    rows = [([float(i % 5), float(i % 3), float(i % 7)], i % 2) for i in range(210)]
+    df = spark.createDataFrame(rows, "features array<double>, label int")
+    stored, written = [], boosting.Written.of
+
+    def of(d, name):
+        out = written(d, name)
+        stored.append(out.frame.count())
+        return out
+    monkeypatch.setattr(boosting.Written, "of", staticmethod(of))
+    boosting.fit(df, 3, 2, rounds=1, depth=2, edges=EDGES)
+    few = len({(*boosting.codes_of(np.array([x]), [np.array(e) for e in EDGES])[0].tolist(), y) for x, y in rows})
+    assert stored == [few] and few < 210
+    one = boosting.fit(df, 3, 2, rounds=3, depth=2, edges=EDGES, rewrite=1)
+    wide = boosting.fit(df.crossJoin(spark.range(300)), 3, 2, rounds=3, depth=2, edges=EDGES, ridge=300.0, rewrite=2)
+    assert set(stored) == {few}
+    for a, c in zip(sum(one.rounds, []), sum(wide.rounds, [])):
+        assert np.array_equal(a.feature, c.feature) and np.array_equal(a.cut, c.cut) and np.allclose(a.value, c.value)
+
+
+def test_sums_beyond_a_double_stay_exact():
+    key, values = np.array([0, 1, 0]), np.array([1 << 60, 3, 1])
+    assert boosting._added(key, values, 2, False).tolist() == [(1 << 60) + 1, 3]
+    assert boosting._added(key, np.array([5, 3, 1]), 2, True).tolist() == [6, 3]
