@@ -1,5 +1,7 @@
 """Estimators of `pyspark.ml`, set up with this library's feature stages."""
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        OneVsRest)
@@ -12,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 from . import features as ft
 
 WORDS = "[\\p{L}\\p{N}_]{2,}"
+#: Bytes of the rows of a task of the text network, which holds them as full rows of numbers.
+TASK_BYTES = 128 << 20
 
 
 def logistic(c: float, rows: int, features: str = "vector", label: str = "label", max_iter: int = 100) -> LogisticRegression:
@@ -72,12 +76,18 @@ def boosted_trees(max_depth: int = 6, trees: int = 500, step: float = 0.1, featu
                      featuresCol=features, labelCol=label)
 
 
+def spread(df: DataFrame, width: int) -> DataFrame:
+    """The rows dealt over as many tasks as full rows of `width` numbers take; as they are where one task can hold all."""
+    parts = math.ceil(df.count() * width * 8 / TASK_BYTES)
+    return df if parts <= 1 else df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def fit_text_mlp(df: DataFrame, width: int = 4096, text: str = "text", label: str = "label", hidden: tuple = (11, 2),
                  max_iter: int = 1000, tol: float = 2e-7, high: int = 3, seed: int = 42) -> PipelineModel:
     """Counts of word 1..`high`-grams into a two-class network.
 
     Every n-gram counts: it falls into one of `width` columns by its hash. The
-    model held by the driver is the network's weights.
+    model held by the driver is the network's weights; the rows of a task take TASK_BYTES.
     """
     grams = ", ".join(
         f"transform(if(size(_toks) >= {n}, sequence(1, size(_toks) - {n - 1}), cast(array() as array<int>)), "
@@ -88,7 +98,7 @@ def fit_text_mlp(df: DataFrame, width: int = 4096, text: str = "text", label: st
         HashingTF(inputCol="_grams", outputCol="vector", numFeatures=width)])
     network = MultilayerPerceptronClassifier(featuresCol="vector", labelCol=label, layers=[width, *hidden, 2],
                                              maxIter=max_iter, tol=tol, seed=seed)
-    return PipelineModel(stages=[*counts.stages, network.fit(counts.transform(df))])
+    return PipelineModel(stages=[*counts.stages, network.fit(counts.transform(spread(df, width)))])
 
 
 def grid_search(df: DataFrame, pipeline: Pipeline, grid: list, folds: str, k: int, label: str = "label",
