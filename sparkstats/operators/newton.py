@@ -18,6 +18,8 @@ from .linear import first_best, solve
 
 #: The fold of a model that leaves no row out.
 ALL = -1
+#: Rows that a pass takes at once, for all models.
+ROWS = 1024
 
 
 @dataclass
@@ -41,6 +43,9 @@ def _sums(models: list[Fit], target: str, fold: str):
     upper = np.triu_indices(len(w))
 
     def block(x, cols):
+        return sum(some(x[s:s + ROWS], {c: np.asarray(v)[s:s + ROWS] for c, v in cols.items()}) for s in range(0, len(x), ROWS))
+
+    def some(x, cols):
         x1, t = with_ones(x), np.asarray(cols[target], dtype=float)
         mine = (np.asarray(cols[fold])[:, None] != folds).astype(float)
         z = x1 @ w
@@ -95,6 +100,9 @@ def scores(df: DataFrame, models: list[Fit], features: str = "features", target:
     w, folds = np.stack([m.w for m in models], axis=1), np.array([m.fold for m in models])
 
     def block(x, cols):
+        return sum(some(x[s:s + ROWS], {c: np.asarray(v)[s:s + ROWS] for c, v in cols.items()}) for s in range(0, len(x), ROWS))
+
+    def some(x, cols):
         t = np.asarray(cols[target], dtype=float)
         z = with_ones(x) @ w
         mine = (np.asarray(cols[fold])[:, None] == folds) | (folds == ALL)

@@ -72,3 +72,18 @@ def test_empty_and_one_class(spark, rows):
     assert all(m.w.tolist() == [0.0] * 4 for m in none) and newton.scores(df.where("id < 0"), none) == [(None, None)] * 2
     one = newton.fit_many(df.withColumn("label", F.lit(1)), 3, [1.0], [newton.ALL], max_steps=12)[0]
     assert np.isfinite(one.w).all() and newton.scores(df.withColumn("label", F.lit(1)), [one])[0][0] == 1.0
+
+
+def test_a_pass_holds_few_rows_for_all_models_at_once():
+    import tracemalloc
+    rng = np.random.default_rng(4)
+    models = [newton.Fit(1.0, f, rng.normal(size=9)) for _ in range(12) for f in (0, 1, newton.ALL)]
+    x, cols = rng.normal(size=(30_000, 8)), {"label": rng.integers(0, 2, 30_000).astype(float), "fold": rng.integers(0, 2, 30_000)}
+    block = newton._sums(models, "label", "fold")
+    tracemalloc.start()
+    found = block(x, cols)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20  # one array of 30,000 x 36 numbers
+    halves = sum(block(x[s], {c: v[s] for c, v in cols.items()}) for s in (slice(0, 700), slice(700, None)))
+    assert np.allclose(found, halves)
