@@ -5,7 +5,8 @@ A round grows one tree per class, level by level. A pass over the rows sums the
 reach the driver. Gradients are rounded to whole multiples of 1 / SCALE, so that sums are exact: the trees do not
 depend on how rows are partitioned, nor on retries. Rows are stored binned, a byte per feature, with their scores;
 those of the same bins and class, which no tree tells apart, are one row with their number. They are written anew every
-few rounds, so that a pass walks few trees and no plan contains an earlier one.
+few rounds, so that a pass walks few trees and no plan contains an earlier one. Where they are so few that one task sums a
+level sooner than a Spark job begins, one task grows all trees, by the same sums.
 """
 
 from dataclasses import dataclass, field
@@ -22,6 +23,8 @@ from ..sources.models import Written
 SCALE = 1 << 24
 #: The cut of a node that is not split: every bin is at its left.
 NONE = 255
+#: Rows x features x classes that one task grows all trees from.
+ONE_TASK = 1 << 24
 
 
 @dataclass
@@ -38,9 +41,9 @@ class Tree:
         return Tree(np.zeros(inner, np.int64), np.full(inner, NONE, np.int64), np.zeros(2 * inner + 1))
 
     def node(self, codes: np.ndarray, depth: int) -> np.ndarray:
-        at, rows = np.zeros(len(codes), np.int64), np.arange(len(codes))
+        at, row, flat = np.zeros(len(codes), np.int64), np.arange(len(codes)) * codes.shape[1], codes.reshape(-1)
         for _ in range(depth):
-            at = 2 * at + 1 + (codes[rows, self.feature[at]] > self.cut[at])
+            at = 2 * at + 1 + (flat.take(row + self.feature.take(at)) > self.cut.take(at))
         return at
 
 
@@ -216,8 +219,81 @@ def _level(state: DataFrame, model: Model, fresh: list[list[Tree]], grown: list[
     return found
 
 
+def _settle(tree: Tree, at: int, ridge: float, j: int, cut: int, gain: float, lg: int, lh: int, g: int, h: int) -> None:
+    """Split node `at` by its best cut, or make a leaf of it."""
+    leaf = lambda g, h: -g / SCALE / (h / SCALE + ridge) if h else 0.0
+    if gain > 1e-9:
+        tree.feature[at], tree.cut[at] = j, cut
+        tree.value[2 * at + 1:2 * at + 3] = leaf(lg, lh), leaf(g - lg, h - lh)
+    else:
+        tree.value[2 * at + 1] = leaf(g, h)
+
+
+def _grown(codes: np.ndarray, counts: np.ndarray, base: np.ndarray, rounds: int, depth: int, step: float, bins: int, ridge: float,
+           tolerance: float, rewrite: int):
+    """(loss before the round, trees) of each round, from rows of bins and their numbers by class. Scores are added up in the order of
+    the passes in many tasks, so that the trees are the same."""
+    (rows, dim), classes = codes.shape, counts.shape[1]
+    flat, row, n = np.ascontiguousarray(codes.T).reshape(-1), np.arange(rows), counts.sum(axis=1)
+    columns = [codes[:, j].astype(np.int64) for j in range(dim)]
+    exact = int(n.sum()) * SCALE < 1 << 53
+    scores, fresh, before = np.tile(base, (rows, 1)), np.zeros((rows, classes)), None
+    for i in range(rounds):
+        if i and i % rewrite == 0:
+            scores, fresh = scores + fresh, np.zeros((rows, classes))
+        p = softmax(scores + fresh)
+        whole = lambda x: np.rint(x * SCALE).astype(np.int64)
+        g, h = (n[:, None] - counts) * whole(p) + counts * whole(p - 1), n[:, None] * whole(p * (1 - p))
+        loss = int((counts * whole(-np.log(np.maximum(p, 1e-300)))).sum()) / SCALE / int(n.sum())
+        trees = []
+        for k in range(classes):
+            tree, at, gk, hk = Tree.empty(depth), np.zeros(rows, np.int64), np.ascontiguousarray(g[:, k]), np.ascontiguousarray(h[:, k])
+            if exact:
+                gk, hk = gk.astype(float), hk.astype(float)
+            for level in range(depth):
+                nodes, first, found = 1 << level, (1 << level) - 1, []
+                for c in columns:
+                    key = at * bins + c
+                    found.append(best_cuts(*(_added(key, x, nodes * bins, exact).reshape(nodes, bins) for x in (gk, hk)), ridge))
+                best = np.stack([f[1] for f in found]).argmax(axis=0).tolist()
+                cuts = [[x.tolist() for x in f] for f in found]
+                for node, j in enumerate(best):
+                    _settle(tree, first + node, ridge, j, *(x[node] for x in cuts[j]))
+                here = first + at
+                at = 2 * at + (flat.take(tree.feature.take(here) * rows + row) > tree.cut.take(here))
+            fresh[:, k] += step * tree.value.take(at + (1 << depth) - 1)
+            trees.append(tree)
+        yield loss, trees
+        if before is not None and before - loss < tolerance:
+            break
+        before = loss
+
+
+def _in_one_task(state: DataFrame, model: Model, *how) -> None:
+    """All rounds in one task of the executors."""
+    base, depth, step, dim = model.base, model.depth, model.step, len(model.edges)
+
+    def grow(batches):
+        table = pa.Table.from_batches([b.select(["codes", "y", "n"]) for b in batches if b.num_rows]).combine_chunks()
+        coded = table["codes"].combine_chunks().dictionary_encode()
+        codes = np.frombuffer(b"".join(coded.dictionary.to_pylist()), np.uint8).reshape(-1, dim)
+        counts = np.zeros((len(codes), len(base)), np.int64)
+        np.add.at(counts, (coded.indices.to_numpy(), table["y"].to_numpy()), table["n"].to_numpy())
+        rounds, *rest = how
+        for i, (loss, trees) in enumerate(_grown(codes, counts, base, rounds, depth, step, *rest)):
+            arrays = [pa.array([getattr(t, a) for t in trees]) for a in ("feature", "cut", "value")]
+            yield pa.RecordBatch.from_arrays([pa.array([x] * len(trees), kind) for x, kind in ((i, pa.int32()), (loss, pa.float64()))] + [pa.array(range(len(trees)), pa.int32()), *arrays],
+                                             names=["i", "loss", "k", "feature", "cut", "value"])
+    found = state.coalesce(1).mapInArrow(grow, "i int, loss double, k int, feature array<long>, cut array<long>, value array<double>").collect()
+    for r in sorted(found, key=lambda r: (r["i"], r["k"])):
+        if r["k"] == 0:
+            model.losses.append(r["loss"])
+            model.rounds.append([])
+        model.rounds[-1].append(Tree(*(np.array(r[a]) for a in ("feature", "cut", "value"))))
+
+
 def fit(df: DataFrame, dim: int, classes: int, rounds: int = 500, depth: int = 6, step: float = 0.1, bins: int = 64, ridge: float = 1.0,
-        features: str = "features", label: str = "label", edges: list | None = None, tolerance: float = 0.0, rewrite: int = 8) -> Model:
+        features: str = "features", label: str = "label", edges: list | None = None, tolerance: float = 0.0, rewrite: int = 8, one_task: int = ONE_TASK) -> Model:
     """Boosted trees for classes 0 .. classes - 1.
 
     A cut is the one of the highest gain, of equal ones that of the first feature and lowest bin; a node without a
@@ -225,6 +301,7 @@ def fit(df: DataFrame, dim: int, classes: int, rounds: int = 500, depth: int = 6
     than `tolerance` in one. At most 255 bins; `edges` gives their upper edges, else they are approximate quantiles. Rows with a null
     vector or label are left out, repeated rows count each time; a null or NaN element lies in the lowest bin; other
     classes are refused. A table without rows gives a model without trees and equal scores. The driver holds the trees.
+    Up to `one_task` different rows x features x classes, one task grows all trees; they are the same.
     """
     if not 1 < bins < 256:
         raise ValueError("bins must lie between 2 and 255")
@@ -253,6 +330,10 @@ def fit(df: DataFrame, dim: int, classes: int, rounds: int = 500, depth: int = 6
     parts = max(df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     start = alike.withColumn("scores", F.array(*[F.lit(float(v)) for v in base])).repartition(parts, "codes")
     state, fresh = Written.of(start, "boosting"), []
+    if state.frame.count() * dim * classes <= one_task:
+        _in_one_task(state.frame, model, rounds, bins, ridge, tolerance, rewrite)
+        state.delete()
+        return model
     parts = state.frame.rdd.getNumPartitions()
     for _ in range(rounds):
         if len(fresh) == rewrite:
@@ -267,12 +348,7 @@ def fit(df: DataFrame, dim: int, classes: int, rounds: int = 500, depth: int = 6
                 else:
                     best[r["k"], r["node"]] = min(best.get((r["k"], r["node"]), r), r, key=lambda c: (-c["gain"], c["j"]))
             for (k, node), r in best.items():
-                at, leaf = (1 << level) - 1 + node, lambda g, h: -g / SCALE / (h / SCALE + ridge) if h else 0.0
-                if r["gain"] > 1e-9:
-                    grown[k].feature[at], grown[k].cut[at] = r["j"], r["cut"]
-                    grown[k].value[2 * at + 1:2 * at + 3] = leaf(r["lg"], r["lh"]), leaf(r["g"] - r["lg"], r["h"] - r["lh"])
-                else:
-                    grown[k].value[2 * at + 1] = leaf(r["g"], r["h"])
+                _settle(grown[k], (1 << level) - 1 + node, ridge, *(r[c] for c in ("j", "cut", "gain", "lg", "lh", "g", "h")))
         model.losses.append(loss)
         model.rounds.append(grown)
         fresh.append(grown)

@@ -511,7 +511,7 @@ def event_rows(spark, sf):
         b.is_test("event_id").alias("is_test"))
 
 
-BOOST_ROUNDS = 20
+BOOST_ROUNDS = 500
 
 
 @query("gbt_multiclass")

@@ -118,3 +118,29 @@ def test_sums_beyond_a_double_stay_exact():
     key, values = np.array([0, 1, 0]), np.array([1 << 60, 3, 1])
     assert boosting._added(key, values, 2, False).tolist() == [(1 << 60) + 1, 3]
     assert boosting._added(key, np.array([5, 3, 1]), 2, True).tolist() == [6, 3]
+
+
+def test_one_task_grows_the_trees_of_many(spark, points):
+    df, x, _ = points
+    odd = df.unionByName(spark.createDataFrame([(900, [None, float("nan"), 1.0], 2)], df.schema)).withColumn("label", F.when(F.col("id") % 17 != 3, F.col("label")))
+    for d, options in ((df, {"depth": 3, "edges": EDGES, "bins": 8}), (odd, {"depth": 6, "bins": 16}), (df.limit(1), {"depth": 2})):
+        one = boosting.fit(d, 3, 4, rounds=7, rewrite=3, **options)
+        many = boosting.fit(d, 3, 4, rounds=7, rewrite=3, one_task=0, **options)
+        assert one.losses == many.losses and len(one.rounds) == 7
+        for a, b in zip(sum(one.rounds, []), sum(many.rounds, [])):
+            assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and (a.value == b.value).all()
+    early = [boosting.fit(df, 3, 4, rounds=9, depth=2, tolerance=0.06, one_task=n) for n in (0, boosting.ONE_TASK)]
+    assert early[0].losses == early[1].losses and 1 < len(early[0].rounds) < 9
+
+
+def test_events_get_all_rounds(spark, tmp_path, monkeypatch):
+    from sparkstats.plans import QUERIES
+    from sparkstats.plans.base import EVENT_TYPES
+    types = "element_at(array({}), cast(1 + pmod(xxhash64(id), 5) as int))".format(", ".join(f"'{t}'" for t in EVENT_TYPES))
+    spark.range(600).selectExpr("id as event_id", "timestamp_seconds(id * 5000) as ts", "id % 37 as user_id", f"{types} as event_type",
+                                "pmod(hash(id), 1000) / 10.0D as value").write.parquet(f"{tmp_path}/events.parquet")
+    models, fit = [], boosting.fit
+    monkeypatch.setattr(boosting, "fit", lambda *a, **k: models.append(fit(*a, **k)) or models[-1])
+    assert QUERIES["gbt_multiclass"](spark, str(tmp_path)).count() > 200
+    (model,) = models
+    assert (len(model.rounds), model.depth, model.step) == (500, 6, 0.1) and model.losses[-1] < model.losses[19] < model.losses[0]
