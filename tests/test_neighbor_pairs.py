@@ -59,3 +59,17 @@ def test_rows_that_are_not_screened():
     a = np.ones((3, 20))
     assert neighbors.Dense(1).screen(a, a * np.nan) is None and neighbors.Dense(2).screen(a, a * 1e30) is None
     assert neighbors.Dense(3).screen(a[:, :8], a[:, :8]) is None and neighbors.Dense(2).screen(a[:0], a) is None
+
+
+def test_one_block_needs_no_pairs(spark):
+    r = np.random.default_rng(4)
+    x = np.round(r.normal(size=(130, 5)), 1)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(130)], "id long, features array<double>")
+    out = neighbors.knn_join(df.where("id >= 20"), df.where("id < 20"), 3, neighbors.Dense(1), block_rows=20)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    want = []
+    for i in range(20, 130):
+        d = np.round(np.abs(x[:20] - x[i]).sum(1), 9)
+        want += [(i, n, int(j), float(d[j])) for n, j in enumerate(np.argsort(d, kind="stable")[:3], 1)]
+    assert sorted(tuple(row) for row in out.collect()) == want
