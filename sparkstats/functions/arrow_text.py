@@ -52,6 +52,12 @@ class Items:
         out.row = self.row if n == 1 else self.row[:max(0, len(self.row) - n + 1)][self.row[:max(0, len(self.row) - n + 1)] == self.row[n - 1:]]
         return out
 
+    def ends(self) -> "Items":
+        """The last item of each text."""
+        out, last = object.__new__(Items), np.flatnonzero(np.append(self.row[1:] != self.row[:-1], len(self.row) > 0))
+        out.rows, out.row, out.code, out.names = self.rows, self.row[last], self.code[last], self.names
+        return out
+
     def by_row(self) -> tuple[np.ndarray, pa.Array, np.ndarray]:
         """(row, token, count) of all tokens of each text."""
         width = max(1, len(self.names))

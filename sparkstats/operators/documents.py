@@ -13,6 +13,8 @@ from . import inverted, neighbors, sampling
 
 BROADCAST_TERMS = 1_000_000
 FORM_BYTES = 32 << 20
+#: Bytes of text whose n-grams one task adds up, about.
+NGRAM_BYTES = 8 << 20
 #: Words that are replaced at once, but for a longer line.
 WORDS_AT_ONCE = 1 << 17
 
@@ -37,15 +39,20 @@ def _counted(df: DataFrame, id_col: str, text: Column, name: str, items) -> Data
     return df.select(id_col, text.alias("_text")).mapInArrow(count, T.StructType(fields))
 
 
-def _totals(df: DataFrame, text: Column, name: str, items) -> DataFrame:
-    """(name, cnt): how often each item is in all texts. Parts of batches are counted in the scan, and their counts added up."""
+def _part_totals(df: DataFrame, text: Column, name: str, items) -> DataFrame:
+    """(name, cnt): how often each item is in a part of a batch; a row for each part that has it."""
     def count(batches):
         for batch in batches:
             for _, texts in at.parts(batch.column(0)):
                 for found in items(texts):
                     names, n = found.totals()
                     yield pa.RecordBatch.from_arrays([names, pa.array(n, pa.int64())], names=[name, "cnt"])
-    return df.select(text.alias("_text")).mapInArrow(count, f"{name} string, cnt long").groupBy(name).agg(F.sum("cnt").alias("cnt"))
+    return df.select(text.alias("_text")).mapInArrow(count, f"{name} string, cnt long")
+
+
+def _totals(df: DataFrame, text: Column, name: str, items) -> DataFrame:
+    """(name, cnt): how often each item is in all texts. Parts of batches are counted in the scan, and their counts added up."""
+    return _part_totals(df, text, name, items).groupBy(name).agg(F.sum("cnt").alias("cnt"))
 
 
 def token_counts(df: DataFrame, id_col: str, text: str, min_len: int = 2) -> DataFrame:
@@ -208,9 +215,36 @@ def word_ngram_counts(df: DataFrame, id_col: str, text: str, low: int = 1, high:
     return _counted(df, id_col, F.lower(text) if lower else F.col(text), "ngram", _grams(low, high))
 
 
+def _windows(low: int, high: int):
+    """The word n-grams from which the rest follows: those of `high` words, the next shorter ones that end a text, and all that are shorter still."""
+    def items(texts):
+        tokens = at.Items(texts, at.NO_WORD, 2)
+        for n in range(low, high - 1):
+            yield tokens.ngrams(n)
+        yield tokens.ngrams(high - 1).ends()
+        yield tokens.ngrams(high)
+    return items
+
+
 def corpus_word_ngrams(df: DataFrame, text: str, low: int = 1, high: int = 3, lower: bool = True) -> DataFrame:
-    """(ngram, cnt) over the whole corpus."""
-    return _totals(df, F.lower(text) if lower else F.col(text), "ngram", _grams(low, high))
+    """(ngram, cnt) over the whole corpus.
+
+    Most n-grams of a corpus are rare, so adding up a task's before they are shuffled would hold nearly all of them for little.
+    Parts' counts go straight to the task of the n-gram's head, its first high - 1 words. An n-gram of high - 1 words is
+    followed by a word or ends its text, so its count is the sum of its head's and needs no rows of its own.
+    """
+    words = F.lower(text) if lower else F.col(text)
+    if low >= high:
+        return _totals(df, words, "ngram", _grams(low, high))
+    size = df.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
+    head = F.substring_index("ngram", " ", high - 1)
+    dealt = _part_totals(df, words, "ngram", _windows(low, high)).repartition(1 + size // NGRAM_BYTES, head)
+    counted = dealt.groupBy(head.alias("head"), "ngram").agg(F.sum("cnt").alias("cnt"))
+    of_head = Window.partitionBy("head").orderBy("ngram")
+    summed = counted.select("*", F.row_number().over(of_head).alias("place"),
+                            F.sum("cnt").over(of_head.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("total"))
+    both = F.stack(F.lit(2), F.when(F.col("place") == 1, F.col("head")), F.col("total"), F.when(F.col("ngram") != F.col("head"), F.col("ngram")), F.col("cnt"))
+    return summed.select(both.alias("ngram", "cnt")).where(F.col("ngram").isNotNull())
 
 
 def word_counts(df: DataFrame, id_col: str, text: str) -> DataFrame:
