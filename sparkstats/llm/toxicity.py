@@ -31,16 +31,18 @@ L2 = 0.4
 BEGINNINGS = (4, 5, 6)
 #: Punctuation that is taken off words.
 EDGES = ".,;:!?\"'()[]{}<>*_-#$%&|"
-#: Words whose votes or weights a task remembers, about; texts that are read at once.
-MEMORY, AT_ONCE = 1 << 18, 4096
+#: Texts that are read at once.
+AT_ONCE = 4096
 PATTERNS = ["shouting", "exclaiming", "symbols", "address"]
+SYMBOLS = np.isin(np.arange(256), list(b"#*$%&@"))
 VOTERS = LEXICONS + len(PATTERNS)
 ADDRESS = {b"you", b"your", b"du", b"dich", b"tu", b"te", b"toi", b"vous", b"usted"}
 
 
-def spellings(word: str) -> list[bytes]:
-    """What features are made of: a word and its beginnings, those it is longer than."""
-    return [b"=" + word.encode(), *[b"^" + word[:n].encode() for n in BEGINNINGS if len(word) > n]] if word else []
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """Sorted, without repeats."""
+    numbers = np.sort(numbers)  # several times faster than np.unique, which hashes whole numbers first
+    return numbers[np.flatnonzero(np.append(numbers[1:] != numbers[:-1], True)[:len(numbers)])]
 
 
 class Batch:
@@ -51,61 +53,73 @@ class Batch:
         t = Tokens(lower_utf8(texts))
         self.rows = t.rows
         self.words = pc.utf8_lower(pc.utf8_trim(t.words, EDGES))
-        pairs = np.unique(t.doc.astype(np.int64) * max(1, len(t.words)) + t.codes)
+        pairs = distinct(t.doc.astype(np.int64) * max(1, len(t.words)) + t.codes)
         self.doc, self.code = pairs // max(1, len(t.words)), pairs % max(1, len(t.words))
         self.count = np.bincount(self.doc, minlength=self.rows)
 
-    def per_word(self, make, memory: dict | None = None) -> list:
-        """make(spellings) of each word; a memory keeps what it made for words that come again."""
-        memory, out = {} if memory is None else memory, []
-        for w in self.words.to_pylist():
-            value = memory.get(w)
-            if value is None:
-                value = memory[w] = make(spellings(w))
-            out.append(value)
-        if len(memory) > MEMORY:
-            memory.clear()
-        return out
+    def spellings(self):
+        """(mark, which, forms, code) for what features are made of: words, and their beginnings of each length, those they are longer than.
+
+        `code` numbers the spellings of the words `which` into `forms`. A word of edges only has none.
+        """
+        size = pc.utf8_length(self.words).to_numpy()
+        for mark, n in (("=", 0), *(("^", n) for n in BEGINNINGS)):
+            which = np.flatnonzero(size > n)
+            some = self.words.take(pa.array(which))
+            coded = (pc.utf8_slice_codeunits(some, 0, n) if n else some).dictionary_encode()
+            yield mark.encode(), which, coded.dictionary.cast(pa.large_binary()), coded.indices.to_numpy()
+
+    def hashes(self):
+        """(which, hashes, code): spellings as their hashes."""
+        for mark, which, forms, code in self.spellings():
+            start = zlib.crc32(mark)
+            yield which, [zlib.crc32(f, start) for f in forms.to_pylist()], code
 
     def patterns(self) -> np.ndarray:
         """(rows, patterns) votes on the shape of the texts."""
         size = np.maximum(np.diff(self.at), 1)
 
         def share(of: np.ndarray) -> np.ndarray:
-            total = np.concatenate(([0], np.cumsum(of, dtype=np.int64)))
-            return (total[self.at[1:]] - total[self.at[:-1]]) / size
-        address = np.array([w in ADDRESS for w in self.words.cast(pa.large_binary()).to_pylist()], dtype=bool)
-        named = np.bincount(self.doc, address[self.code] if len(address) else None, minlength=self.rows) > 0
-        return np.stack([share((self.raw >= 65) & (self.raw <= 90)) > 0.3, share(self.raw == 33) > 0.01,
-                         share(np.isin(self.raw, list(b"#*$%&@"))) > 0.02, named], axis=1)
-
-    def votes(self, lexicon: dict[bytes, int], memory: dict | None = None) -> np.ndarray:
+            return np.diff(np.searchsorted(np.flatnonzero(of), self.at)) / size
+        address = pc.is_in(self.words.cast(pa.large_binary()), pa.array(sorted(ADDRESS), pa.large_binary())).to_numpy(zero_copy_only=False)
+        named = np.bincount(self.doc[address[self.code]], minlength=self.rows) > 0
+        return np.stack([share((self.raw >= 65) & (self.raw <= 90)) > 0.3, share(self.raw == 33) > 0.01, share(SYMBOLS[self.raw]) > 0.02, named], axis=1)
+
+    def votes(self, lexicon: dict[bytes, int]) -> np.ndarray:
         """The votes of each row as bits of a number: lexicons first, then patterns."""
-        voters = lambda forms: sum({1 << lexicon[f] for f in forms if f in lexicon})
-        bits = np.array(self.per_word(voters, memory), dtype=np.int64)
+        bits = np.zeros(len(self.words), dtype=np.int64)
+        for mark, which, forms, code in self.spellings():
+            known = {f[1:]: 1 << v for f, v in lexicon.items() if f[:1] == mark}
+            at = pc.index_in(forms, pa.array(known, pa.large_binary())).fill_null(len(known)).to_numpy()
+            bits[which] |= np.array([*known.values(), 0], dtype=np.int64)[at[code]]
         out = np.zeros(self.rows, dtype=np.int64)
-        mine = np.flatnonzero(bits[self.code]) if len(bits) else np.empty(0, np.int64)
+        mine = np.flatnonzero(bits[self.code])
         np.bitwise_or.at(out, self.doc[mine], bits[self.code[mine]])
         return out | (self.patterns() << (LEXICONS + np.arange(len(PATTERNS)))).sum(axis=1)
 
     def scale(self) -> np.ndarray:
         return 1 / np.maximum(self.count, 1) ** POWER
 
-    def scores(self, weights: dict[int, float], memory: dict | None = None) -> np.ndarray:
+    def scores(self, weights: dict[int, float]) -> np.ndarray:
         """The sum of the weights of a row's distinct words, by the root of their number. Weights go by hash."""
-        get = weights.get
-        per_word = np.array(self.per_word(lambda forms: sum([get(zlib.crc32(f), 0.0) for f in forms]), memory), dtype=float)
-        return np.bincount(self.doc, per_word[self.code] if len(per_word) else None, minlength=self.rows) * self.scale()
+        kinds = []
+        for which, hashes, code in self.hashes():
+            kinds.append(np.zeros(len(self.words)))
+            kinds[-1][which] = np.array([weights.get(h, 0.0) for h in hashes], dtype=float)[code]
+        per_word = np.array([sum(w) for w in zip(*[k.tolist() for k in kinds])], dtype=float)
+        return np.bincount(self.doc, per_word[self.code], minlength=self.rows) * self.scale()
 
     def sparse(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each row its hashes and their values."""
-        hashes = self.per_word(lambda forms: np.array([zlib.crc32(f) for f in forms], dtype=np.int64))
-        scale, out = self.scale(), []
-        cuts = np.searchsorted(self.doc, np.arange(self.rows + 1))
-        for i in range(self.rows):
-            f, n = np.unique(np.concatenate([hashes[c] for c in self.code[cuts[i]:cuts[i + 1]]] or [np.empty(0, np.int64)]), return_counts=True)
-            out.append((f, n * scale[i]))
-        return out
+        found = [np.empty(0, np.int64)]
+        for which, hashes, code in self.hashes():
+            of_word = np.full(len(self.words), -1, dtype=np.int64)
+            of_word[which] = np.array(hashes, dtype=np.int64)[code]
+            has = of_word[self.code] >= 0
+            found.append((self.doc[has] << 32) + of_word[self.code[has]])
+        pairs, n = np.unique(np.concatenate(found), return_counts=True)
+        cuts, scale = np.searchsorted(pairs, np.arange(self.rows + 1) << 32), self.scale()
+        return [(pairs[a:z] & 0xFFFFFFFF, n[a:z] * scale[i]) for i, (a, z) in enumerate(zip(cuts, cuts[1:]))]
 
 
 # ---- lexicons --------------------------------------------------------------------
@@ -116,12 +130,17 @@ def lexicons(texts: list[pa.Array], toxic: np.ndarray) -> dict[bytes, int]:
     at = 0
     for part in texts:
         b = Batch(part)
-        forms = b.per_word(lambda f: f)
-        cuts = np.searchsorted(b.doc, np.arange(b.rows + 1))
-        for i in range(b.rows):
-            counts = in_texts[int(toxic[at + i])]
-            for f in {f for c in b.code[cuts[i]:cuts[i + 1]] for f in forms[c]}:
-                counts[f] = counts.get(f, 0) + 1
+        said = toxic[at + np.arange(b.rows)].astype(bool)
+        for mark, which, forms, code in b.spellings():
+            of_word = np.full(len(b.words), -1, dtype=np.int64)
+            of_word[which] = code
+            has = of_word[b.code] >= 0
+            pairs = distinct(b.doc[has] * max(1, len(forms)) + of_word[b.code[has]])
+            doc, form = pairs // max(1, len(forms)), pairs % max(1, len(forms))
+            for counts, mine in zip(in_texts, (~said, said)):
+                n = np.bincount(form[mine[doc]], minlength=len(forms))
+                for f, k in zip(forms.filter(pa.array(n > 0)).to_pylist(), n[n > 0].tolist()):
+                    counts[mark + f] = counts.get(mark + f, 0) + k
         at += b.rows
     n = [max(1, int((toxic == v).sum())) for v in (0, 1)]
     lift = {f: (k / n[1]) / ((in_texts[0].get(f, 0) + 0.5) / n[0]) for f, k in in_texts[1].items() if k >= SEEN}
@@ -204,10 +223,8 @@ def _learned_lexicons(sample: DataFrame):
 
 def voted(text: Column, lexicon: dict[bytes, int]) -> Column:
     """The votes on a text as bits of a number; null counts as the empty text."""
-    memory: dict = {}
-
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(np.concatenate([Batch(texts.slice(at, AT_ONCE)).votes(lexicon, memory) for at in range(0, len(texts), AT_ONCE)] or [np.empty(0, np.int64)]))
+        return pa.array(np.concatenate([Batch(texts.slice(at, AT_ONCE)).votes(lexicon) for at in range(0, len(texts), AT_ONCE)] or [np.empty(0, np.int64)]))
     return F.arrow_udf(run, "long")(text)
 
 
@@ -272,10 +289,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
 def scored(text: Column, model: Classifier) -> Column:
     """The probability of toxic; null counts as the empty text, which has a score too."""
-    weights, bias, memory = model.weights, float(model.bias), {}
+    weights, bias = model.weights, float(model.bias)
 
     def run(texts: pa.Array) -> pa.Array:
-        parts = [linear.sigmoid(Batch(texts.slice(at, AT_ONCE)).scores(weights, memory) + bias) for at in range(0, len(texts), AT_ONCE)]
+        parts = [linear.sigmoid(Batch(texts.slice(at, AT_ONCE)).scores(weights) + bias) for at in range(0, len(texts), AT_ONCE)]
         return pa.array(np.concatenate(parts or [np.empty(0)]))
     return F.arrow_udf(run, "double")(text)
 
