@@ -74,8 +74,13 @@ def poly_columns(cols, degree: int, include_bias: bool = False) -> list[Column]:
     return out
 
 
-def long_form(df: DataFrame, *keep: str, features: str = "features") -> DataFrame:
-    """One row per vector element: (keep..., d, x)."""
+def long_form(df: DataFrame, *keep: str, features: str = "features", by_udf: bool = False) -> DataFrame:
+    """One row per vector element: (keep..., d, x).
+
+    Features that come `by_udf` are made once: for posexplode Spark infers a filter on them, and makes them a second time for it.
+    """
+    if by_udf:
+        return df.select(*keep, F.posexplode_outer(features).alias("d", "x")).where(F.col("d").isNotNull())
     return df.select(*keep, F.posexplode(features).alias("d", "x"))
 
 

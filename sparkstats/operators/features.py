@@ -6,6 +6,7 @@ so they go into a `Pipeline`, a grid search and a saved `PipelineModel`.
 """
 
 import json
+import math
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,17 @@ from . import project, sampling
 
 MAX_CATEGORIES = 10_000
 LANDMARKS = 1000
+#: Bytes of numbers that one task makes where rows are dealt out, and tasks for each that reads, at most.
+DEALT_BYTES, FAN = 4 << 20, 16
+
+
+def dealt(df: DataFrame, width: int) -> DataFrame:
+    """The rows dealt evenly over tasks, for a step that makes `width` numbers of each; as they are where one task makes them all.
+
+    Files and their row groups can hold any number of rows. Rows go by their place, not by a key that many could share.
+    """
+    tasks = math.ceil(df.count() * width * 8 / DEALT_BYTES)
+    return df if tasks <= 1 else df.repartition(min(tasks, FAN * df.rdd.getNumPartitions()), F.monotonically_increasing_id())
 
 
 def infer_categorical(df: DataFrame, columns: list[str]) -> list[str]:
@@ -156,6 +168,11 @@ class ColumnTransformModel(Model, _Stage):
         super().__init__()
         self._set(state=state, outputCol=outputCol)
 
+    def width(self) -> int:
+        """Numbers in a row of the result."""
+        state = json.loads(self.getOrDefault(self.state))
+        return sum(len(state["categories"][c]) if kind == "one_hot" else 1 for kind, cols in state["groups"] for c in cols)
+
     def _transform(self, df: DataFrame) -> DataFrame:
         state = json.loads(self.getOrDefault(self.state))
         parts = []

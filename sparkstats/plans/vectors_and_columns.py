@@ -1,5 +1,7 @@
 """Joins, aggregates, scalar functions, scaling: queries over vectors and columns."""
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -359,7 +361,8 @@ def column_transform(spark, sf):
     """One-hot and standardised groups side by side, then products of degree 2."""
     p = table(spark, sf, "part").withColumn("id", F.col("p_partkey"))
     model = ft.ColumnTransform([("one_hot", ["p_type"]), ("standard", ["p_size", "p_retailprice"])]).fit(p.where(~b.is_test()))
-    return long_rows(ft.PolyExpand("features", "poly", 2).transform(model.transform(p)), "id", features="poly")
+    rows = ft.dealt(p, math.comb(model.width() + 2, 2) - 1)
+    return long_rows(ft.PolyExpand("features", "poly", 2).transform(model.transform(rows)), "id", features="poly", by_udf=True)
 
 
 def _power_sql(k: int = 2) -> str:
